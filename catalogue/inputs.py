@@ -9,28 +9,123 @@ missing from the reference list.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 REVIEW_SNAPSHOTS = ("2024-01-10", "2024-01-20", "2024-01-31")
 
-_KINDS = {
-    "1": "Entire rental unit", "2": "Private room in casa particular",
-    "3": "Shared room in hostel", "4": "Room in aparthotel", "5": "Cave",
+# Column -> rule over a sighting: id, host_id, k (order key), y (year), amount, kind (first
+# character of the priority), c_name, c_mktsegment, n_name; n_all, n_1, n_2, n_3 are counts of
+# the host's sightings in the year, in all and per kind.
+_TOTAL = "'$' || format_number(amount, 2)"
+_CENTS = "cast(amount * 100 as bigint)"
+
+
+def _quote_day(shift: int) -> str:
+    day = f"lpad(cast(k % 9 + {1 + shift} as string), 2, '0')"
+    return (f"case when y >= 2000 then case when k % 2 = 0 then (y + 1) || '-07-' || {day} "
+            f"else {day} || '/07/' || (y + 1) end end")
+
+
+def _score(shift: int) -> str:
+    return (f"case when id % 9 <> 0 then cast(cast((k + {shift}) % 200 + 300 as decimal(10,0)) "
+            "/ 100 as decimal(4,2)) end")
+
+
+_LISTING_RULES = {
+    "id": "id",
+    "listing_url": "'https://example.org/rooms/' || id",
+    "name": "c_name || if(y % 2 = 0, ' - Summer', '')",
+    "description": """case id % 13 when 0 then null when 1 then 'N/A' else 'About ' || c_name
+        || if(id % 13 = 2, ' N/A ', '') || if(y % 2 = 0, ' (renewed)', '') end""",
+    "picture_url": "'https://example.org/pic/' || id",
+    "host_id": "host_id",
+    "host_url": "'https://example.org/h/' || host_id",
+    "host_name": "if(host_id % 10 <> 3, 'Host ' || host_id, null)",
+    "host_since": "make_date(cast(2008 + host_id % 10 as int), cast(1 + host_id % 12 as int), 1)",
+    "host_location": "case host_id % 6 when 0 then null when 1 then 'N/A' else 'City A' end",
+    "host_about": """case host_id % 5 when 0 then null when 1 then 'see N/A here'
+        else 'bio ' || host_id end""",
+    "host_response_time": """case host_id % 4 when 1 then 'N/A' when 2 then 'within an hour'
+        when 3 then 'a few days or more' end""",
+    "host_response_rate": """case host_id % 4 when 0 then null when 1 then 'N/A'
+        else (50 + (host_id * 3 + y) % 50) || '%' end""",
+    "host_acceptance_rate": """case (host_id + y) % 5 when 0 then null when 1 then 'N/A'
+        else ((host_id * 7 + y) % 101) || '%' end""",
+    "host_is_superhost": """case (host_id * 7 + y) % 5 when 0 then null when 1 then 't'
+        when 2 then 't' else 'f' end""",
+    "host_picture_url": "if(host_id % 10 <> 4, 'https://example.org/hp/' || host_id, null)",
+    "host_neighbourhood": "if(host_id % 3 <> 0, n_name, null)",
+    "host_listings_count": "if(host_id % 11 <> 0, cast(host_id % 40 as int), null)",
+    "host_total_listings_count": "if(host_id % 11 <> 0, cast(host_id % 50 as int), null)",
+    "host_verifications": """case host_id % 4 when 1 then 'None' when 2 then 'N/A'
+        when 3 then '[email, phone]' end""",
+    "host_has_profile_pic": "case host_id % 3 when 0 then 'f' when 1 then 't' end",
+    "host_identity_verified": "case (host_id + 1) % 3 when 0 then 'f' when 1 then 't' end",
+    "neighbourhood": "if(id % 5 <> 0, 'Neighborhood highlights', null)",
+    "neighbourhood_cleansed": "n_name",
+    "latitude": "cast(379000 + id % 1000 as double) / 10000",
+    "longitude": "cast(237000 + id % 777 as double) / 10000",
+    "property_type": """case kind when '1' then 'Entire rental unit'
+        when '2' then 'Private room in casa particular' when '3' then 'Shared room in hostel'
+        when '4' then 'Room in aparthotel' when '5' then 'Cave' end""",
+    "room_type": "c_mktsegment",
+    "accommodates": "cast(1 + k % 8 as int)",
+    "bathrooms": "if(k % 10 <> 0, cast(1 + k % 5 as double) / 2, null)",
+    "bathrooms_text": """case id % 4 when 1 then 'N/A' when 2 then '1 bath'
+        when 3 then '1.5 shared baths' end""",
+    "bedrooms": "if(k % 11 <> 0, cast(1 + k % 4 as int), null)",
+    "beds": "if(k % 12 <> 0, cast(1 + k % 6 as int), null)",
+    "amenities": """if(k % 2 = 0, '["Wifi", "Kitchen"]', '["Wifi"]')""",
+    "price": f"if(k % 17 <> 0, {_TOTAL}, null)",
+    "minimum_nights": "cast(1 + k % 30 as int)",
+    "maximum_nights": "cast(30 + k % 336 as int)",
+    "availability_365": "cast(k % 366 as int)",
+    "number_of_reviews": "cast(k % 400 as int)",
+    "number_of_reviews_ltm": "cast(k % 60 as smallint)",
+    "number_of_reviews_ly": "cast(k % 50 as smallint)",
+    "estimated_occupancy_l365d": "cast(k % 256 as string)",
+    "estimated_revenue_l365d": "if(k % 17 <> 0, cast(k % 256 * 100 as string), null)",
+    "price_quote_checkin_date": _quote_day(0),
+    "price_quote_checkout_date": _quote_day(3),
+    "price_quote_total_price": f"if(y >= 2000, {_TOTAL}, null)",
+    "price_quote_price_per_night": f"""if(y >= 2000, '$' || ({_CENTS} div 3 div 100) || '.'
+        || lpad(cast({_CENTS} div 3 % 100 as string), 2, '0'), null)""",
+    "price_quote_raw": f"if(y >= 2000, {_TOTAL} || ' for 3 nights', null)",
+    "review_scores_rating": _score(0),
+    "review_scores_accuracy": _score(13),
+    "review_scores_cleanliness": _score(26),
+    "review_scores_checkin": _score(39),
+    "review_scores_communication": _score(52),
+    "review_scores_location": _score(65),
+    "review_scores_value": _score(78),
+    "license": """case (id + y) % 6 when 0 then null when 1 then '' when 2 then 'Exempt'
+        else '0000' || id end""",
+    "instant_bookable": "case k % 3 when 1 then 't' when 2 then 'f' end",
+    "calculated_host_listings_count": "n_all",
+    "calculated_host_listings_count_entire_homes": "n_1",
+    "calculated_host_listings_count_private_rooms": "n_2",
+    "calculated_host_listings_count_shared_rooms": "n_3",
+    "reviews_per_month": """if(id % 9 <> 0, cast(cast(k % 500 as decimal(10,0)) / 100
+        as decimal(5,2)), null)""",
+    "snapshot_date": "make_date(y, 12, 31)",
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Stored columns of the tables used, so that no footer is read to learn them.
+_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
 
 
-def _pick(index: Column, *values) -> Column:
-    """``values[index]``; None gives null."""
-    chosen = F.when(F.lit(False), None)
-    for position, value in enumerate(values):
-        if value is not None:
-            chosen = chosen.when(index == position, value)
-    return chosen
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,109 +169,10 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _sightings(spark, sf_dir)
     per_host = base.groupBy(F.col("host_id").alias("_host"), F.col("y").alias("_y")).agg(
         F.count("*").cast("int").alias("n_all"),
-        *[F.count_if(F.col("kind") == d).cast("int").alias(f"n_{d}") for d in "123"],
-    )
-    rows = base.join(
-        per_host, (F.col("host_id") == F.col("_host")) & (F.col("y") == F.col("_y")), "left"
-    )
-    i, h, k, y = (F.col(c) for c in ("id", "host_id", "k", "y"))
-    text = lambda c: c.cast("string")
-    money = F.concat(F.lit("$"), F.format_number("amount", 2))
-    cents = (F.col("amount") * 100).cast("bigint")
-    night = F.floor(cents / F.lit(3)).cast("bigint")
-    night_text = F.format_string("$%d.%02d", F.floor(night / 100).cast("bigint"), night % 100)
-    quoted = y >= 2000
-    day = lambda shift: F.lpad(text(k % 9 + 1 + shift), 2, "0")
-    quote_day = lambda shift: F.when(quoted, F.when(
-        k % 2 == 0, F.concat(text(y + 1), F.lit("-07-"), day(shift))
-    ).otherwise(F.concat(day(shift), F.lit("/07/"), text(y + 1))))
-    score = lambda shift: F.when(
-        i % 9 != 0, ((k + shift) % 200 + 300).cast("decimal(10,0)") / 100
-    ).cast("decimal(4,2)")
-    even = y % 2 == 0
-    kind = F.lit(None).cast("string")
-    for digit, label in _KINDS.items():
-        kind = F.when(F.col("kind") == digit, label).otherwise(kind)
-    name = F.concat("c_name", F.when(even, " - Summer").otherwise(""))
-    about = F.concat(
-        F.lit("About "), "c_name", F.when(i % 13 == 2, " N/A ").otherwise(""),
-        F.when(even, " (renewed)").otherwise(""),
-    )
-    whole = lambda c: c.cast("int")
-    return rows.select(
-        "id",
-        F.concat(F.lit("https://example.org/rooms/"), text(i)).alias("listing_url"),
-        name.alias("name"),
-        F.when(i % 13 == 1, "N/A").when(i % 13 > 1, about).alias("description"),
-        F.concat(F.lit("https://example.org/pic/"), text(i)).alias("picture_url"),
-        "host_id",
-        F.concat(F.lit("https://example.org/h/"), text(h)).alias("host_url"),
-        F.when(h % 10 != 3, F.concat(F.lit("Host "), text(h))).alias("host_name"),
-        F.make_date(whole(h % 10 + 2008), whole(h % 12 + 1), F.lit(1)).alias("host_since"),
-        _pick(h % 6, None, "N/A", *["City A"] * 4).alias("host_location"),
-        F.when(h % 5 == 1, "see N/A here")
-        .when(h % 5 > 1, F.concat(F.lit("bio "), text(h))).alias("host_about"),
-        _pick(h % 4, None, "N/A", "within an hour", "a few days or more")
-        .alias("host_response_time"),
-        F.when(h % 4 == 1, "N/A")
-        .when(h % 4 > 1, F.concat(text((h * 3 + y) % 50 + 50), F.lit("%")))
-        .alias("host_response_rate"),
-        F.when((h + y) % 5 == 1, "N/A")
-        .when((h + y) % 5 > 1, F.concat(text((h * 7 + y) % 101), F.lit("%")))
-        .alias("host_acceptance_rate"),
-        _pick((h * 7 + y) % 5, None, "t", "t", "f", "f").alias("host_is_superhost"),
-        F.when(h % 10 != 4, F.concat(F.lit("https://example.org/hp/"), text(h)))
-        .alias("host_picture_url"),
-        F.when(h % 3 != 0, F.col("n_name")).alias("host_neighbourhood"),
-        F.when(h % 11 != 0, whole(h % 40)).alias("host_listings_count"),
-        F.when(h % 11 != 0, whole(h % 50)).alias("host_total_listings_count"),
-        _pick(h % 4, None, "None", "N/A", "[email, phone]").alias("host_verifications"),
-        _pick(h % 3, "f", "t", None).alias("host_has_profile_pic"),
-        _pick((h + 1) % 3, "f", "t", None).alias("host_identity_verified"),
-        F.when(i % 5 != 0, "Neighborhood highlights").alias("neighbourhood"),
-        F.col("n_name").alias("neighbourhood_cleansed"),
-        ((i % 1000 + 379000).cast("double") / 10000).alias("latitude"),
-        ((i % 777 + 237000).cast("double") / 10000).alias("longitude"),
-        kind.alias("property_type"),
-        F.col("c_mktsegment").alias("room_type"),
-        whole(k % 8 + 1).alias("accommodates"),
-        F.when(k % 10 != 0, (k % 5 + 1) * F.lit(0.5).cast("double")).alias("bathrooms"),
-        _pick(i % 4, None, "N/A", "1 bath", "1.5 shared baths").alias("bathrooms_text"),
-        F.when(k % 11 != 0, whole(k % 4 + 1)).alias("bedrooms"),
-        F.when(k % 12 != 0, whole(k % 6 + 1)).alias("beds"),
-        F.when(k % 2 == 0, '["Wifi", "Kitchen"]').otherwise('["Wifi"]').alias("amenities"),
-        F.when(k % 17 != 0, money).alias("price"),
-        whole(k % 30 + 1).alias("minimum_nights"),
-        whole(k % 336 + 30).alias("maximum_nights"),
-        whole(k % 366).alias("availability_365"),
-        whole(k % 400).alias("number_of_reviews"),
-        (k % 60).cast("smallint").alias("number_of_reviews_ltm"),
-        (k % 50).cast("smallint").alias("number_of_reviews_ly"),
-        text(k % 256).alias("estimated_occupancy_l365d"),
-        F.when(k % 17 != 0, text(k % 256 * 100)).alias("estimated_revenue_l365d"),
-        quote_day(0).alias("price_quote_checkin_date"),
-        quote_day(3).alias("price_quote_checkout_date"),
-        F.when(quoted, money).alias("price_quote_total_price"),
-        F.when(quoted, night_text).alias("price_quote_price_per_night"),
-        F.when(quoted, F.concat(money, F.lit(" for 3 nights"))).alias("price_quote_raw"),
-        score(0).alias("review_scores_rating"),
-        score(13).alias("review_scores_accuracy"),
-        score(26).alias("review_scores_cleanliness"),
-        score(39).alias("review_scores_checkin"),
-        score(52).alias("review_scores_communication"),
-        score(65).alias("review_scores_location"),
-        score(78).alias("review_scores_value"),
-        F.when((i + y) % 6 == 1, "").when((i + y) % 6 == 2, "Exempt")
-        .when((i + y) % 6 > 2, F.concat(F.lit("0000"), text(i))).alias("license"),
-        _pick(k % 3, None, "t", "f").alias("instant_bookable"),
-        F.col("n_all").alias("calculated_host_listings_count"),
-        F.col("n_1").alias("calculated_host_listings_count_entire_homes"),
-        F.col("n_2").alias("calculated_host_listings_count_private_rooms"),
-        F.col("n_3").alias("calculated_host_listings_count_shared_rooms"),
-        F.when(i % 9 != 0, (k % 500).cast("decimal(10,0)") / 100)
-        .cast("decimal(5,2)").alias("reviews_per_month"),
-        F.make_date("y", F.lit(12), F.lit(31)).alias("snapshot_date"),
+        *[F.expr(f"cast(count_if(kind = '{d}') as int)").alias(f"n_{d}") for d in "123"],
     )
+    rows = base.join(per_host, F.expr("host_id = _host and y = _y"), "left")
+    return rows.selectExpr(*[f"{rule} as {name}" for name, rule in _LISTING_RULES.items()])
 
 
 def neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,15 +209,14 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings as a file would carry them: all text, a few columns that are dropped later."""
     typed = listings(spark, sf_dir)
-    k = F.col("number_of_reviews") + F.col("id")
     extra = {
-        "scrape_id": F.lit("20250624"),
-        "minimum_nights_avg_ntm": F.concat((k % 30).cast("string"), F.lit(".5")),
-        "availability_30": F.when(k % 97 == 0, "unknown").otherwise((k % 31).cast("string")),
-        "calendar_updated": F.lit(None).cast("string"),
-        "host_profile_id": F.concat(F.col("host_id").cast("string"), F.lit(".0")),
+        "scrape_id": "'20250624'",
+        "minimum_nights_avg_ntm": "(number_of_reviews % 30) || '.5'",
+        "availability_30": "if(number_of_reviews % 97 = 0, 'unknown', '' || number_of_reviews % 31)",
+        "calendar_updated": "cast(null as string)",
+        "host_profile_id": "host_id || '.0'",
     }
-    return typed.select(
-        *[F.col(c).cast("string").alias(c) for c in typed.columns],
-        *[column.alias(name) for name, column in extra.items()],
+    return typed.selectExpr(
+        *[f"cast({c} as string) as {c}" for c in typed.columns],
+        *[f"{rule} as {name}" for name, rule in extra.items()],
     )

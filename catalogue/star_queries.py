@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue import inputs
@@ -12,55 +14,55 @@ from snapstar.plans import dimensions as dims, facts
 
 
 class Star:
-    """The star schema over one set of driver tables, each table planned when asked for."""
+    """The star schema over one set of driver tables, each table planned once when asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    @property
+    @cached_property
     def listings(self) -> DataFrame:
         return inputs.listings(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def reviews(self) -> DataFrame:
         return inputs.reviews(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def neighbourhoods(self) -> DataFrame:
         return inputs.neighbourhoods(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def dim_location(self) -> DataFrame:
         return dims.dim_location(self.neighbourhoods)
 
-    @property
+    @cached_property
     def dim_room_type(self) -> DataFrame:
         return dims.dim_room_type(self.listings)
 
-    @property
+    @cached_property
     def dim_property_type(self) -> DataFrame:
         return dims.dim_property_type(self.listings)
 
-    @property
+    @cached_property
     def dim_host(self) -> DataFrame:
         return dims.dim_host(self.listings)
 
-    @property
+    @cached_property
     def dim_listings(self) -> DataFrame:
         return dims.dim_listings(self.listings)
 
-    @property
+    @cached_property
     def dim_date(self) -> DataFrame:
         return dims.dim_date(self.spark)
 
-    @property
+    @cached_property
     def fact_listings(self) -> DataFrame:
         return facts.fact_listings(
             self.listings, self.dim_property_type, self.dim_room_type, self.dim_location,
             self.dim_host,
         )
 
-    @property
+    @cached_property
     def fact_reviews(self) -> DataFrame:
         return facts.fact_reviews(self.reviews)
 
