@@ -11,16 +11,16 @@ ONE_TASK_KEYS = 500_000
 
 
 def numbered(
-    keys: DataFrame, key: str, number: str, one_task_keys: int = ONE_TASK_KEYS
+    keys: DataFrame, order: list[str], number: str, one_task_keys: int = ONE_TASK_KEYS
 ) -> DataFrame:
-    """Distinct ``keys`` with ``number`` = position of the key in its sort order, from 1."""
+    """Distinct ``keys`` with ``number`` = position of the key in ``order``, from 1."""
     kept = settled(keys)
     if kept.count() <= one_task_keys:
-        return kept.withColumn(number, F.row_number().over(Window.orderBy(key)))
-    return _numbered_by_range(kept, key, number)
+        return kept.withColumn(number, F.row_number().over(Window.orderBy(*order)))
+    return _numbered_by_range(kept, order, number)
 
 
-def _numbered_by_range(keys: DataFrame, key: str, number: str) -> DataFrame:
+def _numbered_by_range(keys: DataFrame, order: list[str], number: str) -> DataFrame:
     """Same numbers: rank inside a key range plus the number of keys in all lower ranges.
 
     The range of each key is written down before it is counted, so a recomputed task cannot
@@ -29,13 +29,13 @@ def _numbered_by_range(keys: DataFrame, key: str, number: str) -> DataFrame:
     spark = keys.sparkSession
     ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     placed = settled(
-        keys.repartitionByRange(ranges, key).withColumn("_range", F.spark_partition_id())
+        keys.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
     )
     below = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("_range").agg(F.count("*").alias("_keys")).select(
         "_range", F.coalesce(F.sum("_keys").over(below), F.lit(0)).alias("_start")
     )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return (
         placed.withColumn("_position", inside)
         .join(F.broadcast(starts), "_range")  # at most `ranges` rows

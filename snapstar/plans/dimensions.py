@@ -25,7 +25,7 @@ def _numbered_names(names: DataFrame, name: str, key: str) -> DataFrame:
     """Distinct cleaned names under keys 1..n. ``Unknown`` is left to the key-0 member."""
     cleaned = names.select(clean.or_unknown(F.col(name)).alias(name))
     distinct = cleaned.where(F.col(name) != C.UNKNOWN).distinct()
-    return numbered(distinct, name, key).select(key, name)
+    return numbered(distinct, [name], key).select(key, name)
 
 
 def dim_location(neighbourhoods: DataFrame) -> DataFrame:
@@ -35,6 +35,22 @@ def dim_location(neighbourhoods: DataFrame) -> DataFrame:
     return _with_unknown(members, location_id=0, neighbourhood_cleansed=C.UNKNOWN)
 
 
+def dim_location_history(neighbourhoods: DataFrame) -> DataFrame:
+    """From the neighbourhood archive: names keep the keys of the load that brought them in."""
+    names = (
+        neighbourhoods.select(
+            clean.or_unknown(F.col("neighbourhood")).alias("neighbourhood_cleansed"),
+            "snapshot_date",
+        )
+        .where(F.col("neighbourhood_cleansed") != C.UNKNOWN)
+        .groupBy("neighbourhood_cleansed").agg(F.min("snapshot_date").alias("_since"))
+    )
+    members = numbered(names, ["_since", "neighbourhood_cleansed"], "location_id").select(
+        "location_id", "neighbourhood_cleansed"
+    )
+    return _with_unknown(members, location_id=0, neighbourhood_cleansed=C.UNKNOWN)
+
+
 def new_neighbourhoods(neighbourhoods: DataFrame, location: DataFrame) -> DataFrame:
     """Listed names the dimension lacks, for a person to review."""
     return not_listed(neighbourhoods, "neighbourhood", location, "neighbourhood_cleansed")
@@ -45,7 +61,7 @@ def extend_location(location: DataFrame, approved: DataFrame) -> DataFrame:
     fresh = approved.select(F.col("neighbourhood").alias("neighbourhood_cleansed")).distinct()
     fresh = not_listed(fresh, "neighbourhood_cleansed", location, "neighbourhood_cleansed")
     highest = location.agg(F.max("location_id")).scalar()
-    added = numbered(fresh, "neighbourhood_cleansed", "_position").select(
+    added = numbered(fresh, ["neighbourhood_cleansed"], "_position").select(
         (F.col("_position") + highest).cast("int").alias("location_id"), "neighbourhood_cleansed"
     )
     return location.unionByName(added)
@@ -59,7 +75,7 @@ def dim_room_type(listings: DataFrame) -> DataFrame:
 def dim_property_type(listings: DataFrame) -> DataFrame:
     """One row per property type: the category follows from the type alone."""
     kinds = listings.select("property_type").where(F.col("property_type") != C.UNKNOWN).distinct()
-    members = numbered(kinds, "property_type", "property_id").select(
+    members = numbered(kinds, ["property_type"], "property_id").select(
         "property_id", "property_type",
         clean.property_category(F.col("property_type")).alias("property_category"),
     )
