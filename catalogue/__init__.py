@@ -2,7 +2,7 @@
 
 from catalogue.registry import ENTRIES
 from catalogue import (  # noqa: F401  (each registers its queries)
-    star_queries, profile_queries, quality_queries, investor_queries,
+    star_queries, profile_queries, quality_queries, investor_queries, history_queries,
 )
 
 __all__ = ["ENTRIES"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from catalogue.registry import query
 from catalogue.sql_views import rate, unknown_whole
 from catalogue.star_queries import Star
-from snapstar.plans import investor
+from snapstar.plans import facts, investor
 
 _PUBLISHED = "nullif({0}, -1)"
 _HOST_STEPS = f"""
@@ -46,7 +46,7 @@ def superhost_trend(spark, sf_dir):
           FROM fact_listings)
     WHERE had <> has_license""")
 def license_transitions(spark, sf_dir):
-    return investor.license_transitions(Star(spark, sf_dir).fact_listings)
+    return investor.license_transitions(Star(spark, sf_dir).listing_facts)
 
 
 def _price_sql(dim: str, key: str, label: str) -> str:
@@ -64,14 +64,19 @@ def _price_sql(dim: str, key: str, label: str) -> str:
        _price_sql("dim_location", "location_id", "neighbourhood_cleansed"))
 def price_by_neighbourhood(spark, sf_dir):
     star = Star(spark, sf_dir)
-    return investor.price_by_neighbourhood(star.fact_listings, star.dim_location)
+    return investor.price_by_neighbourhood(
+        facts.with_location_key(star.listing_facts, star.dim_location), star.dim_location
+    )
 
 
 @query("fact_listings dim_property_type",
        _price_sql("dim_property_type", "property_id", "property_type"))
 def price_by_property_type(spark, sf_dir):
     star = Star(spark, sf_dir)
-    return investor.price_by_property_type(star.fact_listings, star.dim_property_type)
+    return investor.price_by_property_type(
+        facts.with_property_key(star.listing_facts, star.dim_property_type),
+        star.dim_property_type,
+    )
 
 
 @query("fact_listings dim_location", """
@@ -81,7 +86,9 @@ def price_by_property_type(spark, sf_dir):
     GROUP BY snapshot_date, neighbourhood_cleansed, license_status""")
 def license_by_neighbourhood(spark, sf_dir):
     star = Star(spark, sf_dir)
-    return investor.license_by_neighbourhood(star.fact_listings, star.dim_location)
+    return investor.license_by_neighbourhood(
+        facts.with_location_key(star.listing_facts, star.dim_location), star.dim_location
+    )
 
 
 @query("fact_reviews dim_date", """

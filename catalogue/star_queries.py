@@ -35,13 +35,17 @@ class Star:
     def dim_location(self) -> DataFrame:
         return dims.dim_location(self.neighbourhoods)
 
+    @cached_property
+    def _names(self) -> dict[str, DataFrame]:
+        return dims.observed_names(self.listings)
+
     @cached_property
     def dim_room_type(self) -> DataFrame:
-        return dims.dim_room_type(self.listings)
+        return dims.dim_room_type(self._names["room_type"])
 
     @cached_property
     def dim_property_type(self) -> DataFrame:
-        return dims.dim_property_type(self.listings)
+        return dims.dim_property_type(self._names["property_type"])
 
     @cached_property
     def dim_host(self) -> DataFrame:
@@ -55,6 +59,11 @@ class Star:
     def dim_date(self) -> DataFrame:
         return dims.dim_date(self.spark)
 
+    @cached_property
+    def listing_facts(self) -> DataFrame:
+        """The listing fact for questions that need no dimension key."""
+        return facts.listing_facts(self.listings)
+
     @cached_property
     def fact_listings(self) -> DataFrame:
         return facts.fact_listings(

@@ -10,6 +10,7 @@ from snapstar.functions.calendar import calendar_columns
 from snapstar.operators.keys import numbered
 from snapstar.operators.latest import latest_per_key
 from snapstar.operators.matching import not_listed
+from snapstar.session import settled
 
 
 def _with_unknown(members: DataFrame, **values) -> DataFrame:
@@ -67,6 +68,15 @@ def extend_location(location: DataFrame, approved: DataFrame) -> DataFrame:
     return location.unionByName(added)
 
 
+def observed_names(listings: DataFrame) -> dict[str, DataFrame]:
+    """The distinct room and property types of the history, found in one pass over it."""
+    columns = ["room_type", "property_type"]
+    found = settled(
+        listings.select(*columns).unpivot([], columns, "_of", "_name").distinct()
+    )
+    return {c: found.where(F.col("_of") == c).select(F.col("_name").alias(c)) for c in columns}
+
+
 def dim_room_type(listings: DataFrame) -> DataFrame:
     members = _numbered_names(listings.select("room_type"), "room_type", "room_id")
     return _with_unknown(members, room_id=0, room_type=C.UNKNOWN)

@@ -43,6 +43,34 @@ def listing_measures() -> dict[str, Column]:
     return measures
 
 
+NATURAL_KEYS = ("host_id", "property_type", "room_type", "neighbourhood_cleansed")
+
+
+def listing_facts(listings: DataFrame) -> DataFrame:
+    """One row per listing and snapshot: natural keys and measures, no join."""
+    return listings.select(
+        F.col("id").alias("listing_id"), "snapshot_date", *NATURAL_KEYS,
+        *[column.alias(name) for name, column in listing_measures().items()],
+    )
+
+
+def with_property_key(rows: DataFrame, property_types: DataFrame) -> DataFrame:
+    return look_up(rows, property_types, {"property_type": "property_type"}, "property_id")
+
+
+def with_room_key(rows: DataFrame, room_types: DataFrame) -> DataFrame:
+    return look_up(rows, room_types, {"room_type": "room_type"}, "room_id")
+
+
+def with_location_key(rows: DataFrame, locations: DataFrame) -> DataFrame:
+    natural = {"neighbourhood_cleansed": "neighbourhood_cleansed"}
+    return look_up(rows, locations, natural, "location_id")
+
+
+def with_host_key(rows: DataFrame, hosts: DataFrame) -> DataFrame:
+    return keep_known_keys(rows, hosts, "host_id")
+
+
 def fact_listings(
     listings: DataFrame, property_types: DataFrame, room_types: DataFrame,
     locations: DataFrame, hosts: DataFrame,
@@ -52,20 +80,12 @@ def fact_listings(
     The three small dimensions are broadcast after a count; the host key is checked against
     ``hosts`` without moving the facts. No shuffle carries fact rows.
     """
-    measures = listing_measures()
-    facts = listings.select(
-        F.col("id").alias("listing_id"), "snapshot_date", "host_id",
-        "property_type", "room_type", "neighbourhood_cleansed",
-        *[column.alias(name) for name, column in measures.items()],
-    )
-    facts = keep_known_keys(facts, hosts, "host_id")
-    facts = look_up(facts, property_types, {"property_type": "property_type"}, "property_id")
-    facts = look_up(facts, room_types, {"room_type": "room_type"}, "room_id")
-    facts = look_up(
-        facts, locations, {"neighbourhood_cleansed": "neighbourhood_cleansed"}, "location_id"
-    )
+    keyed = with_host_key(listing_facts(listings), hosts)
+    keyed = with_property_key(keyed, property_types)
+    keyed = with_room_key(keyed, room_types)
+    keyed = with_location_key(keyed, locations)
     keys = ("listing_id", "snapshot_date", "host_id", "property_id", "room_id", "location_id")
-    return facts.select(*keys, *measures)
+    return keyed.select(*keys, *listing_measures())
 
 
 def fact_reviews(reviews: DataFrame) -> DataFrame:

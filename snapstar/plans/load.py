@@ -124,10 +124,13 @@ def rebuild(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         rows.write.mode("overwrite").partitionBy(*partition).parquet(path)
         return spark.read.schema(rows.schema).parquet(path)
 
+    names = dims.observed_names(listings)
     star = {
         "DimLocation": store("DimLocation", dims.dim_location_history(neighbourhoods)),
-        "DimRoomType": store("DimRoomType", dims.dim_room_type(listings)),
-        "DimPropertyType": store("DimPropertyType", dims.dim_property_type(listings)),
+        "DimRoomType": store("DimRoomType", dims.dim_room_type(names["room_type"])),
+        "DimPropertyType": store(
+            "DimPropertyType", dims.dim_property_type(names["property_type"])
+        ),
         "DimHost": store("DimHost", dims.dim_host(listings)),
         "DimListings": store("DimListings", dims.dim_listings(listings)),
         "DimDate": store("DimDate", dims.dim_date(spark)),
