@@ -77,13 +77,33 @@ def primary_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows without a dimension member, per relation."""
-    return stacked([
-        unmatched_rows(tables[fact], key, tables[dim], member).select(
-            F.lit(f"{fact}.{key}").alias("relation"), "orphan_rows"
+    """Fact rows without a dimension member, per relation.
+
+    Each fact is read once: all its keys are counted together, and the counts, one row per
+    relation and key, are matched with the members of all dimensions in one join.
+    """
+    def number(rows: DataFrame, column: str):
+        is_date = dict(rows.dtypes)[column] == "date"
+        return F.unix_date(column).cast("bigint") if is_date else F.col(column).cast("bigint")
+
+    used, members = [], []
+    for fact in dict.fromkeys(relation[0] for relation in RELATIONS):
+        keys = [relation[1] for relation in RELATIONS if relation[0] == fact]
+        rows = tables[fact]
+        long = rows.select(*[number(rows, key).alias(f"{fact}.{key}") for key in keys]).unpivot(
+            [], [f"`{fact}.{key}`" for key in keys], "relation", "key"
         )
-        for fact, key, dim, member in RELATIONS
-    ])
+        used.append(long.groupBy("relation", "key").agg(F.count("*").alias("_rows")))
+    for fact, key, dim, member in RELATIONS:
+        members.append(tables[dim].select(
+            F.lit(f"{fact}.{key}").alias("relation"), number(tables[dim], member).alias("key")
+        ))
+    known = stacked(members).withColumn("_known", F.lit(True))
+    missing = F.when(F.col("_known").isNull(), F.col("_rows")).otherwise(0)
+    return (
+        stacked(used).join(known, ["relation", "key"], "left")
+        .groupBy("relation").agg(F.sum(missing).alias("orphan_rows"))
+    )
 
 
 _NAMED = {

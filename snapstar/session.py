@@ -13,10 +13,15 @@ def local_session(cores: int | str = "*", app: str = "snapstar", **settings: str
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     defaults = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        # Small shuffles still use every core of one machine.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+        # HotSpot compiles no method above 8000 bytes; wide projections run faster split up.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)
