@@ -11,11 +11,12 @@ def latest_per_key(
     """``key`` and ``columns`` of the row with the highest ``version``, lowest ``tie``.
 
     An aggregation, not a ranking: every task first keeps one row per key of its own input,
-    so a key that holds a large share of the rows costs no more than any other, and columns
-    nobody asks for later are pruned out of the shuffle.
+    so a key that holds a large share of the rows costs no more than any other. Rows that agree
+    even on the tie are told apart by their columns, so a repeated task gives the same answer.
     """
-    newest = F.max_by(F.struct(*columns), F.struct(F.col(version), -F.col(tie)))
-    return rows.groupBy(key).agg(newest.alias("_newest")).select(key, "_newest.*")
+    newest = F.max(F.struct(F.col(version), (-F.col(tie)).alias("_tie"), F.struct(*columns)
+                            .alias("_row")))
+    return rows.groupBy(key).agg(newest.alias("_newest")).select(key, "_newest._row.*")
 
 
 def first_per_group(

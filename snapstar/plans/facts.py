@@ -91,19 +91,18 @@ def fact_listings(
 def fact_reviews(reviews: DataFrame) -> DataFrame:
     """One row per review: newest attributes, first snapshot seen, still in the newest one.
 
-    Only the narrow columns enter the shuffle; review texts stay in the archive.
+    Only the narrow columns enter the shuffle; review texts stay in the archive. Each task keeps
+    one row per review of its input, whatever share of the rows one review holds.
     """
-    newest = F.max_by(
-        F.struct("listing_id", "date", "reviewer_id"),
-        F.struct("snapshot_date", -F.col("listing_id")),
-    )
+    newest = F.max(F.struct(
+        "snapshot_date", (-F.col("listing_id")).alias("listing"), "date", "reviewer_id"
+    ))
     seen = reviews.groupBy(F.col("id").alias("review_id")).agg(
-        newest.alias("_newest"),
-        F.min("snapshot_date").alias("first_snapshot_date"),
-        F.max("snapshot_date").alias("_last_seen"),
+        newest.alias("newest"), F.min("snapshot_date").alias("first_snapshot_date")
     )
     newest_snapshot = reviews.agg(F.max("snapshot_date")).scalar()
     return seen.select(
-        "review_id", "_newest.*", "first_snapshot_date",
-        (F.col("_last_seen") == newest_snapshot).cast("int").alias("is_active"),
+        "review_id", (-F.col("newest.listing")).alias("listing_id"), "newest.date",
+        "newest.reviewer_id", "first_snapshot_date",
+        (F.col("newest.snapshot_date") == newest_snapshot).cast("int").alias("is_active"),
     )
