@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapstar import contracts as C
 from snapstar.operators.tallies import row_counts, stacked
 from snapstar.plans import dimensions as dims, facts, history, profiles, quality
+from snapstar.session import settled
 from snapstar.sources import csv_snapshots, fit
 
 KINDS = ("reviews", "neighbourhoods", "listings")  # listings last: their partition marks the load
@@ -22,7 +23,7 @@ def stage(
     if kind == "listings":
         raw = raw.drop(*C.LISTING_DROPPED)
     dated = raw.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
-    report = fit.widening_report(raw.drop("snapshot_date"), kind)
+    report = settled(fit.widening_report(raw.drop("snapshot_date"), kind))
     typed = fit.typed(dated, kind, report).withColumn(
         "snapshot_date", F.col("snapshot_date").cast("date")
     )
@@ -49,7 +50,7 @@ def load(
     spark: SparkSession, feed: str, root: str, subfolders: list[str] | None = None,
     approved: list[str] | None = None, multi_line: bool = True,
 ) -> dict[str, DataFrame]:
-    """Load the snapshots of ``subfolders`` into the archives; reports by name.
+    """Load the snapshots of ``subfolders`` into the archives; small, settled reports by name.
 
     New neighbourhood names enter the location dimension only when listed in ``approved``; the
     ``new_neighbourhoods`` report shows those still waiting. The first load takes them all.
@@ -73,7 +74,7 @@ def load(
             waiting, "neighbourhood", "left_semi"
         )
         waiting = waiting.where(~F.col("neighbourhood").isin(approved or []))
-    waiting = waiting.select("neighbourhood")
+    waiting = settled(waiting.select("neighbourhood"))
 
     batch = {
         "reviews": staged["reviews"], "neighbourhoods": names,
@@ -89,13 +90,16 @@ def load(
               "snapshot_date", "left_semi")
         for kind in ("listings", "reviews")
     }
+    reconciled = settled(
+        quality.append_reconcile({kind: staged[kind] for kind in archived}, archived)
+    )
+    if not reconciled.where(~F.col("agrees")).isEmpty():
+        raise C.ContractError(f"staged and archived rows differ: {reconciled.collect()}")
     return {
         "types": stacked([
             report.select(F.lit(kind).alias("table_name"), "*") for kind, report in reports.items()
         ]),
-        "reconciled": quality.append_reconcile(
-            {kind: staged[kind] for kind in archived}, archived
-        ),
+        "reconciled": reconciled,
         "new_neighbourhoods": waiting,
     }
 

@@ -81,11 +81,6 @@ def widening_report(raw: DataFrame, kind: str) -> DataFrame:
         else:
             continue
         labels[column] = f"'{declared}' as declared, {_length(declared) or 'null'} as room"
-    # Plain literals would make this a projection; the aggregate keeps it to one row.
-    measures = {
-        c: {n: a if "(" in a and "cast(" not in a[:5] else f"any_value({a})" for n, a in each.items()}
-        for c, each in measures.items()
-    }
     too_long = F.col("longest") > F.col("room")
     final = (
         F.when((F.col("not_numeric") > 0) | too_long, "text")
