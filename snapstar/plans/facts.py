@@ -80,12 +80,14 @@ def fact_listings(
     The three small dimensions are broadcast after a count; the host key is checked against
     ``hosts`` without moving the facts. No shuffle carries fact rows.
     """
-    keyed = with_host_key(listing_facts(listings), hosts)
+    facts = listing_facts(listings)
+    measures = [c for c in facts.columns[2:] if c not in NATURAL_KEYS]
+    keyed = with_host_key(facts, hosts)
     keyed = with_property_key(keyed, property_types)
     keyed = with_room_key(keyed, room_types)
     keyed = with_location_key(keyed, locations)
     keys = ("listing_id", "snapshot_date", "host_id", "property_id", "room_id", "location_id")
-    return keyed.select(*keys, *listing_measures())
+    return keyed.select(*keys, *measures)
 
 
 def fact_reviews(reviews: DataFrame) -> DataFrame:

@@ -41,19 +41,19 @@ def retag_categories(listings: DataFrame) -> DataFrame:
 
 def conform(rows: DataFrame, kind: str) -> DataFrame:
     """``rows`` in the archive's columns and types, by name; columns it lacks are null."""
-    have = {name: kind_ for name, kind_ in rows.dtypes}
+    have = dict(rows.dtypes)
     columns = []
     for name, target in C.ARCHIVE[kind]:
         if name not in have:
-            column = F.lit(None).cast(target)
+            value = f"cast(null as {target})"
         elif have[name] == target:
-            column = F.col(name)
+            value = f"`{name}`"
         elif have[name] == "string":
-            column = strict(F.col(name), target, name)
+            value = strict(name, target)
         else:
-            column = F.col(name).cast(target)
-        columns.append(column.alias(name))
-    return rows.select(*columns)
+            value = f"cast(`{name}` as {target})"
+        columns.append(f"{value} as `{name}`")
+    return rows.selectExpr(*columns)
 
 
 def _path(root: str, kind: str) -> str:

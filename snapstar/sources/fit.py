@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from snapstar import contracts as C
 
@@ -97,16 +97,21 @@ def widening_report(raw: DataFrame, kind: str) -> DataFrame:
     )
 
 
-def strict(text: Column, kind: str, column: str) -> Column:
-    """Cast that stops the job on a value it cannot take, whatever the session's ANSI mode."""
+def strict(column: str, kind: str) -> str:
+    """SQL cast of a text column that stops the job on a value it cannot take.
+
+    It does so whatever the session's ANSI mode, and names the column and the value.
+    """
+    text = f"`{column}`"
     if kind in WHOLE_TYPES:
-        value = F.trim(text).try_cast("decimal(38,6)").try_cast(kind)
+        value = f"try_cast(try_cast(trim({text}) as decimal(38,6)) as {kind})"
     elif kind == "date":
-        value = F.coalesce(*[F.try_to_date(text, f) for f in C.QUOTE_DATE_FORMATS])
+        value = ", ".join(f"try_to_date({text}, '{f}')" for f in C.QUOTE_DATE_FORMATS)
+        value = f"coalesce({value})"
     else:
-        value = F.trim(text).try_cast(kind)
-    message = F.concat(F.lit(f"{column} cannot hold "), text, F.lit(f" as {kind}"))
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+        value = f"try_cast(trim({text}) as {kind})"
+    message = f"'{column} cannot hold ' || {text} || ' as {kind}'"
+    return f"if({text} is not null and {value} is null, raise_error({message}), {value})"
 
 
 def typed(raw: DataFrame, kind: str, report: DataFrame) -> DataFrame:
@@ -115,8 +120,6 @@ def typed(raw: DataFrame, kind: str, report: DataFrame) -> DataFrame:
     columns = []
     for column, declared in _declared(raw, kind).items():
         target = final.get(column, declared)
-        text = F.col(f"`{column}`")
-        columns.append(
-            (text if target.startswith("text") else strict(text, target, column)).alias(column)
-        )
-    return raw.select(*columns)
+        value = f"`{column}`" if target.startswith("text") else strict(column, target)
+        columns.append(f"{value} as `{column}`")
+    return raw.selectExpr(*columns)
