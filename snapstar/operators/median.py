@@ -6,19 +6,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def grouped_median(
-    rows: DataFrame, groups: list[str], value: str, band_width: int = 1000
+    counted: DataFrame, groups: list[str], value: str, rows: str, band_width: int = 1000
 ) -> DataFrame:
     """``groups`` and the exact ``median`` of the decimal(10,2) column ``value``.
 
-    Equal values are counted before the shuffle. A first, coarse cumulative count over bands of
+    ``counted`` has one row per group and value, and ``rows`` says how often it occurs. It is read
+    twice, so it should be a settled result. A first, coarse cumulative count over bands of
     ``band_width`` finds the band each middle row lies in; only that band is then ranked finely.
     With two decimals a group has at most 1e8 / band_width bands, and a band at most
     100 * band_width values, so every window has a fixed size bound whatever the group holds.
     """
-    counted = (
-        rows.where(F.col(value).isNotNull()).groupBy(*groups, value)
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_band", F.floor(F.col(value) / band_width))
+    counted = counted.where(F.col(value).isNotNull()).select(
+        *groups, value, F.col(rows).alias("_n"), F.floor(F.col(value) / band_width).alias("_band")
     )
     in_group = Window.partitionBy(*groups)
     upward = in_group.orderBy("_band").rowsBetween(Window.unboundedPreceding, 0)

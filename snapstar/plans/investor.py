@@ -9,6 +9,7 @@ from snapstar.functions import cleaning as clean
 from snapstar.operators.latest import latest_per_key
 from snapstar.operators.matching import broadcast_if_small
 from snapstar.operators.median import grouped_median
+from snapstar.session import settled
 
 
 def _host_snapshots(listings: DataFrame, **measures: Column) -> DataFrame:
@@ -64,16 +65,25 @@ def license_transitions(fact: DataFrame) -> DataFrame:
 
 
 def _price_by(fact: DataFrame, key: str, dim: DataFrame, label: str) -> DataFrame:
-    """Price spread per snapshot and member; members join after the facts are counted."""
+    """Price spread per snapshot and member.
+
+    The facts are read once, into rows per price; spread and median come from those, and the
+    members join last.
+    """
     groups = ["snapshot_date", key]
-    spread = fact.groupBy(*groups).agg(
-        F.count("*").alias("listings"), F.count("price").alias("priced"),
+    prices = settled(fact.groupBy(*groups, "price").agg(F.count("*").alias("_rows")))
+    priced = F.when(F.col("price").isNotNull(), F.col("_rows"))
+    spread = prices.groupBy(*groups).agg(
+        F.sum("_rows").alias("listings"), F.coalesce(F.sum(priced), F.lit(0)).alias("priced"),
         F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-        clean.mean(F.sum("price"), F.count("price")).alias("avg_price"),
+        clean.mean(F.sum(F.col("price") * F.col("_rows")), F.sum(priced)).alias("avg_price"),
     )
-    middle = grouped_median(fact, groups, "price").withColumnRenamed("median", "median_price")
+    middle = grouped_median(prices, groups, "price", "_rows")
     names = broadcast_if_small(dim.select(key, label))
-    return spread.join(middle, groups, "left").join(names, key).drop(key)
+    return (
+        spread.join(middle.withColumnRenamed("median", "median_price"), groups, "left")
+        .join(names, key).drop(key)
+    )
 
 
 def price_by_neighbourhood(fact: DataFrame, locations: DataFrame) -> DataFrame:
