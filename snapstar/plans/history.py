@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from snapstar import contracts as C
@@ -60,15 +59,15 @@ def _path(root: str, kind: str) -> str:
     return f"{root}/history/{kind}"
 
 
+def create(spark: SparkSession, root: str) -> None:
+    """Empty archives where there are none yet; existing ones are left alone."""
+    for kind in C.ARCHIVE:
+        nothing = spark.createDataFrame([], C.archive_schema(kind))
+        nothing.write.mode("ignore").partitionBy("snapshot_date").parquet(_path(root, kind))
+
+
 def read_archive(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """The archive; empty before the first load."""
-    schema = C.archive_schema(kind)
-    try:
-        return spark.read.schema(schema).parquet(_path(root, kind))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.read.schema(C.archive_schema(kind)).parquet(_path(root, kind))
 
 
 def loaded_among(candidates: DataFrame, listings: DataFrame) -> DataFrame:

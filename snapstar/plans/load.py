@@ -55,6 +55,7 @@ def load(
     New neighbourhood names enter the location dimension only when listed in ``approved``; the
     ``new_neighbourhoods`` report shows those still waiting. The first load takes them all.
     """
+    history.create(spark, root)
     listed = csv_snapshots.discover(spark, feed, subfolders)
     dates = [
         r.day for r in listed.where(F.col("kind") == "listings")

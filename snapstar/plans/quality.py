@@ -170,3 +170,24 @@ def date_coverage(fact: DataFrame, dates: DataFrame) -> DataFrame:
             F.lit(side).alias("side"), "first_day", "last_day"
         )
     return bounds("reviews", fact).unionByName(bounds("calendar", dates))
+
+
+def column_list(tables: dict[str, DataFrame]) -> list[tuple[str, int, str, str, bool]]:
+    """(table, position, column, type, nullable) of every table; reads no data."""
+    return [
+        (name, position, field.name, field.dataType.simpleString(), field.nullable)
+        for name, table in tables.items()
+        for position, field in enumerate(table.schema.fields, 1)
+    ]
+
+
+def schema_differences(rows: DataFrame, kind: str) -> list[str]:
+    """How ``rows`` differ in name or type from the archive of ``kind``; empty when they agree."""
+    expected, have = dict(C.ARCHIVE[kind]), dict(rows.dtypes)
+    notes = [f"missing {name}" for name in expected if name not in have]
+    notes += [f"unknown {name}" for name in have if name not in expected]
+    notes += [
+        f"{name} is {have[name]}, not {kind_}" for name, kind_ in expected.items()
+        if name in have and have[name] != kind_
+    ]
+    return notes

@@ -77,7 +77,14 @@ def test_archives_and_star(spark, loaded):
     checks = {r.check: (r.value, r.expected) for r in load.acceptance(spark, root).collect()}
     assert all(expected in (None, value) for value, expected in checks.values())
     assert checks["orphaned_review_listing_ids"][0] == 3  # reviews 0, 4 and 8
-    assert len(history.read_archive(spark, root, "listings").columns) == 64
+    archive = history.read_archive(spark, root, "listings")
+    assert len(archive.columns) == 64 and quality.schema_differences(archive, "listings") == []
+    assert quality.schema_differences(archive.drop("price").withColumn("id", archive.id.cast("int"))
+                                      .withColumn("x", archive.id), "listings") == [
+        "missing price", "unknown x", "id is int, not bigint"]
+    columns = quality.column_list(load.read_star(spark, root))
+    assert ("DimRoomType", 1, "room_id", "int", True) in columns
+    assert {row[0] for row in columns} == set(load.STAR)
 
 
 def test_quote_columns_are_null_before_they_existed(spark, loaded):
