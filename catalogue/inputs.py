@@ -142,9 +142,7 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest order of each customer and year, with its customer, nation and host."""
     suppliers = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
-    newest = F.max_by(
-        F.struct("o_orderkey", "amount", "o_orderpriority"), F.struct("o_orderdate", "o_orderkey")
-    )
+    newest = F.max(F.struct("o_orderdate", "o_orderkey", "amount", "o_orderpriority"))
     latest = (
         order_feed(spark, sf_dir).groupBy("o_custkey", "y").agg(newest.alias("_o"))
         .select("o_custkey", "y", "_o.*")

@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 
 from snapstar import contracts as C
-from snapstar.plans import history, load, quality
+from snapstar.plans import facts, history, load, quality
 
 DAYS = ["2025-06-24", "2025-09-26", "2026-06-28"]
 
@@ -179,3 +179,11 @@ def test_a_snapshot_filter_reads_its_partition_only(spark, loaded):
     plan = one.select("id", "price")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
     assert "ReadSchema: struct<id:bigint,price:string>" in plan
+
+
+def test_review_texts_stay_in_the_archive(spark, loaded):
+    _, root, _, _ = loaded
+    fact = facts.fact_reviews(history.read_archive(spark, root, "reviews"))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<listing_id:bigint,id:bigint,date:date,reviewer_id:bigint>" in plan
+    assert "partial_max" in plan and "Window" not in plan
