@@ -20,8 +20,6 @@ def local_session(cores: int | str = "*", app: str = "snapstar", **settings: str
         "spark.sql.adaptive.enabled": "true",
         # Small shuffles still use every core of one machine.
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
-        # The wide inputs derived from the raw tables run faster in methods HotSpot compiles.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)
