@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstar.llm import chat, line_rules, sharding, warc
+from snapstar.llm import chat, line_rules, quality, sharding, toxicity, warc
 
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chat_formatting": (chat.op1_chat_formatting, chat.OP1_SQL),
     "op8_sharding": (sharding.op8_sharding, sharding.OP8_SQL),
     "op10_quality_rules": (line_rules.op10_quality_rules, line_rules.OP10_SQL),
     "op9_warc": (warc.op9_warc, warc.OP9_SQL),
+    "op2_toxicity": (toxicity.op2_toxicity, None),
+    "op7_quality_classifier": (quality.op7_quality_classifier, None),
 }

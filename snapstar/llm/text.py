@@ -34,7 +34,7 @@ def byte_words(text: str | None) -> list[bytes]:
 
 
 # Odd multiplier and its inverse modulo 2**64, for hashes of words by differences of prefix sums.
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _BLANK_BYTES = np.zeros(256, bool)
 _BLANK_BYTES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -53,10 +53,16 @@ _VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF9
 _VALUES[ord("A"):ord("Z") + 1] = _VALUES[ord("a"):ord("z") + 1]
 
 
-def _powers(base: np.uint64, count: int) -> np.ndarray:
-    out = np.full(count, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out) if count else out
+_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+def _powers(way: str, count: int) -> np.ndarray:
+    """The first powers of the multiplier or of its inverse; kept, as long as the longest text."""
+    if len(_POWERS[way]) < count:
+        out = np.full(max(count, 4096), MULTIPLIER if way == "up" else _INVERSE, np.uint64)
+        out[0] = 1
+        _POWERS[way] = np.multiply.accumulate(out)
+    return _POWERS[way][:count]
 
 
 def word_hashes(text: str | None, bare: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,17 +81,17 @@ def word_hashes(text: str | None, bare: bool = False) -> tuple[np.ndarray, np.nd
         values = np.where(skip, np.uint64(0), values)
         # Letters are numbered without the punctuation between them.
         place = np.concatenate(([0], np.cumsum(~skip)))
-        powers = _powers(_BASE, len(raw) + 1)
+        powers = _powers("up", len(raw) + 1)
         sums = np.concatenate(([np.uint64(0)], np.cumsum(values * powers[place[:-1]], dtype=np.uint64)))
         size = place[end] - place[start]
-        hashes = (sums[end] - sums[start]) * _powers(_INVERSE, len(raw) + 1)[place[start]]
+        hashes = (sums[end] - sums[start]) * _powers("down", len(raw) + 1)[place[start]]
         some = size > 0
         start, end, hashes, size = start[some], end[some], hashes[some], size[some]
     else:
         sums = np.concatenate((
-            [np.uint64(0)], np.cumsum(values * _powers(_BASE, len(raw)), dtype=np.uint64)
+            [np.uint64(0)], np.cumsum(values * _powers("up", len(raw)), dtype=np.uint64)
         ))
-        hashes = (sums[end] - sums[start]) * _powers(_INVERSE, len(raw) + 1)[start]
+        hashes = (sums[end] - sums[start]) * _powers("down", len(raw) + 1)[start]
         size = end - start
     return mixed(hashes + size.astype(np.uint64)), start, end
 
@@ -97,5 +103,5 @@ def shingles(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     width = min(size, len(hashes))
     out = np.full(len(hashes) - width + 1, np.uint64(width))
     for k in range(width):
-        out = mixed(out * _BASE + hashes[k:len(hashes) - width + 1 + k])
+        out = mixed(out * MULTIPLIER + hashes[k:len(hashes) - width + 1 + k])
     return np.unique(out)
