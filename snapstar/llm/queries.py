@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstar.llm import chat, line_rules, pieces, quality, sharding, toxicity, warc
+from snapstar.llm import chat, decontaminate, line_rules, pieces, quality, sharding, toxicity, warc
 
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chat_formatting": (chat.op1_chat_formatting, chat.OP1_SQL),
@@ -16,4 +16,5 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_toxicity": (toxicity.op2_toxicity, None),
     "op7_quality_classifier": (quality.op7_quality_classifier, None),
     "op6_sentencepiece": (pieces.op6_sentencepiece, None),
+    "op3_decontamination": (decontaminate.op3_decontamination, None),
 }
