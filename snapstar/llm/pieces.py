@@ -19,9 +19,11 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snapstar.llm.text import table
@@ -29,7 +31,7 @@ from snapstar.llm.text import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Bounds of what a task keeps: letters of texts walked together, words and pairs remembered.
-LETTERS, KEPT = 8_000_000, 1_000_000
+LETTERS, KEPT = 4_000_000, 250_000
 # Blanks belong to the word behind them; line ends are words of their own in most models.
 _WORD = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -45,7 +47,7 @@ class Model:
     unknown: int
     #: What has been found out so far, for the life of a task's process.
     pairs: dict[int, bool] = field(default_factory=dict)
-    known: dict[str, list[int]] = field(default_factory=dict)
+    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __getstate__(self):
         named = ("pieces", "scores", "normal", "byte_of", "unknown")
@@ -90,7 +92,7 @@ class Model:
         self.pairs[before << 32 | piece] = found
         return found
 
-    def walk(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+    def walk(self, words: Iterable[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
         """Ids of each of the sorted distinct words."""
         ids, lengths, pairs = self.ids, self.lengths, self.pairs
         last, size, previous = [-1], [0], ""
@@ -120,34 +122,21 @@ class Model:
                     raw = word[at - 1:at].encode("utf-8", "surrogatepass")
                     out += [self.id_of_byte.get(b, self.unknown) for b in reversed(raw)]
                 at -= size[at]
-            out.reverse()
             previous = word
-            yield word, out
-
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """Ids of each text; null and empty texts have none."""
-        batch: list[list[str]] = []
-        letters = 0
-        for text in texts:
-            words = _WORD.findall(MARK + text.replace(" ", MARK)) if text else []
-            batch.append(words)
-            letters += len(text or "")
-            if letters >= LETTERS:
-                yield from self._encoded(batch)
-                batch, letters = [], 0
-        yield from self._encoded(batch)
-
-    def _encoded(self, batch: list[list[str]]) -> Iterator[np.ndarray]:
-        known = self.known
-        if len(known) > KEPT:
-            known.clear()
-        new = set().union(*batch).difference(known)
-        known.update(self.walk(sorted(new)))
+            yield word, tuple(reversed(out))
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts behind one another, where each text's ids end)."""
+        batch = [_WORD.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
+        if len(self.known) > KEPT:
+            self.known.clear()
+        self.known.update(self.walk(sorted(set().union(*batch).difference(self.known))))
+        known = self.known.__getitem__
+        ids, ends = [], []
         for words in batch:
-            out: list[int] = []
-            for word in words:
-                out += known[word]
-            yield np.array(out, np.int32)
+            ids += chain.from_iterable(map(known, words))
+            ends.append(len(ids))
+        return np.array(ids, np.int32), np.array(ends, np.int64)
 
     @cached_property
     def shown(self) -> tuple[np.ndarray, list[str]]:
@@ -192,21 +181,39 @@ def load(path: str = MODEL) -> Model:
     probe = "A  b ①\n c "
     if len(model.byte_of) != 256 or held.decode(held.encode(probe)) != probe or held.encode(
         probe
-    ) != next(model.encode([probe])).tolist():
+    ) != model.encode([probe])[0].tolist():
         raise ValueError(f"{path}: not an identity-normalised model of merges with byte fallback")
     return model
 
 
-def encoder(model: Model):
-    """A column function: array<int> of a text's ids."""
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(list(model.encode(list(texts))), dtype=object)
-
-    def column(text: Column) -> Column:
-        return ids(text)
-    return column
+def slices(texts: list[str | None]) -> Iterator[slice]:
+    """Consecutive stretches of about ``LETTERS`` letters."""
+    start, letters = 0, 0
+    for at, text in enumerate(texts, 1):
+        letters += len(text or "")
+        if letters >= LETTERS or at == len(texts):
+            yield slice(start, at)
+            start, letters = at, 0
+
+
+def _encoder(model: Model):
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            for part in slices(texts):
+                ids, ends = model.encode(texts[part])
+                starts = np.concatenate([[0], ends])
+                back = [
+                    model.decode(ids[a:b]) == (text or "")
+                    for text, a, b in zip(texts[part], starts, ends)
+                ]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(part.start, part.stop - part.start),
+                    pa.array(np.diff(starts)), pa.ListArray.from_arrays(
+                        pa.array(starts.astype(np.int32)), pa.array(ids)),
+                    pa.array(back, pa.bool_()),
+                ], names=["_key", "n_pieces", "ids", "round_trip"])
+    return encode
 
 
 def decoder(model: Model):
@@ -229,12 +236,10 @@ def encoded(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     blank mark itself does not come back, as in the published decoder). Repeated rows stay, other
     columns are left out, an empty table gives no rows.
     """
-    rows = docs.select(F.col(key).alias(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    rows = rows.withColumn("ids", encoder(model)(F.col("_text")))
-    return rows.select(
-        key, F.size("ids").cast("long").alias("n_pieces"), "ids",
-        (decoder(model)(F.col("ids")) == F.col("_text")).alias("round_trip"),
-    )
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(
+        _encoder(model), f"_key {kind}, n_pieces long, ids array<int>, round_trip boolean"
+    ).withColumnRenamed("_key", key)
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
