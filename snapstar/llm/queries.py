@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapstar.llm import chat, class_model, decontaminate, line_rules, pieces, quality, sharding, toxicity, warc
+from snapstar.llm import (
+    chat, class_model, decontaminate, jaccard, line_rules, pieces, quality, sharding, toxicity,
+    warc,
+)
 
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_chat_formatting": (chat.op1_chat_formatting, chat.OP1_SQL),
@@ -18,4 +21,5 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op6_sentencepiece": (pieces.op6_sentencepiece, None),
     "op3_decontamination": (decontaminate.op3_decontamination, None),
     "op4_lm_scoring": (class_model.op4_lm_scoring, None),
+    "op5_jaccard_join": (jaccard.op5_jaccard_join, jaccard.OP5_SQL),
 }
