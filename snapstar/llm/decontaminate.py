@@ -26,7 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from snapstar.llm.text import mixed, table, word_hashes
 
@@ -267,7 +267,7 @@ def edited(item: np.ndarray, edits: int, random: np.random.Generator) -> tuple[n
     return np.array(around[:4] + line + around[4:], np.uint32), 4
 
 
-def _searcher(index: Index, item_type: str):
+def _searcher(index: Index):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys, texts = batch["_key"], list(batch["_text"])
@@ -314,11 +314,26 @@ def leaks(
     kind = docs.schema[key].dataType.simpleString()
     item_kind = benchmark.schema[item].dataType.simpleString()
     named = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    out = [
+        named.mapInPandas(_searcher(index), f"_key {kind}, " + FOUND.format(item=item_kind))
+        for index in indexes(benchmark, item, item_text, max_edits, recall)
+    ]
+    if not out:
+        return named.where(F.lit(False)).select(F.col("_key").alias(key), *[
+            F.lit(None).cast(field.split()[1]).alias(field.split()[0])
+            for field in FOUND.format(item=item_kind).split(", ")])
+    return reduce(DataFrame.unionByName, out).withColumnRenamed("_key", key)
+
+
+def indexes(
+    benchmark: DataFrame, item: str = "item_id", item_text: str = "text",
+    max_edits: float = MAX_EDITS, recall: float = RECALL,
+) -> Iterator[Index]:
+    """An index for each block of about ``BLOCK_WORDS`` words of the benchmark."""
     items = benchmark.select(F.col(item).alias("_item"), F.col(item_text).alias("_text")).where(
         F.col("_text").isNotNull())
     total = items.agg(F.sum(F.size(F.split("_text", r"\s+")))).first()[0] or 0
     blocks = -(-total // BLOCK_WORDS) or 1
-    out = []
     for block in range(blocks):
         held = [
             (row["_item"], word_hashes(row["_text"], bare=True)[0])
@@ -327,13 +342,30 @@ def leaks(
         ]
         held = sorted((x for x in held if len(x[1])), key=lambda x: (x[0] is None, x[0] or 0))
         if held:
-            index = Index([x[0] for x in held], [x[1] for x in held], max_edits, recall)
-            out.append(named.mapInPandas(
-                _searcher(index, item_kind), f"_key {kind}, " + FOUND.format(item=item_kind)))
-    if not out:
-        out = [docs.sparkSession.createDataFrame(
-            [], f"_key {kind}, " + FOUND.format(item=item_kind))]
-    return reduce(DataFrame.unionByName, out).withColumnRenamed("_key", key)
+            yield Index([x[0] for x in held], [x[1] for x in held], max_edits, recall)
+
+
+def leak_test(benchmark: DataFrame, max_edits: float = MAX_EDITS, recall: float = RECALL):
+    """A column function: whether a text has a stretch near an item (null has none)."""
+    def of(index: Index):
+        def test(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in texts:
+                out = np.zeros(len(batch), bool)
+                begin, lines, held = 0, [], 0
+                for k, text in enumerate(batch):
+                    lines.append(word_hashes(text, bare=True)[0])
+                    held += len(lines[-1])
+                    if held >= SLICE_WORDS or k == len(batch) - 1:
+                        out[[begin + found[0] for found in index.search(lines)]] = True
+                        begin, lines, held = k + 1, [], 0
+                yield pd.Series(out)
+        return F.pandas_udf(test, "boolean")
+
+    tests = [of(index) for index in indexes(benchmark, max_edits=max_edits, recall=recall)]
+
+    def column(text: Column) -> Column:
+        return reduce(Column.__or__, (test(text) for test in tests), F.lit(False))
+    return column
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

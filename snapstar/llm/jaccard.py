@@ -27,10 +27,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from snapstar.llm.text import mixed, shingles, table, word_hashes
+from snapstar.llm.text import WORD, mixed, shingles, table, word_hashes
 from snapstar.session import new_folder
 
 WIDTH, PERCENT = 5, 75
@@ -72,9 +73,9 @@ def sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
             [pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])
 
     rows = docs.select(text).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(
-        F.sum("n").alias("n")).toPandas()  # one row a bucket at most
+        F.sum("n").alias("n")).toArrow()  # one row a bucket at most
     out = np.zeros(1 << SKETCH_BITS)
-    out[rows["bucket"]] = rows["n"]
+    out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
@@ -165,9 +166,9 @@ def _bloom(keys: DataFrame, key: str) -> np.ndarray:
     at = F.pmod(F.xxhash64(key), F.lit(1 << BLOOM_BITS))
     rows = keys.select(at.alias("at")).groupBy(F.floor(F.col("at") / 32).cast("int").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, CAST(at % 32 AS INT))")).alias("bits")
-    ).toPandas()
+    ).toArrow()
     out = np.zeros(1 << BLOOM_BITS - 5, np.int64)
-    out[rows["word"]] = rows["bits"]
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return out
 
 
@@ -294,11 +295,12 @@ def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """(key, n_shingles, node, component_id, n_links), one row per row of ``docs``.
+    """(key, n_shingles, node, component, component_id, n_links), a row per row of ``docs``.
 
     Documents of at least one word link when 100 * intersection >= percent * union of their
-    shingle sets; component_id is the least key reachable, the document's own included. node names
-    the shingle set; n_links counts other sets that this one was found to link with. Repeated rows and copies
+    shingle sets; component_id is the least key reachable, the document's own included. node and
+    component name the shingle set and the component (of which repeated keys can have several);
+    n_links counts the other sets that this one was found to link with. Repeated rows and copies
     share a node; null and empty texts have no node and are their own components; a null key does
     not count as least unless a component has no other. Other columns are left out; an empty table
     gives no rows.
@@ -316,18 +318,42 @@ def near_duplicates(
         comps, "node", "left").join(degree, "node", "left").withColumn(
         "comp", F.coalesce("comp", "node"))
     least = by_node.groupBy("comp").agg(F.min("first").alias("component_id"))
-    placed = by_node.join(least, "comp").select("node", "component_id", "n_links")
+    placed = by_node.join(least, "comp").select(
+        "node", F.col("comp").alias("component"), "component_id", "n_links")
     rows = signed.select("key", "n", "node")
     # Rows without a node stay out of the join, where they would meet in one partition.
     alone = rows.where("node IS NULL").select(
         F.col("key").alias(key), F.col("n").alias("n_shingles"), "node",
-        F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+        F.col("node").alias("component"), F.col("key").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
     return rows.where("node IS NOT NULL").join(placed, "node").select(
-        F.col("key").alias(key), F.col("n").alias("n_shingles"), "node", "component_id",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.col("key").alias(key), F.col("n").alias("n_shingles"), "node", "component",
+        "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     ).unionByName(alone)
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each component: that of the least key, all columns kept.
+
+    Of rows that tie in key and shingles the first in the order of all columns stays. Texts
+    without words stay, all of them. Null keys come last.
+    """
+    def named(texts):
+        for part in texts:
+            yield pd.Series([node_of(shingle_set(t)) for t in part], dtype="Int64")
+
+    named.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    node = F.pandas_udf(named, "long")
+    kept = near_duplicates(docs, key, text).where("node IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("row")
+    ).select(F.col("row.key").alias("_key"), F.col("row.node").alias("_kept"))
+    worded = F.coalesce(F.col(text).rlike(WORD), F.lit(False))
+    rows = docs.where(worded).withColumn("_node", node(F.col(text))).join(
+        kept, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_node") == F.col("_kept")), "left_semi")
+    order = Window.partitionBy("_node", key).orderBy(*docs.columns)
+    first = rows.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    return first.select(*docs.columns).unionByName(docs.where(~worded))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle counts and near-duplicate components of all documents."""
     return near_duplicates(table(spark, sf_dir, "documents")).select(
