@@ -169,8 +169,8 @@ def train(texts: DataFrame) -> tuple[ClassModel, DataFrame]:
     word_counts(texts).write.parquet(folder)
     counts = spark.read.schema("word binary, n long").parquet(folder)
     near = counts.where((F.length("word") <= NEAR_BYTES) & (F.length("word") > 0)).orderBy(
-        F.desc("n"), "word").limit(NEAR).collect()
-    near = [(bytes(row["word"]), row["n"]) for row in near]
+        F.desc("n"), "word").limit(NEAR).toArrow()
+    near = list(zip(near["word"].to_pylist(), near["n"].to_pylist()))
     head = [word for word, _ in near[:HEAD]]
     heads = spark.createDataFrame(
         [(word, unit) for unit, word in enumerate(head)] + [(b"", END)], "word binary, unit int")
@@ -178,9 +178,9 @@ def train(texts: DataFrame) -> tuple[ClassModel, DataFrame]:
     sizes = counts.join(F.broadcast(heads), "word", "left").groupBy(
         F.coalesce("unit", ending).alias("unit")
     ).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()
-    cells = unit_bigrams(texts, head).toPandas()
+    cells = unit_bigrams(texts, head).toArrow()
     bigrams = np.zeros(UNITS**2)
-    bigrams[cells["cell"]] = cells["n"]
+    bigrams[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     bigrams = bigrams.reshape(UNITS, UNITS)
     of = exchange(bigrams)
     n, types = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
