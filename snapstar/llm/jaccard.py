@@ -4,8 +4,7 @@ Documents are sets of hashed shingles (64 bits; equal hashes count as equal shin
 are ordered by estimated frequency, the rarest first. Two sets that are similar enough share at
 least l shingles among the first n - ceil(0.75 n) + l of each, for any l; every document chooses
 its own l, as many as its frequent shingles make worth while: a longer prefix costs a few rows,
-but a partner must then share as many shingles before it is verified. A pair has to share the
-smaller of its two l, within both prefixes.
+but a partner must then share as many more shingles before it is verified (``required``).
 
 Copies are one node, so the work is between different sets:
 
@@ -145,20 +144,45 @@ def possible(a: str, b: str, percent: int = PERCENT) -> Column:
         most * (100 + percent) >= percent * (n + m))
 
 
+def required(a: str = "1", b: str = "2", percent: int = PERCENT) -> Column:
+    """Shingles that a pair must share within its two prefixes (n_, least_ of a and b).
+
+    The prefix that ends first in the common order is seen whole by the other, so all else that
+    the pair shares lies in the needed(n) - l shingles behind it. This is at least the smaller l.
+    """
+    n, m, k, l = (F.col(x) for x in (f"n{a}", f"n{b}", f"least{a}", f"least{b}"))  # noqa: E741
+    up = lambda x, y: F.ceil(x * percent / y)
+    both = up((n + m).cast("long"), 100 + percent)
+    return both - F.greatest(up(n.cast("long"), 100) - k, up(m.cast("long"), 100) - l)
+
+
 def shared_rows(signed: DataFrame) -> DataFrame:
     """(token, node, n, at, least, pivot) of prefix shingles that several nodes have."""
     rows = signed.where("prefix IS NOT NULL").select(
-        "node", "n", "least", F.posexplode("prefix").alias("at", "token"))
-    rank = F.shiftleft(F.least(F.col("at"), F.lit(32767)).cast("long"), 48).bitwiseOR(
-        F.col("node").bitwiseAND(F.lit((1 << 48) - 1)))
-    rows = rows.withColumn("rank", rank)
+        "node", F.expr("shiftleft(n, 32) | least").alias("size"),
+        F.posexplode("prefix").alias("at", "token"))
+    rank = F.expr("shiftleft(CAST(least(at, 32767) AS BIGINT), 48) | (node & 281474976710655)")
+    # Equal ranks are the same node: of nodes at one place, 48 bits of the name tell them apart.
     several = rows.groupBy("token").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.min("rank").alias("first")
-    ).where("low < high").select("token", "first")
-    return rows.join(several, "token").select(
-        "token", "node", F.col("n").cast("int").alias("n"), "at", "least",
-        (F.col("rank") == F.col("first")).alias("pivot"),
-    )
+        F.min(rank).alias("first"), F.max(rank).alias("last")
+    ).where("first < last").select("token", "first")
+    packed = rows.select("token", "node", F.expr("size | shiftleft(CAST(at AS BIGINT), 4)").alias("size"))
+    at = F.expr("CAST(shiftright(size, 4) & 268435455 AS INT)")
+    return packed.join(several, "token").select(
+        "token", "node", F.shiftright("size", 32).cast("int").alias("n"), at.alias("at"),
+        F.expr("CAST(size & 15 AS INT)").alias("least"), "first",
+    ).select("token", "node", "n", "at", "least", (rank == F.col("first")).alias("pivot"))
+
+
+def counted(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share as many prefix shingles as they must."""
+    left = shared.select(
+        F.col("node").alias("a"), "token", F.col("n").alias("n1"), F.col("least").alias("least1"))
+    right = shared.select(
+        F.col("node").alias("b"), "token", F.col("n").alias("n2"), F.col("least").alias("least2"))
+    return pairs.join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.max(required(percent=percent)).alias("required")
+    ).where("common >= required").select("a", "b")
 
 
 def _bloom(keys: DataFrame, key: str) -> np.ndarray:
@@ -269,9 +293,9 @@ def linked_nodes(
     pivots = shared.where("pivot").select(*side("1"))
     first = shared.where("NOT pivot").select(*side("2")).join(pivots, "token").where(
         possible("1", "2", percent) & (F.col("node1") != F.col("node2")))
-    tried = _stored(first.select(
-        F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")
-    ).distinct(), "pairs")
+    tried = _stored(counted(first.select(
+        F.col("node1").alias("a"), F.col("node2").alias("b")).distinct(), shared, percent
+    ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = _stored(verified(tried, nodes, docs, key, text, width, percent), "found")
     comps = _stored(components(links), "comps")
     placed = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -284,8 +308,8 @@ def linked_nodes(
         (F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2"))
         & possible("1", "2", percent))
     more = across.groupBy(F.col("node1").alias("a"), F.col("node2").alias("b")).agg(
-        F.count("*").alias("common"), F.min(F.least("least1", "least2")).alias("least")
-    ).where("common >= least").select("a", "b").join(tried, ["a", "b"], "left_anti")
+        F.count("*").alias("common"), F.max(required(percent=percent)).alias("required")
+    ).where("common >= required").select("a", "b").join(tried, ["a", "b"], "left_anti")
     more = verified(_stored(more, "pairs"), nodes, docs, key, text, width, percent)
     links = _stored(links.unionByName(more), "found")
     return links, components(links)
@@ -335,7 +359,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """The rows of ``docs``, one of each component: that of the least key, all columns kept.
 
     Of rows that tie in key and shingles the first in the order of all columns stays. Texts
-    without words stay, all of them. Null keys come last.
+    without words stay, all of them. Null keys come last. Names that begin with ``_jaccard_`` are
+    taken.
     """
     def named(texts):
         for part in texts:
@@ -344,13 +369,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     named.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     node = F.pandas_udf(named, "long")
     kept = near_duplicates(docs, key, text).where("node IS NOT NULL").groupBy("component").agg(
-        F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("row")
-    ).select(F.col("row.key").alias("_key"), F.col("row.node").alias("_kept"))
+        F.min(F.struct(
+            F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("row")
+    ).select(F.col("row.key").alias("_jaccard_key"), F.col("row.node").alias("_jaccard_kept"))
     worded = F.coalesce(F.col(text).rlike(WORD), F.lit(False))
-    rows = docs.where(worded).withColumn("_node", node(F.col(text))).join(
-        kept, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_node") == F.col("_kept")), "left_semi")
-    order = Window.partitionBy("_node", key).orderBy(*docs.columns)
-    first = rows.withColumn("_place", F.row_number().over(order)).where("_place = 1")
+    rows = docs.where(worded).withColumn("_jaccard_node", node(F.col(text))).join(
+        kept, F.col(key).eqNullSafe(F.col("_jaccard_key"))
+        & (F.col("_jaccard_node") == F.col("_jaccard_kept")), "left_semi")
+    order = Window.partitionBy("_jaccard_node", key).orderBy(*docs.columns)
+    first = rows.withColumn("_jaccard_place", F.row_number().over(order)).where(
+        "_jaccard_place = 1")
     return first.select(*docs.columns).unionByName(docs.where(~worded))
 
 
