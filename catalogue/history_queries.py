@@ -83,8 +83,8 @@ def write_feed(spark: SparkSession, sf_dir: str, feed: str) -> list[str]:
             f"{feed}/{day}/{day}_listings.csv", **csv
         )
     reviews = inputs.reviews(spark, sf_dir)
-    for day in inputs.REVIEW_SNAPSHOTS:
-        reviews.where(F.col("snapshot_date") == F.lit(day).cast("date")).drop("snapshot_date") \
+    for (day,) in reviews.select("snapshot_date").distinct().collect():
+        reviews.where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date") \
             .write.csv(f"{feed}/{min(days)}/{day}_reviews.csv", **csv)
     inputs.neighbourhoods(spark, sf_dir).write.csv(
         f"{feed}/{min(days)}/{min(days)}_neighbourhoods.csv", **csv

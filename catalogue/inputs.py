@@ -2,17 +2,16 @@
 
 ``listings`` comes from orders x customer x nation x supplier, ``reviews`` from events and
 ``neighbourhoods`` from nation. Every row of those tables takes part; the modulo terms below
-spread nulls, labels and formats over the rows, they select none away. Two rules leave rows
-out because the real feeds do: a review missing from the last snapshot, and one neighbourhood
-missing from the reference list.
+spread nulls, labels and formats over the rows, they select none away. All orders are read, of
+which the latest of a customer and year is that year's sighting of the listing. A review that the
+last snapshot lacks was in the one before, so every event is a review; every nation is a listed
+neighbourhood, and some listings name one that the reference list lacks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-REVIEW_SNAPSHOTS = ("2024-01-10", "2024-01-20", "2024-01-31")
-
 # Column -> rule over a sighting: id, host_id, k (order key), y (year), amount, kind (first
 # character of the priority), c_name, c_mktsegment, n_name; n_all, n_1, n_2, n_3 are counts of
 # the host's sightings in the year, in all and per kind.
@@ -47,11 +46,12 @@ _LISTING_RULES = {
         else 'bio ' || host_id end""",
     "host_response_time": """case host_id % 4 when 1 then 'N/A' when 2 then 'within an hour'
         when 3 then 'a few days or more' end""",
+    # Listings of one host disagree on these two, as feeds do.
     "host_response_rate": """case host_id % 4 when 0 then null when 1 then 'N/A'
-        else (50 + (host_id * 3 + y) % 50) || '%' end""",
+        else (50 + (host_id * 3 + y + id % 3) % 50) || '%' end""",
     "host_acceptance_rate": """case (host_id + y) % 5 when 0 then null when 1 then 'N/A'
         else ((host_id * 7 + y) % 101) || '%' end""",
-    "host_is_superhost": """case (host_id * 7 + y) % 5 when 0 then null when 1 then 't'
+    "host_is_superhost": """case (host_id * 7 + y + id % 2) % 5 when 0 then null when 1 then 't'
         when 2 then 't' else 'f' end""",
     "host_picture_url": "if(host_id % 10 <> 4, 'https://example.org/hp/' || host_id, null)",
     "host_neighbourhood": "if(host_id % 3 <> 0, n_name, null)",
@@ -62,7 +62,7 @@ _LISTING_RULES = {
     "host_has_profile_pic": "case host_id % 3 when 0 then 'f' when 1 then 't' end",
     "host_identity_verified": "case (host_id + 1) % 3 when 0 then 'f' when 1 then 't' end",
     "neighbourhood": "if(id % 5 <> 0, 'Neighborhood highlights', null)",
-    "neighbourhood_cleansed": "n_name",
+    "neighbourhood_cleansed": "n_name || if(id % 23 = 0, ' (new)', '')",
     "latitude": "cast(379000 + id % 1000 as double) / 10000",
     "longitude": "cast(237000 + id % 777 as double) / 10000",
     "property_type": """case kind when '1' then 'Entire rental unit'
@@ -174,24 +174,30 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference list; it lacks one nation, whose listings resolve to key 0."""
-    return table(spark, sf_dir, "nation").where("n_nationkey <> 24").select(
+    """The reference list: every nation."""
+    return table(spark, sf_dir, "nation").select(
         F.lit(None).cast("string").alias("neighbourhood_group"),
         F.col("n_name").alias("neighbourhood"),
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reviews archive: each snapshot repeats all earlier reviews, the last drops some."""
+    """The reviews archive: each snapshot repeats all earlier reviews, the last drops some.
+
+    Snapshots lie at a third, two thirds and the end of the days that the events span.
+    """
     events = table(spark, sf_dir, "events")
     day = F.to_date("ts")
-    dates = F.array(*[F.lit(d).cast("date") for d in REVIEW_SNAPSHOTS])
-    last = F.lit(REVIEW_SNAPSHOTS[-1]).cast("date")
+    low, high = events.agg(F.min(day)).scalar(), events.agg(F.max(day)).scalar()
+    span = F.date_diff(high, low)
+    before = F.date_add(low, F.floor(span * 2 / 3).cast("int"))
+    dates = F.array(F.date_add(low, F.floor(span / 3).cast("int")), before, high)
+    dropped = (F.col("snapshot_date") == high) & (day <= before) & (F.col("event_id") % 30 == 0)
     orphan = (F.col("event_type") == "error") & (F.col("event_id") % 7 == 0)
     return (
         events.select("*", F.explode(dates).alias("snapshot_date"))
         .where(day <= F.col("snapshot_date"))
-        .where(~((F.col("snapshot_date") == last) & (F.col("event_id") % 30 == 0)))
+        .where(~dropped)
         .select(
             (F.col("user_id") + F.when(orphan, 1_000_001).otherwise(1)).alias("listing_id"),
             (F.col("event_id") + 1).alias("id"),

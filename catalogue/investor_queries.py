@@ -14,10 +14,11 @@ _HOST_STEPS = f"""
              lag(status) OVER w AS previous_status,
              lag(response_rate) OVER w AS previous_response_rate,
              lag(acceptance_rate) OVER w AS previous_acceptance_rate
-      FROM (SELECT host_id, snapshot_date, max(host_is_superhost) AS status,
-                   max(nullif({rate('host_response_rate')}, -1)) AS response_rate,
-                   max(nullif({rate('host_acceptance_rate')}, -1)) AS acceptance_rate
-            FROM listings GROUP BY host_id, snapshot_date)
+      FROM (SELECT host_id, snapshot_date, host_is_superhost AS status,
+                   nullif({rate('host_response_rate')}, -1) AS response_rate,
+                   nullif({rate('host_acceptance_rate')}, -1) AS acceptance_rate
+            FROM listings
+            QUALIFY row_number() OVER (PARTITION BY host_id, snapshot_date ORDER BY id) = 1)
       WINDOW w AS (PARTITION BY host_id ORDER BY snapshot_date))"""
 _STEP = """CASE previous_status || status WHEN 'tt' THEN 'Retained' WHEN 'tf' THEN 'Lost'
            WHEN 'ft' THEN 'Gained' WHEN 'ff' THEN 'Never' ELSE 'Unknown' END AS transition"""
@@ -91,16 +92,17 @@ def license_by_neighbourhood(spark, sf_dir):
     )
 
 
-@query("fact_reviews dim_date", """
-    SELECT *, reviews - active AS dropped,
-           reviews - lag(reviews) OVER (ORDER BY year, month) AS growth
-    FROM (SELECT d.year, d.month, d.month_name, count(*) AS reviews,
-                 CAST(sum(is_active) AS BIGINT) AS active
-          FROM fact_reviews r JOIN dim_date d ON d.date = r.date
-          GROUP BY d.year, d.month, d.month_name)""")
+@query("fact_reviews", """WITH months AS (
+      SELECT date_trunc('month', date) AS m, count(*) AS reviews,
+             CAST(sum(is_active) AS BIGINT) AS active
+      FROM fact_reviews GROUP BY ALL)
+    SELECT CAST(year(a.m) AS INT) AS year, CAST(month(a.m) AS INT) AS month,
+           monthname(a.m) AS month_name, a.reviews, a.active, a.reviews - a.active AS dropped,
+           CASE WHEN a.m > (SELECT min(m) FROM months)
+                THEN a.reviews - coalesce(b.reviews, 0) END AS growth
+    FROM months a LEFT JOIN months b ON b.m = a.m - INTERVAL 1 MONTH""")
 def review_churn(spark, sf_dir):
-    star = Star(spark, sf_dir)
-    return investor.review_churn(star.fact_reviews, star.dim_date)
+    return investor.review_churn(Star(spark, sf_dir).fact_reviews)
 
 
 def _dbl(expression: str, name: str) -> str:
@@ -150,11 +152,11 @@ def host_tenure(spark, sf_dir):
              lag((host_response_time, rr, ar, host_is_superhost))
                OVER (PARTITION BY host_id ORDER BY snapshot_date) AS changed
       FROM (SELECT host_id, snapshot_date,
-                   max({unknown_whole('host_response_time')}) AS host_response_time,
-                   max({rate('host_response_rate')}) AS rr,
-                   max({rate('host_acceptance_rate')}) AS ar,
-                   max(CASE WHEN host_is_superhost = 't' THEN 1 ELSE 0 END) AS host_is_superhost
-            FROM listings GROUP BY host_id, snapshot_date))
+                   {unknown_whole('host_response_time')} AS host_response_time,
+                   {rate('host_response_rate')} AS rr, {rate('host_acceptance_rate')} AS ar,
+                   CASE WHEN host_is_superhost = 't' THEN 1 ELSE 0 END AS host_is_superhost
+            FROM listings
+            QUALIFY row_number() OVER (PARTITION BY host_id, snapshot_date ORDER BY id) = 1))
     WHERE changed
     WINDOW w AS (PARTITION BY host_id ORDER BY snapshot_date)""")
 def dim_host_scd2(spark, sf_dir):

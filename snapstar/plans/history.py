@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
-from snapstar.sources.fit import strict
+from snapstar.sources.fit import WHOLE_TYPES, strict, whole
 
 
 class SnapshotExists(C.ContractError):
@@ -39,7 +39,10 @@ def retag_categories(listings: DataFrame) -> DataFrame:
 
 
 def conform(rows: DataFrame, kind: str) -> DataFrame:
-    """``rows`` in the archive's columns and types, by name; columns it lacks are null."""
+    """``rows`` in the archive's columns and types, by name; columns it lacks are null.
+
+    A value that its archive type cannot hold unchanged stops the job.
+    """
     have = dict(rows.dtypes)
     columns = []
     for name, target in C.ARCHIVE[kind]:
@@ -49,6 +52,8 @@ def conform(rows: DataFrame, kind: str) -> DataFrame:
             value = f"`{name}`"
         elif have[name] == "string":
             value = strict(name, target)
+        elif target in WHOLE_TYPES and have[name] in ("double", "float"):
+            value = whole(name, target)
         else:
             value = f"cast(`{name}` as {target})"
         columns.append(f"{value} as `{name}`")

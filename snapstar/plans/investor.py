@@ -13,9 +13,10 @@ from snapstar.session import settled
 
 
 def _host_snapshots(listings: DataFrame, **measures: Column) -> DataFrame:
-    """One row per host and snapshot; a host's listings of one snapshot agree on host fields."""
-    return listings.groupBy("host_id", "snapshot_date").agg(
-        *[F.max(column).alias(name) for name, column in measures.items()]
+    """One row per host and snapshot: the host fields of the listing of the lowest id."""
+    first = F.min(F.struct("id", *[column.alias(name) for name, column in measures.items()]))
+    return listings.groupBy("host_id", "snapshot_date").agg(first.alias("_first")).select(
+        "host_id", "snapshot_date", *[f"_first.{name}" for name in measures]
     )
 
 
@@ -105,22 +106,23 @@ def license_by_neighbourhood(fact: DataFrame, locations: DataFrame) -> DataFrame
     return counted.join(names, "location_id").drop("location_id")
 
 
-def review_churn(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Reviews per month with those still shown and those dropped, and growth on the month.
+def review_churn(fact: DataFrame) -> DataFrame:
+    """Reviews per month with those still shown and those dropped, and growth on the month before.
 
-    Reviews are counted per day before the calendar joins, so the join sees days only.
+    The month is that of the review's own date, so no calendar can leave a review out. A month
+    before without reviews counts as 0; the first month has no growth.
     """
-    per_day = fact.groupBy("date").agg(
-        F.count("*").alias("reviews"), F.sum("is_active").alias("active")
-    )
-    calendar = dates.select("date", "year", "month", "month_name")
-    monthly = per_day.join(calendar, "date").groupBy("year", "month", "month_name").agg(
-        F.sum("reviews").alias("reviews"), F.sum("active").alias("active")
-    )
-    in_time = Window.orderBy("year", "month")  # one row per month of the calendar
+    monthly = fact.groupBy(
+        F.year("date").alias("year"), F.month("date").alias("month"),
+        F.date_format("date", "MMMM").alias("month_name"),
+    ).agg(F.count("*").alias("reviews"), F.sum("is_active").alias("active"))
+    in_time = Window.orderBy("year", "month")  # one row per month
+    number = F.col("year") * 12 + F.col("month")
+    before = F.when(F.lag(number).over(in_time) == number - 1, F.lag("reviews").over(in_time)).when(
+        F.lag(number).over(in_time).isNotNull(), 0)
     return monthly.select(
         "*", (F.col("reviews") - F.col("active")).alias("dropped"),
-        (F.col("reviews") - F.lag("reviews").over(in_time)).alias("growth"),
+        (F.col("reviews") - before).alias("growth"),
     )
 
 

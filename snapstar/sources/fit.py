@@ -87,9 +87,9 @@ def widening_report(raw: DataFrame, kind: str) -> DataFrame:
         .when(F.col("fractional") > 0, "double").otherwise(F.col("declared"))
     )
     reason = (
-        F.when(F.col("not_numeric") > 0, "non-numeric value found")
-        .when(F.col("fractional") > 0, "decimal value found")
-        .when(too_long, F.concat(F.lit("longest value: "), F.col("longest"), F.lit(" characters")))
+        F.when(F.col("not_numeric") > 0, "holds text that is no number")
+        .when(F.col("fractional") > 0, "holds fractions")
+        .when(too_long, F.concat(F.lit("needs room for "), F.col("longest"), F.lit(" characters")))
     )
     return _rows(raw, measures, labels).select(
         "column_name", F.col("declared").alias("declared_type"), final.alias("final_type"),
@@ -97,6 +97,14 @@ def widening_report(raw: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def whole(column: str, kind: str) -> str:
+    """SQL cast of a floating-point column to whole numbers; a fraction stops the job."""
+    value = f"`{column}`"
+    message = f"'{column} cannot hold ' || {value} || ' as {kind}'"
+    fits = f"{value} % 1 = 0 and try_cast({value} as {kind}) is not null"
+    return f"if({value} is null or ({fits}), try_cast({value} as {kind}), raise_error({message}))"
+
+
 def strict(column: str, kind: str) -> str:
     """SQL cast of a text column that stops the job on a value it cannot take.
 
@@ -104,7 +112,8 @@ def strict(column: str, kind: str) -> str:
     """
     text = f"`{column}`"
     if kind in WHOLE_TYPES:
-        value = f"try_cast(try_cast(trim({text}) as decimal(38,6)) as {kind})"
+        number = f"try_cast(trim({text}) as decimal(38,6))"
+        value = f"if({number} % 1 = 0, try_cast({number} as {kind}), null)"
     elif kind == "date":
         value = ", ".join(f"try_to_date({text}, '{f}')" for f in C.QUOTE_DATE_FORMATS)
         value = f"coalesce({value})"

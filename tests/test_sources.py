@@ -109,9 +109,9 @@ def test_fit_report(spark):
     report = {r.column_name: (r.declared_type, r.final_type, r.reason)
               for r in fit.widening_report(raw(spark), "listings").collect()}
     assert report == {
-        "id": ("bigint", "bigint", None), "beds": ("int", "text", "non-numeric value found"),
-        "minimum_nights": ("int", "double", "decimal value found"),
-        "host_name": ("text(100)", "text", "longest value: 101 characters"),
+        "id": ("bigint", "bigint", None), "beds": ("int", "text", "holds text that is no number"),
+        "minimum_nights": ("int", "double", "holds fractions"),
+        "host_name": ("text(100)", "text", "needs room for 101 characters"),
         "maximum_nights": ("int", "int", None), "price": ("text(20)", "text(20)", None)}
 
 
