@@ -11,17 +11,29 @@ from catalogue.registry import query
 from catalogue.sql_views import category, licence, money, rate
 from snapstar.functions import cleaning as clean
 from snapstar.plans import dimensions as dims, facts
+from snapstar.session import new_folder
 
 
 class Star:
-    """The star schema over one set of driver tables, each table planned once when asked for."""
+    """The star schema over one set of driver tables, each table planned once when asked for.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    With ``stored``, the listings and the dimensions made of them are written first, as a load
+    does: what follows reads files of known size instead of deriving its input again.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = False):
+        self.spark, self.sf_dir, self.stored = spark, sf_dir, stored
+
+    def _kept(self, rows: DataFrame, name: str) -> DataFrame:
+        if not self.stored:
+            return rows
+        folder = new_folder(self.spark, name)
+        rows.write.parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
 
     @cached_property
     def listings(self) -> DataFrame:
-        return inputs.listings(self.spark, self.sf_dir)
+        return self._kept(inputs.listings(self.spark, self.sf_dir), "listings")
 
     @cached_property
     def reviews(self) -> DataFrame:
@@ -33,7 +45,7 @@ class Star:
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return dims.dim_location(self.neighbourhoods)
+        return self._kept(dims.dim_location(self.neighbourhoods), "dim-location")
 
     @cached_property
     def _names(self) -> dict[str, DataFrame]:
@@ -41,11 +53,12 @@ class Star:
 
     @cached_property
     def dim_room_type(self) -> DataFrame:
-        return dims.dim_room_type(self._names["room_type"])
+        return self._kept(dims.dim_room_type(self._names["room_type"]), "dim-room-type")
 
     @cached_property
     def dim_property_type(self) -> DataFrame:
-        return dims.dim_property_type(self._names["property_type"])
+        return self._kept(
+            dims.dim_property_type(self._names["property_type"]), "dim-property-type")
 
     @cached_property
     def dim_host(self) -> DataFrame:
@@ -75,9 +88,10 @@ class Star:
     def fact_reviews(self) -> DataFrame:
         return facts.fact_reviews(self.reviews)
 
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self, keyed: bool = True) -> dict[str, DataFrame]:
+        """All tables; the listing fact without dimension keys unless ``keyed``."""
         return {
-            "FactListings": self.fact_listings, "FactReviews": self.fact_reviews,
+            "FactListings": self.fact_listings if keyed else self.listing_facts, "FactReviews": self.fact_reviews,
             "DimHost": self.dim_host, "DimListings": self.dim_listings,
             "DimRoomType": self.dim_room_type, "DimPropertyType": self.dim_property_type,
             "DimLocation": self.dim_location, "DimDate": self.dim_date,
@@ -98,10 +112,6 @@ _FACT_SQL = _as_doubles(
     "review_scores_cleanliness review_scores_checkin review_scores_communication "
     "review_scores_location review_scores_value",
 )
-_DATE_SQL = """
-    SELECT d.*, coalesce(r.n, 0) AS reviews_that_day
-    FROM dim_date d
-    LEFT JOIN (SELECT date, count(*) AS n FROM fact_reviews GROUP BY date) r ON r.date = d.date"""
 
 
 @query("dim_location", "SELECT * FROM dim_location")
@@ -129,19 +139,21 @@ def dim_listings(spark, sf_dir):
     return Star(spark, sf_dir).dim_listings
 
 
-@query("dim_date fact_reviews", _DATE_SQL)
+@query("dim_date fact_reviews", """
+    SELECT r.review_id, d.* FROM fact_reviews r LEFT JOIN dim_date d ON d.date = r.date""")
 def dim_date(spark, sf_dir):
-    """The calendar with the reviews written on each day, by the fact-to-date relation."""
+    """The calendar's attributes of every review's day."""
     star = Star(spark, sf_dir)
-    per_day = star.fact_reviews.groupBy("date").agg(F.count("*").alias("_n"))
-    return star.dim_date.join(per_day, "date", "left").withColumn(
-        "reviews_that_day", F.coalesce("_n", F.lit(0))
-    ).drop("_n")
+    days = star.dim_date.withColumnRenamed("date", "_day")
+    joined = star.fact_reviews.select("review_id", "date").join(
+        days, F.col("date") == F.col("_day"), "left")
+    return joined.select("review_id", F.col("_day").alias("date"), *[
+        c for c in days.columns if c != "_day"])
 
 
 @query("fact_listings", _FACT_SQL)
 def fact_listings(spark, sf_dir):
-    return Star(spark, sf_dir).fact_listings
+    return Star(spark, sf_dir, stored=True).fact_listings
 
 
 @query("fact_reviews", "SELECT * FROM fact_reviews")
@@ -181,8 +193,8 @@ def _top(view: str, order: list[str], sql: str, views: str | None = None):
 
     @query(views or view, f"{sql} ORDER BY {ordering} LIMIT 5", key=f"top5_{view}")
     def run(spark, sf_dir):
-        table = dim_date(spark, sf_dir) if view == "dim_date" else getattr(Star(spark, sf_dir), view)
-        return table.orderBy(*order).limit(5)
+        star = Star(spark, sf_dir, stored=view == "fact_listings")
+        return getattr(star, view).orderBy(*order).limit(5)
     return run
 
 
@@ -191,7 +203,6 @@ _top("dim_listings", ["listing_id"], "SELECT * FROM dim_listings")
 _top("dim_location", ["location_id"], "SELECT * FROM dim_location")
 _top("dim_property_type", ["property_id"], "SELECT * FROM dim_property_type")
 _top("dim_room_type", ["room_id"], "SELECT * FROM dim_room_type")
-_top("dim_date", ["date_id"], _DATE_SQL, "dim_date fact_reviews")
 _top("fact_listings", ["listing_id", "snapshot_date"], _FACT_SQL)
 _top("fact_reviews", ["review_id"], "SELECT * FROM fact_reviews")
 

@@ -6,25 +6,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from snapstar.session import settled
 
-# Above this many distinct keys the numbering is spread over range partitions.
-ONE_TASK_KEYS = 500_000
+def numbered(keys: DataFrame, order: list[str], number: str) -> DataFrame:
+    """Distinct ``keys`` with ``number`` = position of the key in ``order``, from 1.
 
-
-def numbered(
-    keys: DataFrame, order: list[str], number: str, one_task_keys: int = ONE_TASK_KEYS
-) -> DataFrame:
-    """Distinct ``keys`` with ``number`` = position of the key in ``order``, from 1."""
-    kept = settled(keys)
-    if kept.count() <= one_task_keys:
-        return kept.withColumn(number, F.row_number().over(Window.orderBy(*order)))
-    return _numbered_by_range(kept, order, number)
-
-
-def _numbered_by_range(keys: DataFrame, order: list[str], number: str) -> DataFrame:
-    """Same numbers: rank inside a key range plus the number of keys in all lower ranges.
-
-    The range of each key is written down before it is counted, so a recomputed task cannot
-    draw other bounds. The only one-task step runs over one row per range.
+    Rank inside a key range plus the number of keys in all lower ranges. The range of each key is
+    written down before it is counted, so a recomputed task cannot draw other bounds. The only
+    one-task step runs over one row per range.
     """
     spark = keys.sparkSession
     ranges = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -37,8 +24,8 @@ def _numbered_by_range(keys: DataFrame, order: list[str], number: str) -> DataFr
     )
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return (
-        placed.withColumn("_position", inside)
+        placed.withColumn("_inside", inside)
         .join(F.broadcast(starts), "_range")  # at most `ranges` rows
-        .withColumn(number, (F.col("_start") + F.col("_position")).cast("int"))
-        .drop("_range", "_start", "_position")
+        .withColumn(number, (F.col("_start") + F.col("_inside")).cast("int"))
+        .drop("_range", "_start", "_inside")
     )

@@ -6,41 +6,28 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapstar.session import settled
 
-# A side is broadcast only after its rows were counted and are no more than this.
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(rows: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``rows`` with a broadcast hint if a bounded count proves them small, else unhinted.
-
-    Pass something cheap to count: a settled result or a stored table.
-    """
-    small = rows.limit(limit + 1).count() <= limit
-    return F.broadcast(rows) if small else rows
-
-
 def look_up(
     rows: DataFrame, members: DataFrame, natural: dict[str, str], key: str, default: int = 0,
-    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Replace a natural key in ``rows`` by the members' ``key``; unmatched rows get ``default``.
 
     ``natural`` maps the column of ``rows`` to the column of ``members``. Members must be unique
-    on it. Null never matches. No row is lost and none is doubled.
+    on it. Null never matches. No row is lost and none is doubled. The join is not hinted: the size
+    of stored members tells Spark whether to broadcast them.
     """
     (here, there), = natural.items()
     wanted = members.where(F.col(key) != default).select(
         F.col(there).alias("_natural"), F.col(key).alias("_key")
     )
     return (
-        rows.join(broadcast_if_small(wanted, limit), rows[here] == F.col("_natural"), "left")
+        rows.join(wanted, rows[here] == F.col("_natural"), "left")
         .withColumn(key, F.coalesce(F.col("_key"), F.lit(default)))
         .drop("_natural", "_key")
     )
 
 
 def keep_known_keys(
-    rows: DataFrame, members: DataFrame, key: str, default: int = 0, limit: int = BROADCAST_ROWS
+    rows: DataFrame, members: DataFrame, key: str, default: int = 0
 ) -> DataFrame:
     """``key`` where ``members`` has it, ``default`` elsewhere, without moving ``rows``.
 
@@ -55,10 +42,9 @@ def keep_known_keys(
     )
     if absent.isEmpty():
         return rows.withColumn(key, F.coalesce(F.col(key), F.lit(default)))
-    side = broadcast_if_small(absent, limit)
     known = F.when(F.col("_absent").isNull(), F.col(key))
     return (
-        rows.join(side, F.col(key) == F.col("_absent"), "left")
+        rows.join(absent, F.col(key) == F.col("_absent"), "left")
         .withColumn(key, F.coalesce(known, F.lit(default)))
         .drop("_absent")
     )

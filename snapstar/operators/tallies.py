@@ -38,11 +38,3 @@ def value_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def null_rows(column: str) -> Column:
     return F.count_if(F.col(column).isNull())
-
-
-def one_row_per(names: dict[str, dict[str, Column]], label: str) -> Column:
-    """Array of structs, one per name, to be exploded by the caller into rows."""
-    return F.array(*[
-        F.struct(F.lit(name).alias(label), *[c.alias(k) for k, c in values.items()])
-        for name, values in names.items()
-    ])

@@ -36,9 +36,9 @@ def dim_location(neighbourhoods: DataFrame) -> DataFrame:
     return _with_unknown(members, location_id=0, neighbourhood_cleansed=C.UNKNOWN)
 
 
-def dim_location_history(neighbourhoods: DataFrame) -> DataFrame:
-    """From the neighbourhood archive: names keep the keys of the load that brought them in."""
-    names = (
+def listed_names(neighbourhoods: DataFrame) -> DataFrame:
+    """Cleaned names of the neighbourhood archive and the first snapshot that lists each."""
+    return (
         neighbourhoods.select(
             clean.or_unknown(F.col("neighbourhood")).alias("neighbourhood_cleansed"),
             "snapshot_date",
@@ -46,10 +46,19 @@ def dim_location_history(neighbourhoods: DataFrame) -> DataFrame:
         .where(F.col("neighbourhood_cleansed") != C.UNKNOWN)
         .groupBy("neighbourhood_cleansed").agg(F.min("snapshot_date").alias("_since"))
     )
-    members = numbered(names, ["_since", "neighbourhood_cleansed"], "location_id").select(
-        "location_id", "neighbourhood_cleansed"
-    )
-    return _with_unknown(members, location_id=0, neighbourhood_cleansed=C.UNKNOWN)
+
+
+def location_members(keys: DataFrame) -> DataFrame:
+    """The location dimension over stored keys."""
+    return _with_unknown(keys, location_id=0, neighbourhood_cleansed=C.UNKNOWN)
+
+
+def next_location_keys(keys: DataFrame, names: DataFrame) -> DataFrame:
+    """Keys for listed names that have none, behind the highest, in order of appearance."""
+    fresh = names.join(keys.select("neighbourhood_cleansed"), "neighbourhood_cleansed", "left_anti")
+    highest = keys.agg(F.coalesce(F.max("location_id"), F.lit(0))).scalar()
+    return numbered(fresh, ["_since", "neighbourhood_cleansed"], "_number").select(
+        (F.col("_number") + highest).cast("int").alias("location_id"), "neighbourhood_cleansed")
 
 
 def new_neighbourhoods(neighbourhoods: DataFrame, location: DataFrame) -> DataFrame:

@@ -12,9 +12,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
+from snapstar.plans import dimensions as dims
+from snapstar.session import new_folder, settled
 from snapstar.sources.fit import WHOLE_TYPES, strict, whole
 
 
+LOCATION_KEYS = "location_id int, neighbourhood_cleansed string"
+
+
 class SnapshotExists(C.ContractError):
     """The snapshot is in the archive already; loading it again would double it."""
 
@@ -71,6 +76,41 @@ def create(spark: SparkSession, root: str) -> None:
         nothing.write.mode("ignore").partitionBy("snapshot_date").parquet(_path(root, kind))
 
 
+    spark.createDataFrame([], LOCATION_KEYS).write.mode("ignore").parquet(f"{root}/keys/location")
+
+
+def keep_location_keys(spark: SparkSession, root: str, names: DataFrame) -> DataFrame:
+    """The location dimension of the archived names; a name keeps the key it once got.
+
+    Keys are stored apart and only ever added to, so no later load, in whatever order of dates,
+    renumbers a name that facts refer to.
+    """
+    path = f"{root}/keys/location"
+    create(spark, root)
+    stored = lambda: spark.read.schema(LOCATION_KEYS).parquet(path)
+    settled(dims.next_location_keys(stored(), names)).write.mode("append").parquet(path)
+    return dims.location_members(stored())
+
+
+def retag_archive(spark: SparkSession, root: str) -> int:
+    """Give every archived listing today's category; rows of partitions that changed.
+
+    Snapshots are rewritten whole, and only those in which a category differs.
+    """
+    rows = read_archive(spark, root, "listings")
+    today = clean.property_category(F.col("property_type"))
+    stale = [
+        r.snapshot_date for r in rows.where(~F.col("property_category").eqNullSafe(today))
+        .select("snapshot_date").distinct().collect()
+    ]
+    if not stale:
+        return 0
+    # The new rows are on disk before a partition is replaced by them.
+    folder = new_folder(spark, "retagged")
+    retag_categories(rows.where(F.col("snapshot_date").isin(stale))).write.parquet(folder)
+    return append(spark.read.schema(rows.schema).parquet(folder), root, "listings")
+
+
 def read_archive(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return spark.read.schema(C.archive_schema(kind)).parquet(_path(root, kind))
 

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
 from snapstar.operators.latest import latest_per_key
-from snapstar.operators.matching import broadcast_if_small
 from snapstar.operators.median import grouped_median
 from snapstar.session import settled
 
@@ -80,7 +79,7 @@ def _price_by(fact: DataFrame, key: str, dim: DataFrame, label: str) -> DataFram
         clean.mean(F.sum(F.col("price") * F.col("_rows")), F.sum(priced)).alias("avg_price"),
     )
     middle = grouped_median(prices, groups, "price", "_rows")
-    names = broadcast_if_small(dim.select(key, label))
+    names = dim.select(key, label)
     return (
         spread.join(middle.withColumnRenamed("median", "median_price"), groups, "left")
         .join(names, key).drop(key)
@@ -102,7 +101,7 @@ def license_by_neighbourhood(fact: DataFrame, locations: DataFrame) -> DataFrame
         .groupBy("snapshot_date", "location_id", "license_status")
         .agg(F.count("*").alias("listings"))
     )
-    names = broadcast_if_small(locations.select("location_id", "neighbourhood_cleansed"))
+    names = locations.select("location_id", "neighbourhood_cleansed")
     return counted.join(names, "location_id").drop("location_id")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from snapstar import contracts as C
 from snapstar.operators.tallies import row_counts, stacked
@@ -17,19 +17,33 @@ def stage(
     spark: SparkSession, feed: str, root: str, kind: str, subfolders: list[str] | None = None,
     multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed staging rows of one kind, stored, and the type report. Rerunning replaces them."""
+    """Typed staging rows of one kind, stored, and the type report. Rerunning replaces them.
+
+    The files are parsed once, into text columns; profile and casts read those.
+    """
     raw = csv_snapshots.read_snapshots(spark, feed, kind, subfolders, multi_line)
     csv_snapshots.check_columns(raw, kind)
     if kind == "listings":
         raw = raw.drop(*C.LISTING_DROPPED)
-    dated = raw.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+    read = Observation()
+    dated = _replaced(
+        raw.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+        .observe(read, F.count("*").alias("rows")), f"{root}/staging/{kind}_text")
+    raw = dated
     report = settled(fit.widening_report(raw.drop("snapshot_date"), kind))
     typed = fit.typed(dated, kind, report).withColumn(
         "snapshot_date", F.col("snapshot_date").cast("date")
     )
-    path = f"{root}/staging/{kind}"
-    typed.write.mode("overwrite").parquet(path)
-    return spark.read.schema(typed.schema).parquet(path), report
+    staged = _replaced(typed, f"{root}/staging/{kind}")
+    if staged.count() != read.get["rows"]:
+        raise C.ContractError(f"{kind}: {read.get['rows']} rows read, {staged.count()} staged")
+    return staged, report
+
+
+def _replaced(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` stored at ``path`` in place of what was there."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def check_staged(staged: dict[str, DataFrame]) -> None:
@@ -67,10 +81,11 @@ def load(
         staged[kind], reports[kind] = stage(spark, feed, root, kind, subfolders, multi_line)
     check_staged(staged)
 
-    known = dims.dim_location_history(history.read_archive(spark, root, "neighbourhoods"))
+    known = dims.listed_names(history.read_archive(spark, root, "neighbourhoods"))
     waiting = dims.new_neighbourhoods(staged["neighbourhoods"], known)
     names = staged["neighbourhoods"]
-    if not history.read_archive(spark, root, "neighbourhoods").isEmpty():
+    # The first load is over when listings, written last, are there.
+    if not history.read_archive(spark, root, "listings").isEmpty():
         names = names.where(F.col("neighbourhood").isin(approved or [])).join(
             waiting, "neighbourhood", "left_semi"
         )
@@ -83,8 +98,13 @@ def load(
             staged["listings"].withColumn("property_category", F.lit(None).cast("string"))
         ),
     }
+    # Every value is brought to its archive type before the first archive is touched.
+    ready = {
+        kind: _replaced(history.conform(rows, kind), f"{root}/staging/{kind}_ready")
+        for kind, rows in batch.items()
+    }
     for kind in KINDS:
-        history.append(batch[kind], root, kind)
+        history.append(ready[kind], root, kind)
     archived = {
         kind: history.read_archive(spark, root, kind)
         .join(F.broadcast(staged[kind].select("snapshot_date").distinct()),  # one row per snapshot
@@ -131,7 +151,8 @@ def rebuild(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
     names = dims.observed_names(listings)
     star = {
-        "DimLocation": store("DimLocation", dims.dim_location_history(neighbourhoods)),
+        "DimLocation": store("DimLocation", history.keep_location_keys(
+            spark, root, dims.listed_names(neighbourhoods))),
         "DimRoomType": store("DimRoomType", dims.dim_room_type(names["room_type"])),
         "DimPropertyType": store(
             "DimPropertyType", dims.dim_property_type(names["property_type"])

@@ -126,6 +126,18 @@ def unknown_members(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
+def unknown_summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """Per dimension: members, those under key 0, and those named Unknown under it and besides."""
+    def summary(name: str, key: str, label: str) -> DataFrame:
+        zero, named = F.col(key) == C.UNKNOWN_KEY, F.col(label) == C.UNKNOWN
+        return tables[name].agg(
+            F.count("*").alias("members"), F.count_if(zero).alias("unknown_members"),
+            F.count_if(zero & named).alias("named_unknown"),
+            F.count_if(~zero & named).alias("others_named_unknown"),
+        ).select(F.lit(name).alias("dim"), "*")
+    return stacked([summary(name, *columns) for name, columns in _NAMED.items()])
+
+
 def snapshot_distribution(fact: DataFrame) -> DataFrame:
     """Distinct listings and rows per snapshot; the two should be equal."""
     per_listing = fact.groupBy("snapshot_date", "listing_id").agg(F.count("*").alias("_rows"))

@@ -4,6 +4,7 @@ import csv
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from snapstar import contracts as C
 from snapstar.plans import facts, history, load, quality
@@ -161,7 +162,39 @@ def test_text_in_a_number_column_is_reported_and_stops_the_append(spark, tmp_pat
         ("beds", "text")]
     with pytest.raises(Exception, match="beds cannot hold many"):
         load.load(spark, feed, root)
-    assert history.read_archive(spark, root, "listings").isEmpty()
+    assert all(history.read_archive(spark, root, kind).isEmpty() for kind in load.KINDS)
+
+
+def test_a_fraction_in_a_whole_column_stops_the_load_before_any_append(spark, tmp_path):
+    feed = make_feed(tmp_path, DAYS[:1], {DAYS[0]: [listing(9, accommodates="3.7")]})
+    root = str(tmp_path / "warehouse")
+    with pytest.raises(Exception, match="accommodates cannot hold 3.7"):
+        load.load(spark, feed, root)
+    assert all(history.read_archive(spark, root, kind).isEmpty() for kind in load.KINDS)
+
+
+def test_location_keys_outlive_an_older_snapshot_loaded_later(spark, tmp_path):
+    feed, root = make_feed(tmp_path), str(tmp_path / "warehouse")
+    load.load(spark, feed, root, [DAYS[2]])
+    first = {r.neighbourhood_cleansed: r.location_id
+             for r in load.rebuild(spark, root)["DimLocation"].collect()}
+    _write(tmp_path / "feed" / DAYS[0] / f"{DAYS[0]}_neighbourhoods.csv",
+           ["neighbourhood_group", "neighbourhood"], [{"neighbourhood": "Anafiotika"}])
+    load.load(spark, feed, root, [DAYS[0]], approved=["Anafiotika"])
+    later = {r.neighbourhood_cleansed: r.location_id
+             for r in load.rebuild(spark, root)["DimLocation"].collect()}
+    assert later == first | {"Anafiotika": max(first.values()) + 1}
+
+
+def test_stored_categories_follow_changed_rules(spark, tmp_path):
+    feed, root = make_feed(tmp_path, DAYS[:2]), str(tmp_path / "warehouse")
+    load.load(spark, feed, root)
+    assert history.retag_archive(spark, root) == 0
+    old = history.read_archive(spark, root, "listings").where("snapshot_date = date'2025-06-24'")
+    history.append(old.withColumn("property_category", F.lit("Old")).checkpoint(), root, "listings")
+    assert history.retag_archive(spark, root) == 3
+    rows = history.read_archive(spark, root, "listings").groupBy("property_category").count()
+    assert [tuple(r) for r in rows.collect()] == [("Entire Property", 7)]
 
 
 def test_retag_and_backfill_of_categories(spark):

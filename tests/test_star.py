@@ -112,9 +112,13 @@ def test_location_keys_stay_when_names_are_added(spark):
                                   "neighbourhood string, snapshot_date date")
     later = first.union(spark.createDataFrame([("A", DAY2), ("B", DAY2)], first.schema))
     keys = lambda t: {r.neighbourhood_cleansed: r.location_id for r in t.collect()}
-    assert keys(dims.dim_location_history(first)) == {"Unknown": 0, "B": 1, "C": 2}
-    assert keys(dims.dim_location_history(later)) == {"Unknown": 0, "B": 1, "C": 2, "A": 3}
-    extended = dims.extend_location(dims.dim_location_history(first), names(spark, "A", "B", None))
+    none = spark.createDataFrame([], "location_id int, neighbourhood_cleansed string")
+    held = dims.next_location_keys(none, dims.listed_names(first)).checkpoint()
+    assert keys(dims.location_members(held)) == {"Unknown": 0, "B": 1, "C": 2}
+    more = dims.next_location_keys(held, dims.listed_names(later))
+    assert keys(dims.location_members(held.unionByName(more))) == {
+        "Unknown": 0, "B": 1, "C": 2, "A": 3}
+    extended = dims.extend_location(dims.location_members(held), names(spark, "A", "B", None))
     assert keys(extended) == {"Unknown": 0, "B": 1, "C": 2, "A": 3}
 
 
