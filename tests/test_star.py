@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rows import DAY1, DAY2, DAY3, listings, reviews
 from snapstar import contracts as C
 from snapstar.plans import dimensions as dims, facts, investor, profiles, quality
+from snapstar.session import new_folder
 
 
 def names(spark, *values):
@@ -15,9 +16,16 @@ def names(spark, *values):
                                  "neighbourhood_group string, neighbourhood string")
 
 
+def stored(rows):
+    folder = new_folder(rows.sparkSession, "dim")
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
+
+
 def star(spark, rows, places=("Plaka",)):
     property_types, rooms = dims.dim_property_type(rows), dims.dim_room_type(rows)
     location, hosts = dims.dim_location(names(spark, *places)), dims.dim_host(rows)
+    property_types, rooms, location = map(stored, (property_types, rooms, location))
     return facts.fact_listings(rows, property_types, rooms, location, hosts), {
         "property": property_types, "room": rooms, "location": location, "host": hosts}
 
