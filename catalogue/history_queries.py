@@ -9,7 +9,7 @@ from catalogue.registry import query
 from catalogue.star_queries import Star
 from snapstar import contracts as C
 from snapstar.operators.tallies import row_counts
-from snapstar.plans import history, load
+from snapstar.plans import dimensions as dims, history, load
 from snapstar.session import new_folder, settled
 
 # The first snapshot whose files carry the quote columns.
@@ -54,13 +54,40 @@ def snapshot_append(spark, sf_dir):
 def snapshot_remove(spark, sf_dir):
     """What the archive holds after its oldest snapshot was taken out."""
     root = _archive(spark, sf_dir)
-    history.append(inputs.reviews(spark, sf_dir), root, "reviews")
     archive = history.read_archive(spark, root, "listings")
     oldest = archive.agg(F.min("snapshot_date").alias("day")).first().day
     history.remove(spark, root, oldest)
     return _per_snapshot(history.read_archive(spark, root, "listings"))
 
 
+@query("reviews", """
+    SELECT snapshot_date, count(*) AS row_count, CAST(sum(id) AS BIGINT) AS id_total
+    FROM reviews WHERE snapshot_date <> (SELECT min(snapshot_date) FROM reviews)
+    GROUP BY snapshot_date""")
+def snapshot_remove_reviews(spark, sf_dir):
+    """What the review archive holds after its oldest snapshot was taken out."""
+    root = new_folder(spark, "archive")
+    history.append(inputs.reviews(spark, sf_dir), root, "reviews")
+    archive = history.read_archive(spark, root, "reviews")
+    history.remove(spark, root, archive.agg(F.min("snapshot_date")).first()[0])
+    return history.read_archive(spark, root, "reviews").groupBy("snapshot_date").agg(
+        F.count("*").alias("row_count"), F.sum("id").alias("id_total"))
+
+
+@query("listings", _PER_SNAPSHOT_SQL.format(""))
+def archive_retag(spark, sf_dir):
+    """Every stored category after a change of rules: half the snapshots carried an old one."""
+    root = new_folder(spark, "archive")
+    old = F.when(F.year("snapshot_date") % 2 == 0, F.lit("Former label"))
+    history.append(history.with_category(
+        inputs.listings(spark, sf_dir).withColumn("property_category", old)), root, "listings")
+    history.retag_archive(spark, root)
+    rows = history.read_archive(spark, root, "listings")
+    known = F.col("property_category") != "Former label"
+    return _per_snapshot(rows.withColumn(
+        "property_category", F.when(known, F.col("property_category"))))
+
+
 @query("listings reviews", """
     SELECT snapshot_date, snapshot_date IN (SELECT snapshot_date FROM listings) AS already_loaded
     FROM (SELECT snapshot_date FROM listings UNION SELECT snapshot_date FROM reviews)""")
@@ -83,15 +110,66 @@ def write_feed(spark: SparkSession, sf_dir: str, feed: str) -> list[str]:
             f"{feed}/{day}/{day}_listings.csv", **csv
         )
     reviews = inputs.reviews(spark, sf_dir)
-    for (day,) in reviews.select("snapshot_date").distinct().collect():
+    written = [r[0] for r in reviews.select("snapshot_date").distinct().collect()]
+    for day in written:
+        folder = max(days) if day == max(written) else min(days)
         reviews.where(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date") \
-            .write.csv(f"{feed}/{min(days)}/{day}_reviews.csv", **csv)
+            .write.csv(f"{feed}/{folder}/{day}_reviews.csv", **csv)
     inputs.neighbourhoods(spark, sf_dir).write.csv(
         f"{feed}/{min(days)}/{min(days)}_neighbourhoods.csv", **csv
     )
+    # The last snapshot lists each nation's new quarter as well.
+    inputs.neighbourhoods(spark, sf_dir).select(
+        "neighbourhood_group", F.concat("neighbourhood", F.lit(" (new)")).alias("neighbourhood")
+    ).write.csv(f"{feed}/{max(days)}/{max(days)}_neighbourhoods.csv", **csv)
     return sorted(days)
 
 
+@query("listings reviews", """
+    SELECT 'listings after the first load' AS step, count(*) AS value FROM listings
+      WHERE snapshot_date < (SELECT max(snapshot_date) FROM listings)
+    UNION ALL SELECT 'listings after the second load', count(*) FROM listings
+    UNION ALL SELECT 'repeated loads refused', count(DISTINCT snapshot_date) FROM listings
+      WHERE snapshot_date = (SELECT max(snapshot_date) FROM listings)
+    UNION ALL SELECT 'names waiting', count(*) FROM nation WHERE n_name >= 'K'
+    UNION ALL SELECT 'locations', 1 + count(*) + count(*) FILTER (n_name < 'K') FROM nation
+    UNION ALL SELECT 'listings without the oldest', count(*) FROM listings
+      WHERE snapshot_date > (SELECT min(snapshot_date) FROM listings)
+    UNION ALL SELECT 'reviews without the oldest', count(*) FROM reviews
+      WHERE snapshot_date > (SELECT min(snapshot_date) FROM reviews)""")
+def quarterly_increment(spark, sf_dir):
+    """A load on top of earlier ones: approval of names, a refused repeat, a removal."""
+    feed, root = new_folder(spark, "feed"), new_folder(spark, "warehouse")
+    days = write_feed(spark, sf_dir, feed)
+    steps = []
+
+    def note(step: str, rows: DataFrame) -> None:
+        steps.append((step, rows.count()))
+
+    archive = lambda kind: history.read_archive(spark, root, kind)
+    load.load(spark, feed, root, days[:-1])
+    note("listings after the first load", archive("listings"))
+    approved = [
+        f"{r.neighbourhood} (new)" for r in inputs.neighbourhoods(spark, sf_dir)
+        .where(F.col("neighbourhood") < "K").collect()
+    ]
+    report = load.load(spark, feed, root, days[-1:], approved=approved)
+    note("listings after the second load", archive("listings"))
+    try:
+        load.load(spark, feed, root, days[-1:])
+        steps.append(("repeated loads refused", 0))
+    except history.SnapshotExists:
+        steps.append(("repeated loads refused", 1))
+    note("names waiting", report["new_neighbourhoods"])
+    names = dims.listed_names(archive("neighbourhoods"))
+    note("locations", history.keep_location_keys(spark, root, names))
+    for kind in ("listings", "reviews"):
+        oldest = archive(kind).agg(F.min("snapshot_date")).first()[0]
+        history.remove(spark, root, oldest)
+        note(f"{kind} without the oldest", archive(kind))
+    return spark.createDataFrame(steps, "step string, value long")
+
+
 @query("dim_host dim_listings dim_location dim_property_type dim_room_type dim_date "
        "fact_listings fact_reviews", """
     SELECT 'FactListings' AS table_name, count(*) AS row_count FROM fact_listings
@@ -100,20 +178,27 @@ def write_feed(spark: SparkSession, sf_dir: str, feed: str) -> list[str]:
     UNION ALL SELECT 'DimListings', count(*) FROM dim_listings
     UNION ALL SELECT 'DimRoomType', count(*) FROM dim_room_type
     UNION ALL SELECT 'DimPropertyType', count(*) FROM dim_property_type
-    UNION ALL SELECT 'DimLocation', count(*) FROM dim_location
+    UNION ALL SELECT 'DimLocation', (SELECT count(*) FROM dim_location) + (SELECT count(*) FROM nation)
     UNION ALL SELECT 'DimDate', count(*) FROM dim_date
-    UNION ALL SELECT 'orphaned_host_ids', 0
+    UNION ALL SELECT 'orphaned_host_ids', count(*) FROM fact_listings
+      WHERE host_id NOT IN (SELECT host_id FROM dim_host)
     UNION ALL SELECT 'orphaned_review_listing_ids', count(*) FROM fact_reviews
       WHERE listing_id NOT IN (SELECT listing_id FROM dim_listings)
-    UNION ALL SELECT 'duplicate_keys', 0
-    UNION ALL SELECT 'unknown_members', 5
+    UNION ALL SELECT 'duplicate_keys', count(*) - count(DISTINCT (listing_id, snapshot_date))
+      FROM fact_listings
+    UNION ALL SELECT 'unknown_members',
+      (SELECT count(*) FROM dim_host WHERE host_id = 0)
+      + (SELECT count(*) FROM dim_listings WHERE listing_id = 0)
+      + (SELECT count(*) FROM dim_location WHERE location_id = 0)
+      + (SELECT count(*) FROM dim_property_type WHERE property_id = 0)
+      + (SELECT count(*) FROM dim_room_type WHERE room_id = 0)
     UNION ALL SELECT 'listings_in_history', count(*) FROM fact_listings
     UNION ALL SELECT 'listing_facts', count(*) FROM fact_listings""")
 def quarterly_load(spark, sf_dir):
     """From CSV files to accepted star schema: the whole load, in one batch of snapshots."""
     feed, root = new_folder(spark, "feed"), new_folder(spark, "warehouse")
     write_feed(spark, sf_dir, feed)
-    load.load(spark, feed, root)
+    load.load(spark, feed, root)  # the first load takes all listed names
     star = load.rebuild(spark, root)
     report = load.acceptance(spark, root)
     return row_counts(star).unionByName(

@@ -14,7 +14,7 @@ def local_session(cores: int | str = "*", app: str = "snapstar", **settings: str
     defaults = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": "8g",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -29,7 +29,11 @@ def local_session(cores: int | str = "*", app: str = "snapstar", **settings: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local session may go without."""
+    """The folder named by ``spark.checkpoint.dir``; only a session of one machine may go without.
+
+    Such a session (bench, a first try) uses the temporary folder of its machine, which all its
+    tasks share.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
