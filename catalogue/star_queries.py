@@ -53,7 +53,8 @@ class Star:
 
     @cached_property
     def dim_room_type(self) -> DataFrame:
-        return self._kept(dims.dim_room_type(self._names["room_type"]), "dim-room-type")
+        return self._kept(
+            dims.dim_room_type(self._names["room_type"]), "dim-room-type")
 
     @cached_property
     def dim_property_type(self) -> DataFrame:
