@@ -126,7 +126,8 @@ def exchange(counts: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -
             gain = (_g(table_ + right) - _g(table_)).sum(1)
             gain += (_g(table_ + left[:, None]) - _g(table_)).sum(0)
             corner = np.diag(table_)
-            gain += _g(corner + right + left + self_) - _g(corner + right) - _g(corner + left) + _g(corner)
+            gain += _g(corner + right + left + self_) + _g(corner)
+            gain -= _g(corner + right) + _g(corner + left)
             gain -= _g(rows + right.sum() + self_) - _g(rows)
             gain -= _g(columns + left.sum() + self_) - _g(columns)
             gain[-1] = -np.inf

@@ -10,8 +10,8 @@ Copies are one node, so the work is between different sets:
 
 1. A sketch of all shingles (fixed size) gives frequencies for the order and for the choice of l;
    it decides on cost only, never on results.
-2. Each shingle that several nodes have in their prefix names a pivot, the node where it stands
-   first; pivot and members are verified. That is linear in the rows of a hot shingle, and it
+2. Each shingle that several nodes have in their prefix names a pivot, the node that shares most
+   shingles; pivot and members are verified. That is linear in the rows of a hot shingle, and it
    joins groups of near copies to components.
 3. Where a shingle is still shared by several components, pairs across components are counted and
    verified. Pairs within a component cannot add to it. So no link between components is lost and
@@ -36,6 +36,11 @@ from snapstar.session import new_folder
 WIDTH, PERCENT = 5, 75
 SKETCH_BITS, BLOOM_BITS = 18, 24
 MOST_MATCHES = 8
+#: Shingles that a row remembers, so that a pair is met at the first of a run it shares.
+BEFORE = 6
+#: Bounds of the classes that shared shingles are counted in, by their number of nodes.
+RARITY = (4, 32, 512)
+_HELD = tuple(f"held{k}" for k in range(len(RARITY) + 1))
 #: Costs of a row in the prefix and of a candidate, for the choice of l.
 ROW_COST, CANDIDATE_COST = 1.0, 4.0
 
@@ -137,9 +142,13 @@ def _stored(rows: DataFrame, purpose: str) -> DataFrame:
 
 
 def possible(a: str, b: str, percent: int = PERCENT) -> Column:
-    """Whether a common shingle at two places leaves room for enough others (n_, at_ of a and b)."""
+    """Whether a common shingle leaves room for enough others (n_, at_ and place_ of a and b).
+
+    at: shingles of the set before it in the common order; place: those of them that the two can
+    have in common at all.
+    """
     n, m, i, j = (F.col(x) for x in (f"n{a}", f"n{b}", f"at{a}", f"at{b}"))
-    most = F.least(i, j) + 1 + F.least(n - i, m - j) - 1
+    most = F.least(f"place{a}", f"place{b}") + F.least(n - i, m - j)
     return (F.least(n, m) * (100 + percent) >= percent * (n + m)) & (
         most * (100 + percent) >= percent * (n + m))
 
@@ -157,7 +166,7 @@ def required(a: str = "1", b: str = "2", percent: int = PERCENT) -> Column:
 
 
 def shared_rows(signed: DataFrame) -> DataFrame:
-    """(token, node, n, at, least, pivot) of prefix shingles that several nodes have."""
+    """(token, node, n, at, least) of prefix shingles that several nodes have."""
     rows = signed.where("prefix IS NOT NULL").select(
         "node", F.expr("shiftleft(n, 32) | least").alias("size"),
         F.posexplode("prefix").alias("at", "token"))
@@ -165,13 +174,28 @@ def shared_rows(signed: DataFrame) -> DataFrame:
     # Equal ranks are the same node: of nodes at one place, 48 bits of the name tell them apart.
     several = rows.groupBy("token").agg(
         F.min(rank).alias("first"), F.max(rank).alias("last")
-    ).where("first < last").select("token", "first")
-    packed = rows.select("token", "node", F.expr("size | shiftleft(CAST(at AS BIGINT), 4)").alias("size"))
+    ).where("first < last").select("token")
+    packed = rows.select(
+        "token", "node", F.expr("size | shiftleft(CAST(at AS BIGINT), 4)").alias("size"))
     at = F.expr("CAST(shiftright(size, 4) & 268435455 AS INT)")
     return packed.join(several, "token").select(
         "token", "node", F.shiftright("size", 32).cast("int").alias("n"), at.alias("at"),
-        F.expr("CAST(size & 15 AS INT)").alias("least"), "first",
-    ).select("token", "node", "n", "at", "least", (rank == F.col("first")).alias("pivot"))
+        F.expr("CAST(size & 15 AS INT)").alias("least"))
+
+
+def with_pivots(shared: DataFrame) -> DataFrame:
+    """The rows and whether their node is the shingle's pivot: that with most shared shingles.
+
+    Of copies with edits, the one nearest to the others has lost fewest; it is the pivot of all
+    shingles it has, so a member meets few pivots.
+    """
+    score = F.expr("shiftleft(held, 48) | (node & 281474976710655)")
+    # A window over one node holds no more than its own prefix.
+    rows = shared.withColumn("held", F.count("*").over(Window.partitionBy("node"))).withColumn(
+        "score", score).drop("held")
+    top = rows.groupBy("token").agg(F.max("score").alias("top"))
+    return rows.join(top, "token").withColumn("pivot", F.col("score") == F.col("top")).drop(
+        "score", "top")
 
 
 def counted(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
@@ -282,34 +306,97 @@ def components(links: DataFrame) -> DataFrame:
         held.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
+def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """Rows whose shingle may still link two components: with comp, place, before, held counts.
+
+    held0 and on count a node's shingles that other components share, by how many nodes do; place
+    counts those before a row's and before names the last of them. A pair cannot have more in
+    common (``in_common``). A row goes if that is too little for any size of the nodes that share
+    its shingle, and with the rows go shingles that are left to one component. Those are most: a
+    passage of many documents is a small part of each, and an edited copy of a much copied text
+    has lost too many of its shingles to link with anything but its nearest kin. No row of a pair
+    that links can go.
+    """
+    placed = shared.select("token", "node", "n", "at", "least").join(comps, "node", "left").withColumn(
+        "comp", F.coalesce("comp", "node"))
+    kept = placed.join(_several(placed), "token")
+    # Windows over one node hold no more than its own prefix.
+    whole = Window.partitionBy("node")
+    rank = sum((F.col("nodes") > most).cast("int") for most in RARITY)
+    kept = kept.withColumns({
+        name: F.sum((rank == k).cast("int")).over(whole).cast("int") for k, name in enumerate(_HELD)
+    }).withColumns({
+        "place": F.row_number().over(Window.partitionBy("node").orderBy("at")) - 1,
+        "before": F.collect_list("token").over(
+            Window.partitionBy("node").orderBy("at").rowsBetween(-BEFORE, -1)),
+    })
+    held = sum(F.col(name) for name in _HELD)
+    up = lambda x, y: F.ceil(x * percent / y)
+    n = F.col("n").cast("long")
+
+    def enough(m: Column) -> Column:
+        own, other = up(n, 100) - F.col("least"), up(m, 100) - 1
+        return up(n + m, 100 + percent) - F.greatest(own, other) <= held
+
+    # The demand falls with the distance in size, so the extremes decide.
+    least = F.greatest(F.col("low"), up(n, 100))
+    most = F.least(F.col("high"), F.floor(n * 100 / percent))
+    kept = kept.where(
+        (((least <= n) & enough(least)) | ((most >= n) & enough(most)))
+        & (n - F.col("at") + F.col("place") >= up(n + least, 100 + percent))
+    ).drop("low", "high", "nodes")
+    return kept.join(_several(kept).select("token"), "token")
+
+
+def in_common(a: str, b: str) -> Column:
+    """The most shingles that two nodes can share, from their counts by rarity."""
+    return sum(F.least(f"{name}{a}", f"{name}{b}") for name in _HELD)
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """(token, low, high) of shingles in several components, with the sizes of their nodes."""
+    return rows.groupBy("token").agg(
+        F.min("comp").alias("c"), F.max("comp").alias("d"),
+        F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("nodes"),
+    ).where("c < d").select("token", "low", "high", "nodes")
+
+
 def linked_nodes(
     signed: DataFrame, docs: DataFrame, key: str, text: str, width: int, percent: int,
 ) -> tuple[DataFrame, DataFrame]:
     """(links, components) between nodes."""
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("first"))
     shared = _stored(shared_rows(signed).distinct(), "shared")
-    side = lambda s: [F.col("token")] + [
+    side = lambda s: [F.col("token"), F.col("at").alias(f"place{s}")] + [
         F.col(x).alias(f"{x}{s}") for x in ("node", "n", "at", "least")]
-    pivots = shared.where("pivot").select(*side("1"))
-    first = shared.where("NOT pivot").select(*side("2")).join(pivots, "token").where(
+    rows = _stored(with_pivots(shared), "pivots")
+    pivots = rows.where("pivot").select(*side("1"))
+    first = rows.where("NOT pivot").select(*side("2")).join(pivots, "token").where(
         possible("1", "2", percent) & (F.col("node1") != F.col("node2")))
     tried = _stored(counted(first.select(
         F.col("node1").alias("a"), F.col("node2").alias("b")).distinct(), shared, percent
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = _stored(verified(tried, nodes, docs, key, text, width, percent), "found")
     comps = _stored(components(links), "comps")
-    placed = shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed_ = placed.groupBy("token").agg(F.min("comp").alias("c"), F.max("comp").alias("d")).where(
-        "c < d").select("token")
-    open_ = _stored(placed.join(mixed_, "token").drop("pivot"), "open")
+    open_ = _stored(open_rows(shared, comps, percent), "open")
     side = lambda s: [F.col("token")] + [
-        F.col(x).alias(f"{x}{s}") for x in ("node", "n", "at", "least", "comp")]
+        F.col(x).alias(f"{x}{s}")
+        for x in ("node", "n", "at", "least", "comp", "place", "before", *_HELD)]
     across = open_.select(*side("1")).join(open_.select(*side("2")), "token").where(
         (F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2"))
-        & possible("1", "2", percent))
-    more = across.groupBy(F.col("node1").alias("a"), F.col("node2").alias("b")).agg(
-        F.count("*").alias("common"), F.max(required(percent=percent)).alias("required")
-    ).where("common >= required").select("a", "b").join(tried, ["a", "b"], "left_anti")
+        & (in_common("1", "2") >= required(percent=percent))
+        & possible("1", "2", percent)
+        # Where they share one of the shingles just before, the pair has been met there.
+        & ~F.arrays_overlap("before1", "before2"))
+    met = across.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
+    own = open_.groupBy("node").agg(
+        F.max("n").alias("n"), F.max("least").alias("least"), F.collect_list("token").alias("tokens"))
+    one, two = (own.select(
+        F.col("node").alias(name), F.col("n").alias(f"n{k}"), F.col("least").alias(f"least{k}"),
+        F.col("tokens").alias(f"tokens{k}")) for k, name in ((1, "a"), (2, "b")))
+    more = met.join(one, "a").join(two, "b").where(
+        F.size(F.array_intersect("tokens1", "tokens2")) >= required(percent=percent)
+    ).select("a", "b").join(tried, ["a", "b"], "left_anti")
     more = verified(_stored(more, "pairs"), nodes, docs, key, text, width, percent)
     links = _stored(links.unionByName(more), "found")
     return links, components(links)
@@ -338,8 +425,8 @@ def near_duplicates(
     links, comps = linked_nodes(signed, named, "_key", "_text", width, percent)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
         F.count("*").alias("n_links"))
-    by_node = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("first")).join(
-        comps, "node", "left").join(degree, "node", "left").withColumn(
+    first = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("first"))
+    by_node = first.join(comps, "node", "left").join(degree, "node", "left").withColumn(
         "comp", F.coalesce("comp", "node"))
     least = by_node.groupBy("comp").agg(F.min("first").alias("component_id"))
     placed = by_node.join(least, "comp").select(

@@ -193,8 +193,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``.
 
     Repeated rows and ties get equal scores; a null or empty text gets the score of the intercept;
-    a null id is in fold 0. Other columns are left out. An empty table gives no rows; without labels of both
-    classes every score says "not toxic".
+    a null id is in fold 0. Other columns are left out. An empty table gives no rows; without
+    labels of both classes every score says "not toxic".
     """
     return scored(docs, scorer(train(docs, labels)), THRESHOLD)
 
