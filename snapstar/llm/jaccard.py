@@ -198,15 +198,19 @@ def with_pivots(shared: DataFrame) -> DataFrame:
         "score", "top")
 
 
-def counted(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that share as many prefix shingles as they must."""
-    left = shared.select(
-        F.col("node").alias("a"), "token", F.col("n").alias("n1"), F.col("least").alias("least1"))
-    right = shared.select(
-        F.col("node").alias("b"), "token", F.col("n").alias("n2"), F.col("least").alias("least2"))
-    return pairs.join(left, "a").join(right, ["b", "token"]).groupBy("a", "b").agg(
-        F.count("*").alias("common"), F.max(required(percent=percent)).alias("required")
-    ).where("common >= required").select("a", "b")
+def counted(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that share as many of the ``rows``' shingles as they must.
+
+    A node's shingles travel as one array, no longer than its prefix.
+    """
+    own = rows.groupBy("node").agg(
+        F.max("n").alias("n"), F.max("least").alias("least"), F.collect_list("token").alias("tokens"))
+    one, two = (own.select(
+        F.col("node").alias(name), F.col("n").alias(f"n{k}"), F.col("least").alias(f"least{k}"),
+        F.col("tokens").alias(f"tokens{k}")) for k, name in ((1, "a"), (2, "b")))
+    return pairs.join(one, "a").join(two, "b").where(
+        F.size(F.array_intersect("tokens1", "tokens2")) >= required(percent=percent)
+    ).select("a", "b")
 
 
 def _bloom(keys: DataFrame, key: str) -> np.ndarray:
@@ -389,14 +393,7 @@ def linked_nodes(
         # Where they share one of the shingles just before, the pair has been met there.
         & ~F.arrays_overlap("before1", "before2"))
     met = across.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
-    own = open_.groupBy("node").agg(
-        F.max("n").alias("n"), F.max("least").alias("least"), F.collect_list("token").alias("tokens"))
-    one, two = (own.select(
-        F.col("node").alias(name), F.col("n").alias(f"n{k}"), F.col("least").alias(f"least{k}"),
-        F.col("tokens").alias(f"tokens{k}")) for k, name in ((1, "a"), (2, "b")))
-    more = met.join(one, "a").join(two, "b").where(
-        F.size(F.array_intersect("tokens1", "tokens2")) >= required(percent=percent)
-    ).select("a", "b").join(tried, ["a", "b"], "left_anti")
+    more = counted(met, open_, percent).join(tried, ["a", "b"], "left_anti")
     more = verified(_stored(more, "pairs"), nodes, docs, key, text, width, percent)
     links = _stored(links.unionByName(more), "found")
     return links, components(links)
