@@ -245,35 +245,28 @@ def verified(
                 if node is not None and node not in seen:
                     seen.add(node)
                     names.append(node)
-                    held.append(own.tobytes())
-                if len(names) == 2000:
+                    held.append(own.view(np.int64))
+                if len(names) == 500:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(names, pa.int64()), pa.array(held, pa.binary())],
+                        [pa.array(names, pa.int64()), pa.array(held, pa.list_(pa.int64()))],
                         names=["node", "held"])
                     names, held = [], []
             if len(seen) > 1_000_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(held, pa.binary())], names=["node", "held"])
+                [pa.array(names, pa.int64()), pa.array(held, pa.list_(pa.int64()))],
+                names=["node", "held"])
 
     whole = docs.select(
         F.pmod(F.xxhash64(key), F.lit(1 << BLOOM_BITS)).alias("at"), F.col(text).alias("text")
-    ).mapInArrow(sets, "node long, held binary").join(asked.select("node"), "node")
+    ).mapInArrow(sets, "node long, held array<long>").join(asked.select("node"), "node")
     whole = _stored(whole, "sets")
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for one, two in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(whole.select(F.col("node").alias("b"), F.col("held").alias("two")), "b").join(
-        whole.select(F.col("node").alias("a"), F.col("held").alias("one")), "a")
-    return joined.select("a", "b", "one", "two").mapInArrow(similar, "a long, b long").distinct()
+    both = F.size(F.array_intersect("one", "two"))
+    union = F.size("one") + F.size("two") - both
+    return pairs.join(whole.select(F.col("node").alias("b"), F.col("held").alias("two")), "b").join(
+        whole.select(F.col("node").alias("a"), F.col("held").alias("one")), "a"
+    ).where(100 * both >= percent * union).select("a", "b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
