@@ -149,25 +149,50 @@ class Index:
     def _add(self, span: int, numbers: np.ndarray, recall: float) -> None:
         own = [self.items[k] for k in numbers]
         random = np.random.default_rng(11)
-        tried = [k for k in random.permutation(len(own))[:200] for _ in range(3)]
-        copies = [edited(own[k], self.allowed(len(own[k])), random) for k in tried]
+        tried = [k for k in numbers[random.permutation(len(own))[:200]] for _ in range(3)]
+        # Copies inside a text, at its beginning and at its end.
+        copies = [
+            edited(self.hashes[k], self.allowed(len(self.hashes[k])), random,
+                   before=4 * (at % 3 != 1), behind=4 * (at % 3 != 2))
+            for at, k in enumerate(tried)
+        ]
         missing = np.ones(len(copies), bool)
         for round_ in range(MOST_REPETITIONS // 2):
             for backwards in (False, True):
                 made = Repetition(1000 * span + 2 * round_ + backwards, backwards, own, span)
-                for k in np.flatnonzero(missing):
-                    line, lead = copies[k]
-                    line = line[::-1] if backwards else line
-                    padded = np.concatenate([line, np.zeros(2 * int(self.size.max()) + 2)])
-                    missing[k] = not any(
-                        tried[k] in hit for _, hit in made.candidates(
-                            padded.astype(np.uint32), len(line)))
                 for size, (keys, within) in made.keys.items():
                     made.keys[size] = keys, numbers[within]
                 self.repetitions.append(made)
+                left = np.flatnonzero(missing)
+                missing[left] = ~self.finds(made, [copies[k] for k in left],
+                                            np.array([tried[k] for k in left]))
             if 1 - missing.mean() >= recall:
                 break
 
+    def finds(
+        self, repetition: Repetition, copies: list[np.ndarray], numbers: np.ndarray,
+    ) -> np.ndarray:
+        """Whether each text, a copy of the item of its number, is found and verified."""
+        out = np.zeros(len(copies), bool)
+        if not copies:
+            return out
+        padded, turned, first = self.lined(np.concatenate(copies), copies)
+        for text, start, number in self.placed(repetition, padded, turned, first):
+            for k in np.flatnonzero(numbers[text] == number):
+                t = int(text[k])
+                out[t] = out[t] or self.verified(
+                    copies[t], int(start[k]), int(number[k])) is not None
+        return out
+
+    def lined(
+        self, words: np.ndarray, lines: list[np.ndarray],
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words of the lines forwards and backwards, padded, and where each line begins."""
+        none = np.zeros(2 * int(self.size.max()) + 2, np.uint32)
+        return (np.concatenate([words.astype(np.uint32), none]),
+                np.concatenate([words[::-1].astype(np.uint32), none]),
+                np.cumsum([0, *map(len, lines)]))
+
     def allowed(self, n: int) -> int:
         return int(self.max_edits * n)
 
@@ -194,31 +219,39 @@ class Index:
         same, length = nearest(backwards, n, line[:end][::-1], anchored=True)
         return low + end - length, low + end, same
 
+    def placed(
+        self, repetition: Repetition, padded: np.ndarray, turned: np.ndarray, first: np.ndarray,
+    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(text numbers, window starts in the text, item numbers) that share a key.
+
+        A window belongs to the text of the word where its walk starts. One that walks backwards
+        may so begin before its text, where the copy has lost words; it is moved to the first word.
+        """
+        line = turned if repetition.backwards else padded
+        for start, number in repetition.candidates(line, int(first[-1])):
+            if repetition.backwards:
+                start = first[-1] - 1 - start
+            text = np.searchsorted(first, start, "right") - 1
+            if repetition.backwards:
+                start = np.maximum(start + 1 - self.size[number], first[text])
+            yield text, start - first[text], number
+
     def search(self, lines: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item number, first word, end word, edits) of the stretches found."""
         words = np.concatenate([*lines, np.empty(0, np.uint64)])
-        first = np.cumsum([0, *map(len, lines)])
-        most = 2 * int(self.size.max()) + 2
-        padded = np.concatenate([words.astype(np.uint32), np.zeros(most, np.uint32)])
-        turned = np.concatenate([words[::-1].astype(np.uint32), np.zeros(most, np.uint32)])
-        hits = []
-        for repetition in self.repetitions:
-            line = turned if repetition.backwards else padded
-            for start, number in repetition.candidates(line, len(words)):
-                if repetition.backwards:
-                    start = len(words) - start - self.size[number]
-                hits.append(np.stack([number, start]))
+        padded, turned, first = self.lined(words, lines)
+        hits = [
+            np.stack(hit) for repetition in self.repetitions
+            for hit in self.placed(repetition, padded, turned, first)
+        ]
         if not hits:
             return
-        number, start = np.concatenate(hits, axis=1)
-        inside = (start >= 0) & (start < len(words))
-        number, start = np.unique(np.stack([number[inside], start[inside]]), axis=1)
-        text = np.searchsorted(first, start, "right") - 1
+        text, start, number = np.unique(np.concatenate(hits, axis=1), axis=1)
         found = set()
         for k in range(len(number)):
             t, item = int(text[k]), int(number[k])
             # A stretch already found around here is not looked for again.
-            here = int(start[k] - first[t])
+            here = int(start[k])
             if (t, item, here) in found:
                 continue
             got = self.verified(words[first[t]:first[t + 1]], here, item)
@@ -250,7 +283,9 @@ def nearest(masks: dict[int, int], n: int, line: list[int], anchored: bool) -> t
     return best, end
 
 
-def edited(item: np.ndarray, edits: int, random: np.random.Generator) -> tuple[np.ndarray, int]:
+def edited(
+    item: np.ndarray, edits: int, random: np.random.Generator, before: int = 4, behind: int = 4,
+) -> np.ndarray:
     """A copy of an item with random words replaced, left out or put in, between strange words."""
     line = item.tolist()
     for _ in range(edits):
@@ -263,8 +298,8 @@ def edited(item: np.ndarray, edits: int, random: np.random.Generator) -> tuple[n
             line[min(at, len(line) - 1)] = strange
         else:
             del line[min(at, len(line) - 1)]
-    around = random.integers(1, 2**32, 8).tolist()
-    return np.array(around[:4] + line + around[4:], np.uint32), 4
+    around = random.integers(1, 2**32, before + behind).tolist()
+    return np.array(around[:before] + line + around[before:], np.uint64)
 
 
 def _searcher(index: Index):

@@ -173,6 +173,24 @@ def test_blocks_of_items_find_the_same(spark, sf_dir, monkeypatch):
     assert exact(whole) == exact(parts) != set()
 
 
+def strange(rng, n):
+    return rng.integers(1, 2**63, n).astype(np.uint64)
+
+
+@pytest.mark.parametrize("n", [17, 38])
+def test_copies_that_lost_words_at_a_border_are_found(n):
+    rng = np.random.default_rng(5)
+    items = [strange(rng, n) for _ in range(40)]
+    index = decontaminate.Index(list(range(40)), items, 0.2, 0.95)
+    lines = []
+    for item in items:
+        lines += [strange(rng, 30), np.concatenate([item[n // 5:], strange(rng, 30)])]
+        lines += [strange(rng, 30), np.concatenate([strange(rng, 30), item[:-(n // 5)]])]
+    found = {(text, item) for text, item, *_ in index.search(lines)}
+    assert found <= {(4 * k + at, k) for k in range(40) for at in (1, 3)}
+    assert len(found) >= 0.95 * 80
+
+
 # near duplicates
 
 def components_of(texts, percent=75):
