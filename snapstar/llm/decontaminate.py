@@ -11,8 +11,13 @@ numpy columns; a window is walked on only while its sampled words can still be t
 which is the same as comparing whole keys. Half of the repetitions walk backwards from the end
 of the window, so edits gathered at one end of an item do not hide it.
 
+Items of more than ``PART`` words are hashed as overlapping parts of that size, for a long walk
+loses step; the edit distance is always that of the whole item.
+
 The number of repetitions follows from the items: copies with random edits at the limit are walked
-too, and repetitions are added until ``RECALL`` of them are found (exact copies always are).
+too, inside a text and at its borders, and each size class of items gets repetitions until
+``RECALL`` of its copies are found at each place (exact copies always are). An index that misses
+this with ``MOST_REPETITIONS`` is an error.
 
 Items are the broadcast side, in blocks of at most ``BLOCK_WORDS`` words; a larger benchmark takes
 one pass over the documents for each block. Documents are never shuffled.
@@ -33,7 +38,8 @@ from snapstar.llm.text import mixed, table, word_hashes
 #: Greatest edit distance, as a share of an item's words; share of edited copies to be found.
 MAX_EDITS, RECALL = 0.2, 0.95
 BLOCK_WORDS = 2_000_000
-MOST_REPETITIONS = 24
+MOST_REPETITIONS, TRIALS = 200, 300
+PART = 64
 #: The first two sampled steps lie within so many, the others anywhere in the item's size class.
 HEAD, OTHERS = 8, 2
 SLICE_WORDS = 1_000_000
@@ -135,39 +141,62 @@ class Index:
 
     def __init__(self, ids: list, hashes: list[np.ndarray], max_edits: float, recall: float):
         self.ids, self.hashes, self.max_edits = ids, hashes, max_edits
-        self.items = [item.astype(np.uint32) for item in hashes]
-        self.size = np.array([len(item) for item in self.items], np.int64)
+        self.size = np.array([len(item) for item in hashes], np.int64)
+        cuts = [(k, at) for k, n in enumerate(self.size) for at in cut(int(n))]
+        self.item_of, self.offset = np.array(cuts, np.int64).T
+        self.parts = [hashes[k][at:at + PART].astype(np.uint32) for k, at in cuts]
+        self.part_size = np.array([len(part) for part in self.parts], np.int64)
         self.masks: dict[int, tuple[dict, dict]] = {}
         self.repetitions: list[Repetition] = []
         # Items below the head's span sample from fewer steps and need walks of their own.
-        spans: dict[int, list[int]] = defaultdict(list)
-        for number, item in enumerate(self.items):
-            spans[min(HEAD, item_class(len(item)))].append(number)
-        for span, numbers in sorted(spans.items()):
-            self._add(span, np.array(numbers), recall)
-
-    def _add(self, span: int, numbers: np.ndarray, recall: float) -> None:
-        own = [self.items[k] for k in numbers]
+        spans: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for number, n in enumerate(self.size.tolist()):
+            spans[min(HEAD, item_class(n))][item_class(n)].append(number)
+        for span, classes in sorted(spans.items()):
+            self._add(span, classes, recall)
+
+    def _add(self, span: int, classes: dict[int, list[int]], recall: float) -> None:
+        """Repetitions for the items of a span; a class leaves when its copies are found."""
         random = np.random.default_rng(11)
-        tried = [k for k in numbers[random.permutation(len(own))[:200]] for _ in range(3)]
-        # Copies inside a text, at its beginning and at its end.
+        left = {size: self.trial(numbers, random) for size, numbers in sorted(classes.items())}
+        for at in range(MOST_REPETITIONS):
+            whose = np.zeros(len(self.size), bool)
+            for size in left:
+                whose[classes[size]] = True
+            own = np.flatnonzero(whose[self.item_of])
+            made = Repetition(
+                1000 * span + at, bool(at % 2), [self.parts[k] for k in own], span)
+            for size, (keys, within) in made.keys.items():
+                made.keys[size] = keys, own[within]
+            self.repetitions.append(made)
+            for size, (copies, numbers, missing) in left.items():
+                open_ = np.flatnonzero(missing)
+                missing[open_] = ~self.finds(made, [copies[k] for k in open_], numbers[open_])
+            if at % 2:
+                left = {
+                    size: trial for size, trial in left.items()
+                    if any(trial[2][place::3].sum() > (1 - recall) * len(trial[2][place::3]) + 1e-9
+                           for place in range(3))
+                }
+            if not left:
+                return
+        raise ValueError(
+            f"{MOST_REPETITIONS} repetitions do not find {recall:.0%} of the edited copies of items of "
+            + ", ".join(f"{size} to {2 * size - 1} words" for size in left))
+
+    def trial(self, numbers: list[int], random: np.random.Generator) -> tuple:
+        """Copies with the most edits of items that allow any, their items, and which are missing.
+
+        They lie inside a text, at its beginning and at its end in turn.
+        """
+        tried = random.permutation([k for k in numbers if self.allowed(int(self.size[k]))])
+        tried = np.resize(tried, TRIALS * bool(len(tried))).astype(np.int64)
         copies = [
-            edited(self.hashes[k], self.allowed(len(self.hashes[k])), random,
+            edited(self.hashes[k], self.allowed(int(self.size[k])), random,
                    before=4 * (at % 3 != 1), behind=4 * (at % 3 != 2))
             for at, k in enumerate(tried)
         ]
-        missing = np.ones(len(copies), bool)
-        for round_ in range(MOST_REPETITIONS // 2):
-            for backwards in (False, True):
-                made = Repetition(1000 * span + 2 * round_ + backwards, backwards, own, span)
-                for size, (keys, within) in made.keys.items():
-                    made.keys[size] = keys, numbers[within]
-                self.repetitions.append(made)
-                left = np.flatnonzero(missing)
-                missing[left] = ~self.finds(made, [copies[k] for k in left],
-                                            np.array([tried[k] for k in left]))
-            if 1 - missing.mean() >= recall:
-                break
+        return copies, tried, np.ones(len(copies), bool)
 
     def finds(
         self, repetition: Repetition, copies: list[np.ndarray], numbers: np.ndarray,
@@ -224,17 +253,18 @@ class Index:
     ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(text numbers, window starts in the text, item numbers) that share a key.
 
-        A window belongs to the text of the word where its walk starts. One that walks backwards
-        may so begin before its text, where the copy has lost words; it is moved to the first word.
+        A window belongs to the text of the word where its walk starts. Where the copy has lost
+        words, the window of the item may so begin before its text; it is moved to the first word.
         """
         line = turned if repetition.backwards else padded
-        for start, number in repetition.candidates(line, int(first[-1])):
+        for start, part in repetition.candidates(line, int(first[-1])):
             if repetition.backwards:
                 start = first[-1] - 1 - start
             text = np.searchsorted(first, start, "right") - 1
             if repetition.backwards:
-                start = np.maximum(start + 1 - self.size[number], first[text])
-            yield text, start - first[text], number
+                start = start + 1 - self.part_size[part]
+            start = np.maximum(start - self.offset[part] - first[text], 0)
+            yield text, start, self.item_of[part]
 
     def search(self, lines: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text number, item number, first word, end word, edits) of the stretches found."""
@@ -262,6 +292,12 @@ class Index:
                 yield t, item, *got
 
 
+def cut(n: int) -> list[int]:
+    """Where the parts of an item of n words begin; they overlap by half or more."""
+    return [(n - PART) * k // max(1, -(-2 * n // PART) - 2) for k in range(
+        -(-2 * n // PART) - 1)] if n > PART else [0]
+
+
 def nearest(masks: dict[int, int], n: int, line: list[int], anchored: bool) -> tuple[int, int]:
     """Least edit distance of a pattern to a stretch of ``line``, and the first end that has it.
 

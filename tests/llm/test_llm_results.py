@@ -191,6 +191,31 @@ def test_copies_that_lost_words_at_a_border_are_found(n):
     assert len(found) >= 0.95 * 80
 
 
+def test_each_size_of_items_is_found():
+    rng = np.random.default_rng(5)
+    sizes = [8] * 60 + [200] * 20 + [400] * 20  # the many short ones must not hide the long ones
+    items = [strange(rng, n) for n in sizes]
+    index = decontaminate.Index(list(range(100)), items, 0.2, 0.95)
+    own = list(range(60, 100)) * 3
+    lines = []
+    for k in own:
+        line = items[k].tolist()
+        for _ in range(sizes[k] // 5):
+            at, kind = int(rng.integers(0, len(line))), int(rng.integers(0, 3))
+            line[at:at + (kind > 0)] = [int(rng.integers(1, 2**63))] * (kind < 2)
+        lines.append(np.array(line, np.uint64))
+    found = {(text, item) for text, item, *_ in index.search(lines)}
+    for n in (200, 400):
+        hit = [(at, k) in found for at, k in enumerate(own) if sizes[k] == n]
+        assert sum(hit) >= 0.9 * len(hit)
+
+
+def test_missed_recall_is_an_error(monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_REPETITIONS", 1)
+    with pytest.raises(ValueError, match="64 to 127 words"):
+        decontaminate.Index([0], [strange(np.random.default_rng(1), 100)], 0.2, 0.95)
+
+
 # near duplicates
 
 def components_of(texts, percent=75):
