@@ -332,10 +332,12 @@ def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     n = F.col("n").cast("long")
 
     def enough(m: Column) -> Column:
-        own, other = up(n, 100) - F.col("least"), up(m, 100) - 1
-        return up(n + m, 100 + percent) - F.greatest(own, other) <= held
+        own, other = percent * n - 100 * F.col("least"), percent * m - 100
+        demand = 100 * percent * (n + m) - (100 + percent) * F.greatest(own, other)
+        return demand < (held + 1) * (100 * (100 + percent))
 
-    # The demand falls with the distance in size, so the extremes decide.
+    # Without rounding the demand is concave in the size, so the extremes decide; rounding lowers it
+    # by less than one.
     least = F.greatest(F.col("low"), up(n, 100))
     most = F.least(F.col("high"), F.floor(n * 100 / percent))
     kept = kept.where(

@@ -262,6 +262,16 @@ def test_components_are_those_of_all_pairs(spark, seed):
     assert [r["component_id"] for r in rows] == roots
 
 
+def test_rows_of_a_pair_between_the_extreme_sizes_stay(spark):
+    # Sets of 10 and 11 shingles that share 9 link; one of 12 has the token too and is no partner.
+    rows = spark.createDataFrame(
+        [(7, 1, 10, 1, 1), (7, 2, 11, 2, 1), (7, 3, 12, 0, 1)],
+        "token long, node long, n int, at int, least int")
+    comps = spark.createDataFrame([], "node long, comp long")
+    kept = {r["node"] for r in jaccard.open_rows(rows, comps, 75).collect()}
+    assert {1, 2} <= kept
+
+
 def test_long_chains_become_one_component(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 501)], "a long, b long")
     got = {r["node"]: r["comp"] for r in jaccard.components(links).collect()}
