@@ -7,12 +7,14 @@ the assistant's words with their end mark.
 A dialogue is delivered in blocks of ``BLOCK_TURNS`` turn numbers; the blocks of a perspective in
 order of (block, part) are its text. So no conversation, however long, is ever one row or one
 task: a block above ``BLOCK_ROWS`` rows (a turn number that repeats) is split once more into
-parts. Spans count code points from the start of their block.
+parts of at most so many turns. Its identical turns are counted first and dealt to parts by their
+count, so copies of one turn, however many, are not gathered. Spans count code points from the
+start of their part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from snapstar.llm.text import table
 
@@ -36,9 +38,10 @@ def blocks(
     rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
     text: str = "text",
 ) -> DataFrame:
-    """(_conv, block, part, turns): ordered turns (at, tie, name, body) of each block.
+    """(_conv, block, part, turns): ordered turns (at, tie, name, body, times) of each block.
 
     Turns are ordered by number, null first, those of equal number by the md5 of name and text.
+    Identical turns of a large block are one, with their ``times`` in the part.
     """
     turns = rows.select(
         F.col(conv).alias("_conv"), F.col(turn).cast("long").alias("at"),
@@ -53,16 +56,31 @@ def blocks(
         F.col("_conv").alias("_conv2"), F.col("block").alias("block2"),
         F.ceil(F.col("n") / BLOCK_ROWS).alias("ways"),
     )
-    placed = turns.join(
-        large, F.col("_conv").eqNullSafe(F.col("_conv2")) & (F.col("block") == F.col("block2")),
-        "left",
-    )
+    same = F.col("_conv").eqNullSafe(F.col("_conv2")) & (F.col("block") == F.col("block2"))
+    counted = turns.join(large, same, "left_semi").groupBy(
+        "_conv", "block", "at", "tie", "name", "body").agg(F.count("*").alias("n"))
     share = F.conv(F.substring("tie", 1, 8), 16, 10).cast("long") * F.col("ways") / F.lit(2**32)
     offset = F.coalesce(F.col("at") - F.col("block") * BLOCK_TURNS, F.lit(0))
-    part = F.coalesce(offset * F.col("ways") + F.floor(share), F.lit(0)).cast("long")
-    return placed.groupBy("_conv", "block", part.alias("part")).agg(
+    # A window over one bin holds its distinct turns, about BLOCK_ROWS by the hash.
+    within = Window.partitionBy("_conv", "block", "bin").orderBy("at", "tie", "name", "body")
+    ranged = counted.join(large, same).withColumn(
+        "bin", (offset * F.col("ways") + F.floor(share)).cast("long")
+    ).withColumn("end", F.sum("n").over(within)).withColumn("start", F.col("end") - F.col("n"))
+    piece = lambda row: F.floor(row / BLOCK_ROWS)
+    dealt = ranged.withColumn(
+        "piece", F.explode(F.sequence(piece(F.col("start")), piece(F.col("end") - 1)))
+    ).select(
+        "_conv", "block", (F.shiftleft("bin", 31) + F.col("piece")).alias("part"),
+        "at", "tie", "name", "body",
+        (F.least("end", (F.col("piece") + 1) * BLOCK_ROWS)
+         - F.greatest("start", F.col("piece") * BLOCK_ROWS)).cast("int").alias("times"),
+    )
+    small = turns.join(large, same, "left_anti").select(
+        "_conv", "block", F.lit(0).cast("long").alias("part"), "at", "tie", "name", "body",
+        F.lit(1).alias("times"))
+    return small.unionByName(dealt).groupBy("_conv", "block", "part").agg(
         F.array_sort(F.collect_list(F.struct(
-            F.coalesce("at", F.lit(-(2**63))).alias("at"), "tie", "name", "body"
+            F.coalesce("at", F.lit(-(2**63))).alias("at"), "tie", "name", "body", "times"
         ))).alias("turns")
     )
 
@@ -107,7 +125,8 @@ def perspectives(
             )).otherwise(state["close"]).alias("close"),
         ),
     )
-    shown = views.withColumn("pieces", pieces).withColumn("spans", spans)
+    each = F.flatten(F.transform("turns", lambda t: F.array_repeat(t, t["times"])))
+    shown = views.withColumn("turns", each).withColumn("pieces", pieces).withColumn("spans", spans)
     rendered = F.array_join(
         F.transform("pieces", lambda p: F.concat(p["head"], p["said"], F.lit("\n"))), ""
     )

@@ -1,5 +1,7 @@
 """Nulls, empty and long texts, repeats, empty tables and clashing columns, for every operator."""
 
+import hashlib
+
 import pytest
 
 import corpus_pipeline
@@ -100,6 +102,27 @@ def test_chat_of_odd_turns(spark):
     assert chat.perspectives(empty).count() == 0
 
 
+def test_copies_of_a_turn_are_dealt_to_parts(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_ROWS", 10)
+    said = [(1, "ann", "again")] * 95 + [(1, "bob", f"once {k}") for k in range(30)]
+    said += [(0, "bob", "first")] + [(None, "cy", "none")] * 25
+    turns = spark.createDataFrame(
+        [("c", *t) for t in said], "conv_id string, turn long, role string, text string")
+    rows = [r for r in chat.perspectives(turns).collect() if r["participant"] == "ann"]
+    rows.sort(key=lambda r: (r["block"], r["part"]))
+    assert max(r["n_turns"] for r in rows) <= 10 and sum(r["n_turns"] for r in rows) == len(said)
+    assert len({(r["block"], r["part"]) for r in rows}) == len(rows)
+
+    def order(t):
+        return (-1 if t[0] is None else t[0], hashlib.md5(f"{t[1]}\n{t[2]}".encode()).hexdigest())
+    whole = "".join(
+        ("<|im_start|>assistant" if name == "ann" else f"<|im_start|>user name={name}")
+        + f"\n{text}<|im_end|>\n" for _, name, text in sorted(said, key=order))
+    assert "".join(r["text"] for r in rows) == whole
+    learned = [r["text"][a:b] for r in rows for a, b in zip(r["mask_start"], r["mask_end"])]
+    assert learned == ["again<|im_end|>"] * 95
+
+
 def test_archives_of_odd_pages(spark, tmp_path):
     rows = [(1, "http://a", None), (2, None, ""), (2, None, ""), (3, "http://a b\r\nX: 1", "é" * 9),
             (None, "http://n", "é" * 9), (4, "u", "z" * 300_000), (5, "u", "z" * 300_000)]
