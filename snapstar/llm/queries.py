@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from snapstar.llm import (
-    chat, class_model, decontaminate, jaccard, line_rules, pieces, quality, sharding, toxicity,
-    warc,
+    alignment, chat, class_model, decontaminate, jaccard, language, line_rules, periodic, pieces,
+    quality, sharding, toxicity, warc,
 )
 
 ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
@@ -22,4 +22,7 @@ ENTRIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op3_decontamination": (decontaminate.op3_decontamination, None),
     "op4_lm_scoring": (class_model.op4_lm_scoring, None),
     "op5_jaccard_join": (jaccard.op5_jaccard_join, jaccard.OP5_SQL),
+    "op11_periodic_runs": (periodic.op11_periodic_runs, None),
+    "op12_language_id": (language.op12_language_id, None),
+    "op13_tokenizer_alignment": (alignment.op13_tokenizer_alignment, None),
 }
