@@ -7,7 +7,7 @@ token and the B token that hold the byte before it. ``Table.group_by`` counts th
 per document and slice; Spark adds the counts up over the corpus, finds the highest of each B id, and
 brings the totals back to each slice of documents, which are met by cogroup.
 
-A slice is about ``LETTERS`` letters of consecutive documents (or one long document), so that is what
+A slice is at most about ``LETTERS`` letters of consecutive documents (or one long document), so that is what
 a task holds. Id pairs of the corpus are never gathered in one place: they are counted, compared and
 joined by hash.
 """
@@ -25,13 +25,14 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapstar.llm.pieces import slices
 from snapstar.llm.text import table
 from snapstar.session import new_folder
 
 A_FILE, B_FILE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: How this kind of byte-level vocabulary cuts texts before merging (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Letters of texts that are encoded and joined together.
+LETTERS = 1_000_000
 #: From so many white characters in a row, the slower encoder is taken: the other's stack ends.
 LONG_BLANK = 10_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -202,6 +203,18 @@ def _written(a: Side, b: Side, links: dict[str, np.ndarray], n: int, dictionary:
         pa.array(starts), dictionary.take(pa.array(code))), pa.scalar("", pa.large_string()))
 
 
+def slices(texts: list[str | None]) -> Iterator[slice]:
+    """Consecutive stretches of about ``LETTERS`` letters, one text at least."""
+    start, letters = 0, 0
+    for at, text in enumerate(texts):
+        if letters and letters + len(text or "") > LETTERS:
+            yield slice(start, at)
+            start, letters = at, 0
+        letters += len(text or "")
+    if texts:
+        yield slice(start, len(texts))
+
+
 def _aligned(a: Side, b: Side):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
