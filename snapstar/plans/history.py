@@ -1,7 +1,12 @@
 """The archives: every snapshot ever loaded, one partition per snapshot date.
 
 They are read under a fixed schema, so a column that a later layout added reads null for older
-snapshots and no file footer has to be opened to plan a query.
+snapshots and no file footer has to be opened to plan a query. Which folder holds a snapshot is said
+by the edition (``plans.editions``); functions that write take part in an open change, or make one of
+their own and publish it.
+
+A whole-number column whose values outgrow its type can be widened by approval. Each snapshot keeps
+the types it was written under; it is read under those and cast to the types in force.
 """
 
 from __future__ import annotations
@@ -12,12 +17,16 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
-from snapstar.plans import dimensions as dims
-from snapstar.session import new_folder, settled
+from snapstar.operators.tallies import stacked
+from snapstar.plans import dimensions as dims, editions
+from snapstar.plans.editions import Change, Edition
+from snapstar.session import settled
 from snapstar.sources.fit import WHOLE_TYPES, strict, whole
 
 
 LOCATION_KEYS = "location_id int, neighbourhood_cleansed string"
+#: Each type and the wider ones that hold all its values.
+WIDER = {"smallint": ("int", "bigint", "double"), "int": ("bigint", "double"), "bigint": ()}
 
 
 class SnapshotExists(C.ContractError):
@@ -43,14 +52,30 @@ def retag_categories(listings: DataFrame) -> DataFrame:
     )
 
 
-def conform(rows: DataFrame, kind: str) -> DataFrame:
+def types_in_force(kind: str, held: Edition) -> dict[str, str]:
+    """Column -> type of an archive, approved widenings included."""
+    return dict(C.ARCHIVE[kind]) | held.types.get(kind, {})
+
+
+def widen(held: Change, kind: str, approved: dict[str, str]) -> None:
+    """Put approved wider types in force; a type that could lose values is refused."""
+    current = types_in_force(kind, held)
+    for column, target in approved.items():
+        if target == current.get(column):
+            continue
+        if target not in WIDER.get(current.get(column), ()):
+            raise C.ContractError(f"{kind}.{column}: {current.get(column)} cannot become {target}")
+        held.types.setdefault(kind, {})[column] = target
+
+
+def conform(rows: DataFrame, kind: str, types: dict[str, str] | None = None) -> DataFrame:
     """``rows`` in the archive's columns and types, by name; columns it lacks are null.
 
     A value that its archive type cannot hold unchanged stops the job.
     """
     have = dict(rows.dtypes)
     columns = []
-    for name, target in C.ARCHIVE[kind]:
+    for name, target in (types or dict(C.ARCHIVE[kind])).items():
         if name not in have:
             value = f"cast(null as {target})"
         elif have[name] == target:
@@ -65,31 +90,39 @@ def conform(rows: DataFrame, kind: str) -> DataFrame:
     return rows.selectExpr(*columns)
 
 
-def _path(root: str, kind: str) -> str:
-    return f"{root}/history/{kind}"
+def _table(kind: str) -> str:
+    return f"history/{kind}"
 
 
 def create(spark: SparkSession, root: str) -> None:
-    """Empty archives where there are none yet; existing ones are left alone."""
-    for kind in C.ARCHIVE:
-        nothing = spark.createDataFrame([], C.archive_schema(kind))
-        nothing.write.mode("ignore").partitionBy("snapshot_date").parquet(_path(root, kind))
+    """A first edition with empty archives if there is none yet."""
+    if not editions.numbers(spark, root):
+        with editions.change(spark, root) as first:
+            first.tables.update({_table(kind): {} for kind in C.ARCHIVE})
 
 
-    spark.createDataFrame([], LOCATION_KEYS).write.mode("ignore").parquet(f"{root}/keys/location")
+def location_keys(spark: SparkSession, root: str, held: Edition) -> DataFrame:
+    """The stored location keys of an edition; none before names were listed."""
+    part = held.parts("keys/location").get("")
+    if part is None:
+        return spark.createDataFrame([], LOCATION_KEYS)
+    return spark.read.schema(LOCATION_KEYS).parquet(f"{root}/{part.path}")
 
 
-def keep_location_keys(spark: SparkSession, root: str, names: DataFrame) -> DataFrame:
+def keep_location_keys(
+    spark: SparkSession, root: str, names: DataFrame, change: Change | None = None
+) -> DataFrame:
     """The location dimension of the archived names; a name keeps the key it once got.
 
     Keys are stored apart and only ever added to, so no later load, in whatever order of dates,
     renumbers a name that facts refer to.
     """
-    path = f"{root}/keys/location"
-    create(spark, root)
-    stored = lambda: spark.read.schema(LOCATION_KEYS).parquet(path)
-    settled(dims.next_location_keys(stored(), names)).write.mode("append").parquet(path)
-    return dims.location_members(stored())
+    with editions.change(spark, root, change) as made:
+        known = location_keys(spark, root, made)
+        fresh = settled(dims.next_location_keys(known, names))
+        if not fresh.isEmpty():
+            known = made.store("keys/location", known.unionByName(fresh).coalesce(1))
+    return dims.location_members(known)
 
 
 def retag_archive(spark: SparkSession, root: str) -> int:
@@ -105,14 +138,39 @@ def retag_archive(spark: SparkSession, root: str) -> int:
     ]
     if not stale:
         return 0
-    # The new rows are on disk before a partition is replaced by them.
-    folder = new_folder(spark, "retagged")
-    retag_categories(rows.where(F.col("snapshot_date").isin(stale))).write.parquet(folder)
-    return append(spark.read.schema(rows.schema).parquet(folder), root, "listings")
+    # New rows go to a folder of their own, so the old ones can be read while they are written.
+    return append(
+        retag_categories(rows.where(F.col("snapshot_date").isin(stale))), root, "listings")
+
+
+def _schema(types: dict[str, str]) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in types.items())
 
 
-def read_archive(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    return spark.read.schema(C.archive_schema(kind)).parquet(_path(root, kind))
+def read_archive(
+    spark: SparkSession, root: str, kind: str, held: Edition | None = None
+) -> DataFrame:
+    """All snapshots of an archive, of the newest edition or of the one given.
+
+    Snapshots written under the same types are one scan; older types are cast to those in force.
+    """
+    held = editions.edition(spark, root) if held is None else held
+    force = types_in_force(kind, held)
+    by_types: dict[str, list[str]] = {}
+    for part in held.parts(_table(kind)).values():
+        by_types.setdefault(_schema(dict(C.ARCHIVE[kind]) | part.types), []).append(part.path)
+    if not by_types:
+        return spark.createDataFrame([], _schema(force))
+    columns = [F.col(name).cast(target).alias(name) for name, target in force.items()]
+    frames = [
+        spark.read.schema(schema).option("basePath", f"{root}/{_table(kind)}")
+        .parquet(*[f"{root}/{path}" for path in sorted(paths)])
+        for schema, paths in sorted(by_types.items())
+    ]
+    return stacked([
+        frame.select(*force) if set(frame.select(*force).dtypes) == set(force.items())
+        else frame.select(*columns) for frame in frames
+    ])
 
 
 def loaded_among(candidates: DataFrame, listings: DataFrame) -> DataFrame:
@@ -134,37 +192,41 @@ def guard(spark: SparkSession, root: str, dates: list[dt.date]) -> None:
         raise SnapshotExists(f"snapshot {row.snapshot_date} is already loaded")
 
 
-def append(rows: DataFrame, root: str, kind: str) -> int:
+def append(rows: DataFrame, root: str, kind: str, change: Change | None = None) -> int:
     """Write the snapshots in ``rows`` as their partitions and check the count; rows written.
 
-    Only the partitions at hand are replaced, so a load that died half-way can be run again.
+    Snapshots of the same dates are replaced by them. A change of its own is published only if the
+    count found agrees with the count written.
     """
     spark = rows.sparkSession
-    seen = Observation()
-    observed = conform(rows, kind).observe(
-        seen, F.count("*").alias("rows"), F.collect_set("snapshot_date").alias("dates"),
-        F.count_if(F.col("snapshot_date").isNull()).alias("undated"),
-    )
-    (
-        observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date").parquet(_path(root, kind))
-    )
-    written = seen.get
-    stored = (
-        read_archive(spark, root, kind)
-        .where(F.col("snapshot_date").isin(list(written["dates"]))).count()
-    )
-    if written["undated"] or stored != written["rows"]:
-        raise C.ContractError(
-            f"{kind}: {written['rows']} rows written, {stored} found, "
-            f"{written['undated']} without a date"
+    with editions.change(spark, root, change) as made:
+        types = types_in_force(kind, made)
+        differing = {name: t for name, t in types.items() if dict(C.ARCHIVE[kind])[name] != t}
+        seen = Observation()
+        observed = conform(rows, kind, types).observe(
+            seen, F.count("*").alias("rows"), F.collect_set("snapshot_date").alias("dates"),
+            F.count_if(F.col("snapshot_date").isNull()).alias("undated"),
+        )
+        folder = made.folder(_table(kind))
+        observed.write.partitionBy("snapshot_date").parquet(f"{root}/{folder}")
+        written = seen.get
+        for date in written["dates"]:
+            made.put(_table(kind), f"{folder}/snapshot_date={date}", str(date), differing)
+        stored = (
+            read_archive(spark, root, kind, made)
+            .where(F.col("snapshot_date").isin(list(written["dates"]))).count()
+            if written["dates"] else 0
         )
+        if written["undated"] or stored != written["rows"]:
+            raise C.ContractError(
+                f"{kind}: {written['rows']} rows written, {stored} found, "
+                f"{written['undated']} without a date"
+            )
     return stored
 
 
-def remove(spark: SparkSession, root: str, date: dt.date) -> None:
+def remove(spark: SparkSession, root: str, date: dt.date, change: Change | None = None) -> None:
     """Take one snapshot out of listings and reviews; rebuild the star schema afterwards."""
-    for kind in ("listings", "reviews"):
-        fields = [f for f in C.archive_schema(kind).fields if f.name != "snapshot_date"]
-        nothing = spark.createDataFrame([], type(C.archive_schema(kind))(fields))
-        nothing.write.mode("overwrite").parquet(f"{_path(root, kind)}/snapshot_date={date}")
+    with editions.change(spark, root, change) as made:
+        for kind in ("listings", "reviews"):
+            made.drop(_table(kind), str(date))

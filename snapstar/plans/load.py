@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from snapstar import contracts as C
 from snapstar.operators.tallies import row_counts, stacked
-from snapstar.plans import dimensions as dims, facts, history, profiles, quality
+from snapstar.plans import dimensions as dims, editions, facts, history, profiles, quality
+from snapstar.plans.editions import Change
 from snapstar.session import settled
 from snapstar.sources import csv_snapshots, fit
 
-KINDS = ("reviews", "neighbourhoods", "listings")  # listings last: their partition marks the load
+KINDS = ("reviews", "neighbourhoods", "listings")
 
 
 def stage(
@@ -63,10 +64,13 @@ def check_staged(staged: dict[str, DataFrame]) -> None:
 def load(
     spark: SparkSession, feed: str, root: str, subfolders: list[str] | None = None,
     approved: list[str] | None = None, multi_line: bool = True,
+    wider: dict[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Load the snapshots of ``subfolders`` into the archives; small, settled reports by name.
 
-    New neighbourhood names enter the location dimension only when listed in ``approved``; the
+    All archives switch together, after every check: a load that dies anywhere, or is refused, leaves
+    the edition before. ``wider`` approves wider types of listing columns, such as
+    ``{"beds": "double"}``, from this load on. New neighbourhood names enter the location dimension only when listed in ``approved``; the
     ``new_neighbourhoods`` report shows those still waiting. The first load takes them all.
     """
     history.create(spark, root)
@@ -84,7 +88,6 @@ def load(
     known = dims.listed_names(history.read_archive(spark, root, "neighbourhoods"))
     waiting = dims.new_neighbourhoods(staged["neighbourhoods"], known)
     names = staged["neighbourhoods"]
-    # The first load is over when listings, written last, are there.
     if not history.read_archive(spark, root, "listings").isEmpty():
         names = names.where(F.col("neighbourhood").isin(approved or [])).join(
             waiting, "neighbourhood", "left_semi"
@@ -98,24 +101,23 @@ def load(
             staged["listings"].withColumn("property_category", F.lit(None).cast("string"))
         ),
     }
-    # Every value is brought to its archive type before the first archive is touched.
-    ready = {
-        kind: _replaced(history.conform(rows, kind), f"{root}/staging/{kind}_ready")
-        for kind, rows in batch.items()
-    }
-    for kind in KINDS:
-        history.append(ready[kind], root, kind)
-    archived = {
-        kind: history.read_archive(spark, root, kind)
-        .join(F.broadcast(staged[kind].select("snapshot_date").distinct()),  # one row per snapshot
-              "snapshot_date", "left_semi")
-        for kind in ("listings", "reviews")
-    }
-    reconciled = settled(
-        quality.append_reconcile({kind: staged[kind] for kind in archived}, archived)
-    )
-    if not reconciled.where(~F.col("agrees")).isEmpty():
-        raise C.ContractError(f"staged and archived rows differ: {reconciled.collect()}")
+    with editions.change(spark, root) as made:
+        history.widen(made, "listings", wider or {})
+        # Files of this change are not seen before it is published, so a value that its archive
+        # type refuses leaves nothing behind but a folder for the next vacuum.
+        for kind in KINDS:
+            history.append(batch[kind], root, kind, made)
+        archived = {
+            kind: history.read_archive(spark, root, kind, made)
+            .join(F.broadcast(staged[kind].select("snapshot_date").distinct()),  # a row a snapshot
+                  "snapshot_date", "left_semi")
+            for kind in ("listings", "reviews")
+        }
+        reconciled = settled(
+            quality.append_reconcile({kind: staged[kind] for kind in archived}, archived)
+        )
+        if not reconciled.where(~F.col("agrees")).isEmpty():
+            raise C.ContractError(f"staged and archived rows differ: {reconciled.collect()}")
     return {
         "types": stacked([
             report.select(F.lit(kind).alias("table_name"), "*") for kind, report in reports.items()
@@ -130,49 +132,62 @@ STAR = ("DimLocation", "DimRoomType", "DimPropertyType", "DimHost", "DimListings
 
 
 def read_star(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{root}/star/{name}") for name in STAR}
+    """The star schema of the newest edition."""
+    held = editions.edition(spark, root)
+    return {
+        name: spark.read.option("basePath", f"{root}/star/{name}").parquet(*[
+            f"{root}/{part.path}" for part in held.parts(f"star/{name}").values()
+        ]).drop("load")
+        for name in STAR
+    }
 
 
-def rebuild(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All dimensions and facts anew from the archives; the stored tables.
+def rebuild(spark: SparkSession, root: str, change: Change | None = None) -> dict[str, DataFrame]:
+    """All dimensions and facts anew from the archives, published together; the stored tables.
 
     Dimensions are stored first, so the size the fact join decides on is that of real files.
     FactListings is partitioned by snapshot and sorted by listing inside, which lets readers
     skip snapshots and row groups.
     """
-    listings = history.read_archive(spark, root, "listings")
-    reviews = history.read_archive(spark, root, "reviews")
-    neighbourhoods = history.read_archive(spark, root, "neighbourhoods")
-
-    def store(name: str, rows: DataFrame, *partition: str) -> DataFrame:
-        path = f"{root}/star/{name}"
-        rows.write.mode("overwrite").partitionBy(*partition).parquet(path)
-        return spark.read.schema(rows.schema).parquet(path)
-
-    names = dims.observed_names(listings)
-    star = {
-        "DimLocation": store("DimLocation", history.keep_location_keys(
-            spark, root, dims.listed_names(neighbourhoods))),
-        "DimRoomType": store("DimRoomType", dims.dim_room_type(names["room_type"])),
-        "DimPropertyType": store(
-            "DimPropertyType", dims.dim_property_type(names["property_type"])
-        ),
-        "DimHost": store("DimHost", dims.dim_host(listings)),
-        "DimListings": store("DimListings", dims.dim_listings(listings)),
-        "DimDate": store("DimDate", dims.dim_date(spark)),
-    }
-    listing_facts = facts.fact_listings(
+    with editions.change(spark, root, change) as made:
+        listings = history.read_archive(spark, root, "listings", made)
+        reviews = history.read_archive(spark, root, "reviews", made)
+        neighbourhoods = history.read_archive(spark, root, "neighbourhoods", made)
+        store = lambda name, rows: made.store(f"star/{name}", rows)
+
+        names = dims.observed_names(listings)
+        star = {
+            "DimLocation": store("DimLocation", history.keep_location_keys(
+                spark, root, dims.listed_names(neighbourhoods), made)),
+            "DimRoomType": store("DimRoomType", dims.dim_room_type(names["room_type"])),
+            "DimPropertyType": store(
+                "DimPropertyType", dims.dim_property_type(names["property_type"])
+            ),
+            "DimHost": store("DimHost", dims.dim_host(listings)),
+            "DimListings": store("DimListings", dims.dim_listings(listings)),
+            "DimDate": store("DimDate", dims.dim_date(spark)),
+        }
+        made.tables.pop("star/FactListings", None)
+        store_listing_facts(made, listings, star)
+        store("FactReviews", facts.fact_reviews(reviews).sortWithinPartitions("date"))
+    return read_star(spark, root) if change is None else star
+
+
+def store_listing_facts(
+    made: Change, listings: DataFrame, star: dict[str, DataFrame]
+) -> None:
+    """Write the listing facts of the snapshots in ``listings``, a part of the table for each."""
+    rows = facts.fact_listings(
         listings, star["DimPropertyType"], star["DimRoomType"], star["DimLocation"],
         star["DimHost"],
     )
-    star["FactListings"] = store(
-        "FactListings", listing_facts.sortWithinPartitions("snapshot_date", "listing_id"),
-        "snapshot_date",
-    )
-    star["FactReviews"] = store(
-        "FactReviews", facts.fact_reviews(reviews).sortWithinPartitions("date")
-    )
-    return star
+    folder = made.folder("star/FactListings")
+    seen = Observation()
+    rows.observe(seen, F.collect_set("snapshot_date").alias("dates")).sortWithinPartitions(
+        "snapshot_date", "listing_id"
+    ).write.partitionBy("snapshot_date").parquet(f"{made.root}/{folder}")
+    for date in seen.get["dates"]:
+        made.put("star/FactListings", f"{folder}/snapshot_date={date}", str(date))
 
 
 def acceptance(spark: SparkSession, root: str) -> DataFrame:
