@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue import inputs
 from catalogue.registry import query
-from catalogue.star_queries import Star
+from catalogue.star_queries import _HOST_SQL, Star
 from snapstar import contracts as C
-from snapstar.operators.tallies import row_counts
-from snapstar.plans import dimensions as dims, history, load
+from snapstar.operators.tallies import row_counts, stacked
+from snapstar.plans import dimensions as dims, editions, history, latest_state, load
 from snapstar.session import new_folder, settled
+from snapstar.sources import split_csv
 
 # The first snapshot whose files carry the quote columns.
 _WIDE_FROM = "2000-12-31"
@@ -204,3 +205,155 @@ def quarterly_load(spark, sf_dir):
     return row_counts(star).unionByName(
         report.select(F.col("check").alias("table_name"), F.col("value").alias("row_count"))
     )
+
+
+# --- editions and stored state -------------------------------------------------------------------
+
+def _stepwise(spark: SparkSession, rows: DataFrame, kind: str, name: str) -> str:
+    """An archive and its state, loaded one snapshot at a time, late ones among them."""
+    root, rows = new_folder(spark, "stepwise"), settled(rows)
+    days = sorted(r[0] for r in rows.select("snapshot_date").distinct().collect())
+    for day in days[1::2] + days[0::2]:
+        with editions.change(spark, root) as made:
+            history.append(rows.where(F.col("snapshot_date") == F.lit(day)), root, kind, made)
+            latest_state.add(made, [day], names=(name,), buckets=8)
+    return root
+
+
+@query("dim_host", _HOST_SQL)
+def state_dim_host(spark, sf_dir):
+    """The host dimension from state that each snapshot in turn was merged with."""
+    listings = inputs.listings(spark, sf_dir)
+    return latest_state.dim_host(spark, _stepwise(spark, listings, "listings", "hosts"))
+
+
+@query("dim_listings", "SELECT * FROM dim_listings")
+def state_dim_listings(spark, sf_dir):
+    """The listing dimension from state that each snapshot in turn was merged with."""
+    listings = inputs.listings(spark, sf_dir)
+    return latest_state.dim_listings(spark, _stepwise(spark, listings, "listings", "listings"))
+
+
+@query("reviews", """
+    SELECT id AS review_id, listing_id, date, reviewer_id,
+           min(snapshot_date) OVER w AS first_snapshot_date,
+           CASE WHEN max(snapshot_date) OVER w = (
+               SELECT max(snapshot_date) FROM reviews
+               WHERE snapshot_date < (SELECT max(snapshot_date) FROM reviews))
+                THEN 1 ELSE 0 END AS is_active
+    FROM (SELECT * FROM reviews WHERE snapshot_date < (SELECT max(snapshot_date) FROM reviews))
+    WINDOW w AS (PARTITION BY id)
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY snapshot_date DESC, listing_id) = 1
+    """)
+def state_fact_reviews_after_removal(spark, sf_dir):
+    """The review fact from state, after the newest snapshot was taken out again."""
+    root = _stepwise(spark, inputs.reviews(spark, sf_dir), "reviews", "reviews")
+    with editions.change(spark, root) as made:
+        last = latest_state.newest_snapshot(made, "reviews")
+        history.remove(spark, root, last, made)
+        latest_state.take_out(made, last)
+    return latest_state.fact_reviews(spark, root)
+
+
+@query("listings", """
+    SELECT 'before' AS edition, snapshot_date, count(*) AS row_count FROM listings
+      WHERE snapshot_date < (SELECT max(snapshot_date) FROM listings) GROUP BY snapshot_date
+    UNION ALL SELECT 'after a load that died', snapshot_date, count(*) FROM listings
+      WHERE snapshot_date < (SELECT max(snapshot_date) FROM listings) GROUP BY snapshot_date
+    UNION ALL SELECT 'after a whole load', snapshot_date, count(*) FROM listings
+      GROUP BY snapshot_date
+    UNION ALL SELECT 'after vacuum', snapshot_date, count(*) FROM listings
+      GROUP BY snapshot_date""")
+def edition_publish(spark, sf_dir):
+    """What readers see of an archive around a load that dies after its files were written."""
+    root, rows = new_folder(spark, "editions"), settled(inputs.listings(spark, sf_dir))
+    last = rows.agg(F.max("snapshot_date")).first()[0]
+    newest = F.col("snapshot_date") == F.lit(last)
+    seen = []
+
+    def note(step: str) -> None:
+        held = history.read_archive(spark, root, "listings")
+        seen.append(settled(held.groupBy("snapshot_date").agg(F.count("*").alias("row_count"))
+                            .select(F.lit(step).alias("edition"), "snapshot_date", "row_count")))
+
+    history.append(rows.where(~newest), root, "listings")
+    note("before")
+    try:
+        with editions.change(spark, root) as made:
+            history.append(rows.where(newest), root, "listings", made)
+            raise InterruptedError("the driver dies here")
+    except InterruptedError:
+        note("after a load that died")
+    history.append(rows.where(newest), root, "listings")
+    note("after a whole load")
+    editions.vacuum(spark, root, hours=0)
+    note("after vacuum")
+    return stacked(seen)
+
+
+@query("listings", """
+    SELECT id, snapshot_date, CAST(beds AS DOUBLE)
+             + CASE WHEN snapshot_date >= DATE '2000-12-31' AND id % 2 = 0 THEN 0.5 ELSE 0 END AS beds
+    FROM listings""")
+def archive_widened(spark, sf_dir):
+    """A column that turned fractional: later snapshots under an approved wider type, older as written."""
+    root, rows = new_folder(spark, "widened"), settled(inputs.listings(spark, sf_dir))
+    older = F.col("snapshot_date") < F.lit(_WIDE_FROM).cast("date")
+    history.append(rows.where(older), root, "listings")
+    halves = F.col("beds").cast("double") + F.when(F.col("id") % 2 == 0, 0.5).otherwise(0.0)
+    with editions.change(spark, root) as made:
+        history.widen(made, "listings", {"beds": "double"})
+        history.append(rows.where(~older).withColumn("beds", halves), root, "listings", made)
+    return history.read_archive(spark, root, "listings").select("id", "snapshot_date", "beds")
+
+
+@query("dim_host dim_listings dim_room_type dim_property_type fact_listings fact_reviews", """
+    SELECT 'FactListings' AS table_name, count(*) AS row_count,
+           CAST(sum(host_id + property_id + room_id) AS BIGINT) AS key_total FROM fact_listings
+    UNION ALL SELECT 'FactReviews', count(*), CAST(sum(listing_id + is_active) AS BIGINT)
+      FROM fact_reviews
+    UNION ALL SELECT 'DimHost', count(*), CAST(sum(host_id) AS BIGINT) FROM dim_host
+    UNION ALL SELECT 'DimListings', count(*), CAST(sum(listing_id) AS BIGINT) FROM dim_listings
+    UNION ALL SELECT 'DimRoomType', count(*), CAST(sum(room_id) AS BIGINT) FROM dim_room_type
+    UNION ALL SELECT 'DimPropertyType', count(*), CAST(sum(property_id) AS BIGINT)
+      FROM dim_property_type""")
+def star_refresh(spark, sf_dir):
+    """The star schema after a first refresh and one that adds the newest snapshots to it."""
+    root = new_folder(spark, "refresh")
+    parts = {"listings": settled(inputs.listings(spark, sf_dir)),
+             "reviews": settled(inputs.reviews(spark, sf_dir))}
+    last = {kind: rows.agg(F.max("snapshot_date")).first()[0] for kind, rows in parts.items()}
+    for newest in (False, True):
+        with editions.change(spark, root) as made:
+            before = {kind: set(made.parts(f"history/{kind}")) for kind in parts}
+            for kind, rows in parts.items():
+                is_last = F.col("snapshot_date") == F.lit(last[kind])
+                history.append(rows.where(is_last if newest else ~is_last), root, kind, made)
+            if not newest:
+                history.append(inputs.neighbourhoods(spark, sf_dir).withColumn(
+                    "snapshot_date", F.lit(last["listings"])), root, "neighbourhoods", made)
+            load.merge_state(made, before)
+        star = load.refresh(spark, root)
+    keys = {
+        "FactListings": "host_id + property_id + room_id", "FactReviews": "listing_id + is_active",
+        "DimHost": "host_id", "DimListings": "listing_id", "DimRoomType": "room_id",
+        "DimPropertyType": "property_id",
+    }
+    return stacked([
+        star[name].agg(F.count("*").alias("row_count"), F.expr(f"sum({total})").alias("key_total"))
+        .select(F.lit(name).alias("table_name"), "row_count", "key_total")
+        for name, total in keys.items()])
+
+
+@query("listings", """
+    SELECT id, snapshot_date, name, description || chr(10) || 'says "hello"' AS description
+    FROM listings""")
+def split_csv_rows(spark, sf_dir):
+    """Listings written as CSV with quotes and line breaks in their texts, read back across all cuts."""
+    folder, columns = new_folder(spark, "split"), ["id", "snapshot_date", "name", "description"]
+    texts = inputs.listings(spark, sf_dir).withColumn(
+        "description", F.concat("description", F.lit('\nsays "hello"')))
+    texts.select(*[F.col(c).cast("string") for c in columns]).write.csv(
+        folder, header=True, escape='"', lineSep="\n")
+    rows = split_csv.read_split(spark, [folder], columns)
+    return rows.select(F.col("id").cast("long"), F.col("snapshot_date").cast("date"), *columns[2:])

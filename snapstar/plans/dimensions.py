@@ -13,6 +13,24 @@ from snapstar.operators.matching import not_listed
 from snapstar.session import settled
 
 
+#: Raw attribute -> cleaning rule of the two dimensions that take the newest snapshot's values.
+HOST_ATTRIBUTES = {
+    "host_name": clean.or_unknown, "host_url": clean.or_unknown,
+    "host_picture_url": clean.or_unknown, "host_about": clean.or_unknown,
+    "host_location": clean.or_unknown_whole, "host_since": lambda day: day,
+    "host_response_time": clean.or_unknown_whole,
+    "host_response_rate": clean.rate, "host_acceptance_rate": clean.rate,
+    "host_has_profile_pic": clean.flag, "host_identity_verified": clean.flag,
+    "host_verifications": clean.verifications,
+}
+LISTING_ATTRIBUTES = {
+    "listing_url": clean.or_unknown, "picture_url": clean.or_unknown,
+    "name": clean.or_unknown, "description": clean.or_unknown,
+    "bathrooms_text": clean.or_unknown_whole,
+    "latitude": lambda degrees: degrees, "longitude": lambda degrees: degrees,
+}
+
+
 def _with_unknown(members: DataFrame, **values) -> DataFrame:
     """``members`` and one literal row, typed and ordered like them."""
     spark = members.sparkSession
@@ -103,18 +121,19 @@ def dim_property_type(listings: DataFrame) -> DataFrame:
     )
 
 
+def newest_hosts(listings: DataFrame) -> DataFrame:
+    """The raw attributes of each host in its newest snapshot (lowest listing id on a tie)."""
+    return latest_per_key(listings, "host_id", "snapshot_date", "id", list(HOST_ATTRIBUTES))
+
+
 def dim_host(listings: DataFrame) -> DataFrame:
-    """One row per host, attributes of its newest snapshot (lowest listing id on a tie)."""
-    attributes = {
-        "host_name": clean.or_unknown, "host_url": clean.or_unknown,
-        "host_picture_url": clean.or_unknown, "host_about": clean.or_unknown,
-        "host_location": clean.or_unknown_whole, "host_since": lambda day: day,
-        "host_response_time": clean.or_unknown_whole,
-        "host_response_rate": clean.rate, "host_acceptance_rate": clean.rate,
-        "host_has_profile_pic": clean.flag, "host_identity_verified": clean.flag,
-        "host_verifications": clean.verifications,
-    }
-    newest = latest_per_key(listings, "host_id", "snapshot_date", "id", list(attributes))
+    """One row per host, attributes of its newest snapshot."""
+    return host_members(newest_hosts(listings))
+
+
+def host_members(newest: DataFrame) -> DataFrame:
+    """The host dimension over the newest raw attributes of each host."""
+    attributes = HOST_ATTRIBUTES
     hosts = newest.select(
         "host_id", *[rule(F.col(name)).alias(name) for name, rule in attributes.items()]
     )
@@ -126,15 +145,19 @@ def dim_host(listings: DataFrame) -> DataFrame:
     return _with_unknown(hosts, **unknown)
 
 
+def newest_listings(listings: DataFrame) -> DataFrame:
+    """The raw descriptive attributes of each listing in its newest snapshot."""
+    return latest_per_key(listings, "id", "snapshot_date", "id", list(LISTING_ATTRIBUTES))
+
+
 def dim_listings(listings: DataFrame) -> DataFrame:
     """One row per listing, descriptive attributes of its newest snapshot."""
-    attributes = {
-        "listing_url": clean.or_unknown, "picture_url": clean.or_unknown,
-        "name": clean.or_unknown, "description": clean.or_unknown,
-        "bathrooms_text": clean.or_unknown_whole,
-        "latitude": lambda degrees: degrees, "longitude": lambda degrees: degrees,
-    }
-    newest = latest_per_key(listings, "id", "snapshot_date", "id", list(attributes))
+    return listing_members(newest_listings(listings))
+
+
+def listing_members(newest: DataFrame) -> DataFrame:
+    """The listing dimension over the newest raw attributes of each listing."""
+    attributes = LISTING_ATTRIBUTES
     places = newest.select(
         F.col("id").alias("listing_id"),
         *[rule(F.col(name)).alias(name) for name, rule in attributes.items()],

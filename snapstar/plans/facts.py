@@ -77,8 +77,8 @@ def fact_listings(
 ) -> DataFrame:
     """One row per listing and snapshot, with a key into every dimension (0 = Unknown).
 
-    The three small dimensions are broadcast after a count; the host key is checked against
-    ``hosts`` without moving the facts. No shuffle carries fact rows.
+    The host key is checked against ``hosts`` without moving the facts. No shuffle carries fact rows
+    as long as the stored dimensions are below Spark's broadcast threshold.
     """
     facts = listing_facts(listings)
     measures = [c for c in facts.columns[2:] if c not in NATURAL_KEYS]
@@ -90,8 +90,8 @@ def fact_listings(
     return keyed.select(*keys, *measures)
 
 
-def fact_reviews(reviews: DataFrame) -> DataFrame:
-    """One row per review: newest attributes, first snapshot seen, still in the newest one.
+def newest_reviews(reviews: DataFrame) -> DataFrame:
+    """(id, newest, first): of each review its newest narrow attributes and its first snapshot.
 
     Only the narrow columns enter the shuffle; review texts stay in the archive. Each task keeps
     one row per review of its input, whatever share of the rows one review holds.
@@ -99,12 +99,19 @@ def fact_reviews(reviews: DataFrame) -> DataFrame:
     newest = F.max(F.struct(
         "snapshot_date", (-F.col("listing_id")).alias("listing"), "date", "reviewer_id"
     ))
-    seen = reviews.groupBy(F.col("id").alias("review_id")).agg(
-        newest.alias("newest"), F.min("snapshot_date").alias("first_snapshot_date")
-    )
-    newest_snapshot = reviews.agg(F.max("snapshot_date")).scalar()
+    return reviews.groupBy("id").agg(newest.alias("newest"), F.min("snapshot_date").alias("first"))
+
+
+def review_members(seen: DataFrame, newest_snapshot) -> DataFrame:
+    """The review fact over ``newest_reviews``, given the newest snapshot of all."""
     return seen.select(
-        "review_id", (-F.col("newest.listing")).alias("listing_id"), "newest.date",
-        "newest.reviewer_id", "first_snapshot_date",
+        F.col("id").alias("review_id"), (-F.col("newest.listing")).alias("listing_id"),
+        "newest.date", "newest.reviewer_id", F.col("first").alias("first_snapshot_date"),
         (F.col("newest.snapshot_date") == newest_snapshot).cast("int").alias("is_active"),
     )
+
+
+def fact_reviews(reviews: DataFrame) -> DataFrame:
+    """One row per review: newest attributes, first snapshot seen, still in the newest one."""
+    newest_snapshot = reviews.agg(F.max("snapshot_date")).scalar()
+    return review_members(newest_reviews(reviews), newest_snapshot)

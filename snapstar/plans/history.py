@@ -147,6 +147,12 @@ def _schema(types: dict[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in types.items())
 
 
+def forget_state(made: Change) -> None:
+    """Leave out tables derived from the archives that would no longer agree with them."""
+    for table in [name for name in made.tables if name.startswith("state/")]:
+        del made.tables[table]
+
+
 def read_archive(
     spark: SparkSession, root: str, kind: str, held: Edition | None = None
 ) -> DataFrame:
@@ -161,15 +167,12 @@ def read_archive(
         by_types.setdefault(_schema(dict(C.ARCHIVE[kind]) | part.types), []).append(part.path)
     if not by_types:
         return spark.createDataFrame([], _schema(force))
-    columns = [F.col(name).cast(target).alias(name) for name, target in force.items()]
-    frames = [
+    casts = [f"cast(`{name}` as {target}) as `{name}`" for name, target in force.items()]
+    return stacked([
         spark.read.schema(schema).option("basePath", f"{root}/{_table(kind)}")
         .parquet(*[f"{root}/{path}" for path in sorted(paths)])
+        .selectExpr(*(force if schema == _schema(force) else casts))
         for schema, paths in sorted(by_types.items())
-    ]
-    return stacked([
-        frame.select(*force) if set(frame.select(*force).dtypes) == set(force.items())
-        else frame.select(*columns) for frame in frames
     ])
 
 
@@ -228,5 +231,7 @@ def append(rows: DataFrame, root: str, kind: str, change: Change | None = None)
 def remove(spark: SparkSession, root: str, date: dt.date, change: Change | None = None) -> None:
     """Take one snapshot out of listings and reviews; rebuild the star schema afterwards."""
     with editions.change(spark, root, change) as made:
+        if change is None:
+            forget_state(made)
         for kind in ("listings", "reviews"):
             made.drop(_table(kind), str(date))

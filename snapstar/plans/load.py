@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from snapstar import contracts as C
 from snapstar.operators.tallies import row_counts, stacked
-from snapstar.plans import dimensions as dims, editions, facts, history, profiles, quality
+from snapstar.plans import (
+    dimensions as dims, editions, facts, history, latest_state, profiles, quality,
+)
 from snapstar.plans.editions import Change
 from snapstar.session import settled
 from snapstar.sources import csv_snapshots, fit
@@ -16,13 +20,13 @@ KINDS = ("reviews", "neighbourhoods", "listings")
 
 def stage(
     spark: SparkSession, feed: str, root: str, kind: str, subfolders: list[str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool = True, split: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed staging rows of one kind, stored, and the type report. Rerunning replaces them.
 
     The files are parsed once, into text columns; profile and casts read those.
     """
-    raw = csv_snapshots.read_snapshots(spark, feed, kind, subfolders, multi_line)
+    raw = csv_snapshots.read_snapshots(spark, feed, kind, subfolders, multi_line, split)
     csv_snapshots.check_columns(raw, kind)
     if kind == "listings":
         raw = raw.drop(*C.LISTING_DROPPED)
@@ -64,13 +68,13 @@ def check_staged(staged: dict[str, DataFrame]) -> None:
 def load(
     spark: SparkSession, feed: str, root: str, subfolders: list[str] | None = None,
     approved: list[str] | None = None, multi_line: bool = True,
-    wider: dict[str, str] | None = None,
+    wider: dict[str, str] | None = None, split: bool = False,
 ) -> dict[str, DataFrame]:
     """Load the snapshots of ``subfolders`` into the archives; small, settled reports by name.
 
     All archives switch together, after every check: a load that dies anywhere, or is refused, leaves
     the edition before. ``wider`` approves wider types of listing columns, such as
-    ``{"beds": "double"}``, from this load on. New neighbourhood names enter the location dimension only when listed in ``approved``; the
+    ``{"beds": "double"}``, from this load on. With ``split``, large files are read by many tasks. New neighbourhood names enter the location dimension only when listed in ``approved``; the
     ``new_neighbourhoods`` report shows those still waiting. The first load takes them all.
     """
     history.create(spark, root)
@@ -82,7 +86,8 @@ def load(
     history.guard(spark, root, dates)
     staged, reports = {}, {}
     for kind in KINDS:
-        staged[kind], reports[kind] = stage(spark, feed, root, kind, subfolders, multi_line)
+        staged[kind], reports[kind] = stage(
+            spark, feed, root, kind, subfolders, multi_line, split)
     check_staged(staged)
 
     known = dims.listed_names(history.read_archive(spark, root, "neighbourhoods"))
@@ -105,6 +110,7 @@ def load(
         history.widen(made, "listings", wider or {})
         # Files of this change are not seen before it is published, so a value that its archive
         # type refuses leaves nothing behind but a folder for the next vacuum.
+        before = {kind: set(made.parts(f"history/{kind}")) for kind in ("listings", "reviews")}
         for kind in KINDS:
             history.append(batch[kind], root, kind, made)
         archived = {
@@ -118,6 +124,7 @@ def load(
         )
         if not reconciled.where(~F.col("agrees")).isEmpty():
             raise C.ContractError(f"staged and archived rows differ: {reconciled.collect()}")
+        merge_state(made, before)
     return {
         "types": stacked([
             report.select(F.lit(kind).alias("table_name"), "*") for kind, report in reports.items()
@@ -127,6 +134,28 @@ def load(
     }
 
 
+def merge_state(made: Change, before: dict[str, set[str]]) -> None:
+    """Bring the state of newest rows up to the snapshots that the change added.
+
+    ``before`` are the dates the archives held; a date loaded again is taken out of the state first.
+    """
+    after = {kind: set(made.parts(f"history/{kind}")) for kind in before}
+    fresh = set().union(*[after[kind] - before[kind] for kind in before])
+    if not latest_state.kept(made) or fresh & set().union(*before.values()):
+        # State is begun with the first load, and anew if a date stood in one archive only.
+        latest_state.start(made.spark, made.root, made)
+    else:
+        latest_state.add(made, sorted(map(dt.date.fromisoformat, fresh)))
+
+
+def remove(spark: SparkSession, root: str, date: dt.date) -> None:
+    """Take one snapshot out of archives and state together; refresh the star schema afterwards."""
+    with editions.change(spark, root) as made:
+        history.remove(spark, root, date, made)
+        if latest_state.kept(made):
+            latest_state.take_out(made, date)
+
+
 STAR = ("DimLocation", "DimRoomType", "DimPropertyType", "DimHost", "DimListings", "DimDate",
         "FactListings", "FactReviews")
 
@@ -173,6 +202,49 @@ def rebuild(spark: SparkSession, root: str, change: Change | None = None) -> dic
     return read_star(spark, root) if change is None else star
 
 
+def refresh(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The star schema brought up to the archives without reading past snapshots; the tables.
+
+    Hosts, listings and reviews come from stored state, names from those of each snapshot. Listing
+    facts are written for snapshots that have none yet; all of them only if a name got another key.
+    Equal to ``rebuild`` on the same archives.
+    """
+    with editions.change(spark, root) as made:
+        if not latest_state.kept(made):
+            latest_state.start(spark, root, made)
+        names = latest_state.observed_names(spark, root, made)
+        neighbourhoods = history.read_archive(spark, root, "neighbourhoods", made)
+        keyed = {
+            "DimLocation": history.keep_location_keys(
+                spark, root, dims.listed_names(neighbourhoods), made),
+            "DimRoomType": dims.dim_room_type(names["room_type"]),
+            "DimPropertyType": dims.dim_property_type(names["property_type"]),
+        }
+        star, moved = {}, False
+        for name, rows in keyed.items():
+            earlier = editions.stored(spark, root, made, f"star/{name}")
+            star[name] = made.store(f"star/{name}", rows)
+            moved |= earlier is None or not star[name].exceptAll(earlier).isEmpty() or (
+                not earlier.exceptAll(star[name]).isEmpty())
+        star["DimHost"] = made.store(
+            "star/DimHost", latest_state.dim_host(spark, root, made))
+        star["DimListings"] = made.store(
+            "star/DimListings", latest_state.dim_listings(spark, root, made))
+        if not made.parts("star/DimDate"):
+            made.store("star/DimDate", dims.dim_date(spark))
+        made.store("star/FactReviews", latest_state.fact_reviews(spark, root, made)
+                   .sortWithinPartitions("date"))
+        wanted, done = set(made.parts("history/listings")), set(made.parts("star/FactListings"))
+        for date in done - wanted:
+            made.drop("star/FactListings", date)
+        missing = sorted(wanted if moved else wanted - done)
+        if missing:
+            listings = history.read_archive(spark, root, "listings", made)
+            store_listing_facts(made, listings.where(F.col("snapshot_date").isin(
+                [dt.date.fromisoformat(date) for date in missing])), star)
+    return read_star(spark, root)
+
+
 def store_listing_facts(
     made: Change, listings: DataFrame, star: dict[str, DataFrame]
 ) -> None:

@@ -1,8 +1,8 @@
 """Snapshot files: which there are, and their rows as text with the snapshot date.
 
 A snapshot is ``<feed>/<subfolder>/YYYY-MM-DD_<kind>.csv``, either one file or a folder of part
-files under that name. Quoted texts may hold line breaks, so one file is read by one task; cut a
-very large snapshot into part files to spread it.
+files under that name. Quoted texts may hold line breaks, so one file is read by one task, unless it is
+read ``split``: then records are found across the cuts (``sources.split_csv``).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapstar import contracts as C
 from snapstar.operators.tallies import stacked
 from snapstar.plans.history import snapshot_date_of
+from snapstar.sources.split_csv import read_split
 
 _SNAPSHOT = r"^(.*/\d{4}-\d{2}-\d{2}_([a-z]+)\.csv)(?:/|$)"
 
@@ -58,7 +59,7 @@ def read_text(
 
 def read_snapshots(
     spark: SparkSession, feed: str, kind: str, subfolders: list[str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool = True, split: bool = False,
 ) -> DataFrame:
     """Every snapshot of ``kind`` as text rows with ``snapshot_date`` from the file name.
 
@@ -75,7 +76,9 @@ def read_snapshots(
         header = spark.read.option("header", True).option("multiLine", multi_line).csv(path)
         layouts[tuple(header.columns)].append(path)
     frames = [
-        read_text(spark, group, list(columns), multi_line)
+        read_split(spark, group, list(columns))
+        .withColumn("snapshot_date", snapshot_date_of(F.col("_file"))).drop("_file")
+        if split else read_text(spark, group, list(columns), multi_line)
         .withColumn("snapshot_date", snapshot_date_of(F.col("_metadata.file_path")))
         for columns, group in layouts.items()
     ]
