@@ -8,8 +8,10 @@ hidden name and moves it to its final one, so a repeated or speculative task cha
 Reading: files are cut into byte ranges of any size. A task looks in its range for the gzip magic,
 takes a candidate for a record only if the inflated bytes begin with a whole WARC header, and owns
 the records that start inside its range; it reads past the end for the last one. After a record
-the next begins at once, so only the first of a range is searched for. (A payload that is itself a
-gzipped archive could be taken for a record if deflate stores it raw; UTF-8 text cannot.)
+the next begins at once, so only the first of a range is searched for, and what follows a record, in
+this range or the next, must be a record or the end of the file; anything else is an error. (A payload
+that is itself a gzipped archive could be taken for a record if deflate stores it raw; UTF-8 text
+cannot.) A header may be of any length.
 
 Files are opened through pyarrow's file systems by their URI, in any shared folder those know.
 """
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from snapstar.llm.text import table
 from snapstar.session import new_folder
@@ -35,8 +37,8 @@ LEAST_BYTES = 0
 DATE = "1970-01-01T00:00:00Z"
 MAGIC = b"\x1f\x8b\x08"
 PIECE = 16 << 10
-#: A candidate must show its whole header within so many inflated bytes.
-HEADER_BYTES = 1 << 20
+#: Tasks that read, at most; with more ranges than that, a task reads several.
+MOST_TASKS = 20_000
 ROWS = ("path string, start long, page_id long, url string, record_type string, "
         "refers_to long, payload_bytes long, payload_digest string, payload binary")
 
@@ -174,18 +176,20 @@ def _header(raw: bytes) -> tuple[dict[str, str], int] | None:
 
 
 def _is_record(part: _Range, at: int) -> bool:
-    inflate, seen, here = zlib.decompressobj(31), b"", at
+    """Whether the bytes inflate to a whole header; they are read on as long as it is unfinished."""
+    inflate, seen, here = zlib.decompressobj(31), bytearray(), at
     try:
-        while len(seen) < HEADER_BYTES and not inflate.eof:
+        while not inflate.eof:
             raw = part.piece(here)
             if not raw:
                 return False
             here += len(raw)
+            looked = max(len(seen) - 3, 0)
             seen += inflate.decompress(raw)
-            if _header(seen):
-                return True
-            if not b"WARC/1.".startswith(seen[:7]):
+            if not seen.startswith(b"WARC/1.") and not b"WARC/1.".startswith(bytes(seen[:7])):
                 return False
+            if seen.find(b"\r\n\r\n", looked) >= 0:
+                return _header(bytes(seen)) is not None
     except zlib.error:
         return False
     return False
@@ -213,7 +217,9 @@ def records(source, size: int, start: int, end: int) -> Iterator[tuple[int, dict
         return
     part = _Range(source, size, start, end)
     at = _next_record(part, start, end)
-    while at is not None:
+    if start == 0 and at != 0:
+        raise ValueError("the file does not begin with a record")
+    while at is not None and at < end:
         inflate, whole, here = zlib.decompressobj(31), [], at
         while not inflate.eof:
             raw = part.piece(here)
@@ -224,7 +230,9 @@ def records(source, size: int, start: int, end: int) -> Iterator[tuple[int, dict
         raw = b"".join(whole)
         fields, body = _header(raw)
         yield at, fields, raw[body:body + int(fields["content-length"])]
-        at = _next_record(part, here - len(inflate.unused_data), end)
+        at = here - len(inflate.unused_data)
+        if at < size and not _is_record(part, at):
+            raise ValueError(f"no record begins at byte {at}, where one ends")
 
 
 def _page(name: str | None) -> int | None:
@@ -271,7 +279,8 @@ def read_archives(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYT
 
     Columns: path and start of the record, page_id, url, record_type, refers_to, payload_bytes and
     payload_digest (of the full payload, also for revisits) and the payload (null for revisits).
-    A folder without records gives no rows; a damaged record stops the job.
+    A folder without records gives no rows; a damaged record, or bytes between records, stop the job.
+    A record, however long its url or payload, is in the memory of its task whole.
     """
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(
         folder
@@ -281,15 +290,19 @@ def read_archives(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYT
         F.explode(F.sequence(F.lit(0), F.col("length") - 1, F.lit(split_bytes))).alias("start"),
     ).withColumn("end", F.least("length", F.col("start") + split_bytes))
     total = listed.agg(F.sum(F.ceil(F.col("length") / split_bytes))).first()[0] or 1
-    return ranges.repartition(int(total)).mapInPandas(_read_ranges, ROWS)
+    return ranges.repartition(min(int(total), MOST_TASKS)).mapInPandas(_read_ranges, ROWS)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as archives and read back by byte ranges."""
-    folder = new_folder(spark, "warc")
-    write_archives(table(spark, sf_dir, "pages"), folder)
-    return read_archives(spark, folder).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    folder, kept = new_folder(spark, "warc"), new_folder(spark, "warc-read")
+    written, seen = write_archives(table(spark, sf_dir, "pages"), folder), Observation()
+    read_archives(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    ).observe(seen, F.count("*").alias("records")).write.parquet(kept)
+    if seen.get["records"] != written:
+        raise ValueError(f"{written} records written, {seen.get['records']} read")
+    return spark.read.parquet(kept)
 
 
 _DIGITS = " || ".join(
