@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue import inputs
 from catalogue.registry import query
+from catalogue.sql_views import category
 from catalogue.star_queries import _HOST_SQL, Star
 from snapstar import contracts as C
+from snapstar.functions import cleaning as clean
+from snapstar.functions.comparison import relaxed_names
 from snapstar.operators.tallies import row_counts, stacked
-from snapstar.plans import dimensions as dims, editions, history, latest_state, load
+from snapstar.plans import (
+    catalogue as tables, dimensions as dims, editions, facts, history, latest_state, load,
+)
 from snapstar.session import new_folder, settled
 from snapstar.sources import split_csv
 
@@ -194,7 +201,8 @@ def quarterly_increment(spark, sf_dir):
       + (SELECT count(*) FROM dim_property_type WHERE property_id = 0)
       + (SELECT count(*) FROM dim_room_type WHERE room_id = 0)
     UNION ALL SELECT 'listings_in_history', count(*) FROM fact_listings
-    UNION ALL SELECT 'listing_facts', count(*) FROM fact_listings""")
+    UNION ALL SELECT 'listing_facts', count(*) FROM fact_listings
+    UNION ALL SELECT 'schema_differences', 0""")
 def quarterly_load(spark, sf_dir):
     """From CSV files to accepted star schema: the whole load, in one batch of snapshots."""
     feed, root = new_folder(spark, "feed"), new_folder(spark, "warehouse")
@@ -357,3 +365,64 @@ def split_csv_rows(spark, sf_dir):
         folder, header=True, escape='"', lineSep="\n")
     rows = split_csv.read_split(spark, [folder], columns)
     return rows.select(F.col("id").cast("long"), F.col("snapshot_date").cast("date"), *columns[2:])
+
+
+@query("listings reviews neighbourhoods", """
+    SELECT 'listings_history' AS table_name, 64 AS n_columns, snapshot_date,
+           count(*) AS row_count FROM listings GROUP BY snapshot_date
+    UNION ALL SELECT 'reviews_history', 7, snapshot_date, count(*) FROM reviews
+      GROUP BY snapshot_date
+    UNION ALL SELECT 'neighbourhoods_history', 3, (SELECT max(snapshot_date) FROM listings), count(*)
+      FROM neighbourhoods""")
+def catalogue_tables(spark, sf_dir):
+    """What the session catalogue lists after a load, and the rows its tables give by partition."""
+    root, database = new_folder(spark, "catalogue"), f"check_{uuid.uuid4().hex}"
+    listings = inputs.listings(spark, sf_dir)
+    last = listings.agg(F.max("snapshot_date")).first()[0]
+    with editions.change(spark, root) as made:
+        history.append(listings, root, "listings", made)
+        history.append(inputs.reviews(spark, sf_dir), root, "reviews", made)
+        history.append(inputs.neighbourhoods(spark, sf_dir).withColumn(
+            "snapshot_date", F.lit(last)), root, "neighbourhoods", made)
+    tables.register(spark, root, database)
+    counts = tables.column_scan(spark, database).groupBy("table_name").agg(
+        F.count("*").cast("int").alias("n_columns"))
+    rows = stacked([
+        spark.table(f"{database}.{name}").groupBy("snapshot_date").agg(
+            F.count("*").alias("row_count")).withColumn("table_name", F.lit(name))
+        for name in tables.table_list(spark, database)])
+    found = settled(rows.join(counts, "table_name").select(
+        "table_name", "n_columns", "snapshot_date", "row_count"))
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
+
+
+_SPELT = """CASE id % 3 WHEN 0 THEN upper({0}) WHEN 1 THEN {0} || '  ' ELSE {0} END"""
+_MATCHED = "lower(rtrim({0}))"
+
+
+@query("listings", f"""
+    SELECT s.id, s.snapshot_date, coalesce(p.property_id, 0) AS property_id,
+           coalesce(r.room_id, 0) AS room_id, {category('s.property_type')} AS property_category
+    FROM listings s
+    LEFT JOIN (SELECT name, CAST(row_number() OVER (ORDER BY spelling) AS INT) AS property_id FROM (
+      SELECT {_MATCHED.format('property_type')} AS name,
+             min({_SPELT.format('property_type')}) AS spelling
+      FROM listings WHERE property_type IS NOT NULL GROUP BY ALL)) p
+      ON p.name = {_MATCHED.format('s.property_type')}
+    LEFT JOIN (SELECT name, CAST(row_number() OVER (ORDER BY spelling) AS INT) AS room_id FROM (
+      SELECT {_MATCHED.format('room_type')} AS name, min({_SPELT.format('room_type')}) AS spelling
+      FROM listings WHERE room_type IS NOT NULL GROUP BY ALL)) r
+      ON r.name = {_MATCHED.format('s.room_type')}""")
+def names_without_case(spark, sf_dir):
+    """Keys and categories of names that come in capitals and with trailing blanks."""
+    rows = inputs.listings(spark, sf_dir)
+    for name in ("property_type", "room_type"):
+        rows = rows.withColumn(name, F.expr(
+            f"case id % 3 when 0 then upper({name}) when 1 then {name} || '  ' else {name} end"))
+    rows = relaxed_names(rows)
+    names = dims.observed_names(rows)
+    keyed = facts.with_property_key(rows, dims.dim_property_type(names["property_type"]))
+    keyed = facts.with_room_key(keyed, dims.dim_room_type(names["room_type"]))
+    return keyed.select("id", "snapshot_date", "property_id", "room_id", clean.property_category(
+        F.col("property_type")).alias("property_category"))

@@ -1,7 +1,7 @@
 """Cleaning rules, each a Column in and a Column out.
 
-Text matching is case-sensitive, as Spark's default collation is. To match without regard
-to case or trailing blanks, wrap the input in ``functions.comparison.relaxed`` first.
+Text matching is case-sensitive, as Spark's default collation is. Columns of a collated type
+(``functions.comparison.relaxed``) are matched without regard to case or trailing blanks.
 """
 
 from __future__ import annotations

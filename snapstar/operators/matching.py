@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from snapstar.functions.comparison import like, one_spelling
 from snapstar.session import settled
 
+
 def look_up(
     rows: DataFrame, members: DataFrame, natural: dict[str, str], key: str, default: int = 0,
 ) -> DataFrame:
     """Replace a natural key in ``rows`` by the members' ``key``; unmatched rows get ``default``.
 
     ``natural`` maps the column of ``rows`` to the column of ``members``. Members must be unique
-    on it. Null never matches. No row is lost and none is doubled. The join is not hinted: the size
+    on it, also where ``rows`` compare it without case. Null never matches. No row is lost and none is doubled. The join is not hinted: the size
     of stored members tells Spark whether to broadcast them.
     """
     (here, there), = natural.items()
     wanted = members.where(F.col(key) != default).select(
-        F.col(there).alias("_natural"), F.col(key).alias("_key")
+        like(F.col(there), rows, here).alias("_natural"), F.col(key).alias("_key")
     )
     return (
         rows.join(wanted, rows[here] == F.col("_natural"), "left")
@@ -66,6 +68,7 @@ def not_listed(rows: DataFrame, column: str, members: DataFrame, member_column:
 
     Null is taken out first: an anti-join would keep it, and it is no value.
     """
-    values = rows.select(column).where(F.col(column).isNotNull()).distinct()
-    known = members.select(F.col(member_column).alias(column))
-    return values.join(known, column, "left_anti")
+    values = one_spelling(rows.where(F.col(column).isNotNull()), column)
+    rule = rows.select(column)
+    known = members.select(like(F.col(member_column), rule, column).alias("_known"))
+    return values.join(known, like(F.col(column), rule, column) == F.col("_known"), "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
 from snapstar.functions.calendar import calendar_columns
+from snapstar.functions.comparison import exact, like, one_spelling
 from snapstar.operators.keys import numbered
 from snapstar.operators.latest import latest_per_key
 from snapstar.operators.matching import not_listed
@@ -43,7 +44,7 @@ def _with_unknown(members: DataFrame, **values) -> DataFrame:
 def _numbered_names(names: DataFrame, name: str, key: str) -> DataFrame:
     """Distinct cleaned names under keys 1..n. ``Unknown`` is left to the key-0 member."""
     cleaned = names.select(clean.or_unknown(F.col(name)).alias(name))
-    distinct = cleaned.where(F.col(name) != C.UNKNOWN).distinct()
+    distinct = one_spelling(cleaned.where(F.col(name) != C.UNKNOWN), name)
     return numbered(distinct, [name], key).select(key, name)
 
 
@@ -98,10 +99,14 @@ def extend_location(location: DataFrame, approved: DataFrame) -> DataFrame:
 def observed_names(listings: DataFrame) -> dict[str, DataFrame]:
     """The distinct room and property types of the history, found in one pass over it."""
     columns = ["room_type", "property_type"]
+    # Every spelling is kept here; which of them are one name is settled by the dimension.
     found = settled(
-        listings.select(*columns).unpivot([], columns, "_of", "_name").distinct()
+        listings.select(*[exact(F.col(c)).alias(c) for c in columns])
+        .unpivot([], columns, "_of", "_name").distinct()
     )
-    return {c: found.where(F.col("_of") == c).select(F.col("_name").alias(c)) for c in columns}
+    return {
+        c: found.where(F.col("_of") == c).select(like(F.col("_name"), listings, c).alias(c))
+        for c in columns}
 
 
 def dim_room_type(listings: DataFrame) -> DataFrame:
@@ -111,11 +116,10 @@ def dim_room_type(listings: DataFrame) -> DataFrame:
 
 def dim_property_type(listings: DataFrame) -> DataFrame:
     """One row per property type: the category follows from the type alone."""
-    kinds = listings.select("property_type").where(F.col("property_type") != C.UNKNOWN).distinct()
+    kinds = one_spelling(listings.where(F.col("property_type") != C.UNKNOWN), "property_type")
+    kind = like(F.col("property_type"), listings, "property_type")
     members = numbered(kinds, ["property_type"], "property_id").select(
-        "property_id", "property_type",
-        clean.property_category(F.col("property_type")).alias("property_category"),
-    )
+        "property_id", "property_type", clean.property_category(kind).alias("property_category"))
     return _with_unknown(
         members, property_id=0, property_type=C.UNKNOWN, property_category=C.UNKNOWN
     )

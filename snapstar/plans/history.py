@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
+from snapstar.functions.comparison import like
 from snapstar.operators.tallies import stacked
 from snapstar.plans import dimensions as dims, editions
 from snapstar.plans.editions import Change, Edition
@@ -38,10 +39,14 @@ def snapshot_date_of(path: Column) -> Column:
     return F.try_to_date(F.regexp_extract(path, r"(\d{4}-\d{2}-\d{2})_[a-z]+\.csv", 1))
 
 
-def with_category(listings: DataFrame) -> DataFrame:
-    """Fill ``property_category`` where it is null; tags from earlier loads stay."""
+def with_category(listings: DataFrame, matched=lambda rows: rows) -> DataFrame:
+    """Fill ``property_category`` where it is null; tags from earlier loads stay.
+
+    ``matched`` says how the property type compares with the rules.
+    """
+    kind = like(F.col("property_type"), matched(listings), "property_type")
     return listings.withColumn("property_category", F.coalesce(
-        F.col("property_category"), clean.property_category(F.col("property_type"))
+        F.col("property_category"), clean.property_category(kind)
     ))
 
 

@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from snapstar import contracts as C
+from snapstar.functions.comparison import relaxed_names
 from snapstar.operators.tallies import row_counts, stacked
 from snapstar.plans import (
-    dimensions as dims, editions, facts, history, latest_state, profiles, quality,
+    catalogue, dimensions as dims, editions, facts, history, latest_state, profiles, quality,
 )
 from snapstar.plans.editions import Change
 from snapstar.session import settled
@@ -91,7 +92,8 @@ def load(
     check_staged(staged)
 
     known = dims.listed_names(history.read_archive(spark, root, "neighbourhoods"))
-    waiting = dims.new_neighbourhoods(staged["neighbourhoods"], known)
+    held = editions.edition(spark, root)
+    waiting = dims.new_neighbourhoods(matched(staged["neighbourhoods"], held), known)
     names = staged["neighbourhoods"]
     if not history.read_archive(spark, root, "listings").isEmpty():
         names = names.where(F.col("neighbourhood").isin(approved or [])).join(
@@ -103,7 +105,8 @@ def load(
     batch = {
         "reviews": staged["reviews"], "neighbourhoods": names,
         "listings": history.with_category(
-            staged["listings"].withColumn("property_category", F.lit(None).cast("string"))
+            staged["listings"].withColumn("property_category", F.lit(None).cast("string")),
+            lambda rows: matched(rows, held),
         ),
     }
     with editions.change(spark, root) as made:
@@ -134,6 +137,18 @@ def load(
     }
 
 
+def match_names(spark: SparkSession, root: str, without_case: bool) -> None:
+    """Choose whether names of a warehouse match without case and trailing blanks, or exactly."""
+    with editions.change(spark, root) as made:
+        made.settings["names"] = "without case" if without_case else "exact"
+        made.tables.pop("star/FactListings", None)  # its keys follow the names
+
+
+def matched(rows: DataFrame, held: editions.Edition) -> DataFrame:
+    """``rows`` whose names compare as the warehouse has chosen."""
+    return relaxed_names(rows) if held.settings.get("names") == "without case" else rows
+
+
 def merge_state(made: Change, before: dict[str, set[str]]) -> None:
     """Bring the state of newest rows up to the snapshots that the change added.
 
@@ -179,7 +194,7 @@ def rebuild(spark: SparkSession, root: str, change: Change | None = None) -> dic
     skip snapshots and row groups.
     """
     with editions.change(spark, root, change) as made:
-        listings = history.read_archive(spark, root, "listings", made)
+        listings = matched(history.read_archive(spark, root, "listings", made), made)
         reviews = history.read_archive(spark, root, "reviews", made)
         neighbourhoods = history.read_archive(spark, root, "neighbourhoods", made)
         store = lambda name, rows: made.store(f"star/{name}", rows)
@@ -217,8 +232,8 @@ def refresh(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         keyed = {
             "DimLocation": history.keep_location_keys(
                 spark, root, dims.listed_names(neighbourhoods), made),
-            "DimRoomType": dims.dim_room_type(names["room_type"]),
-            "DimPropertyType": dims.dim_property_type(names["property_type"]),
+            "DimRoomType": dims.dim_room_type(matched(names["room_type"], made)),
+            "DimPropertyType": dims.dim_property_type(matched(names["property_type"], made)),
         }
         star, moved = {}, False
         for name, rows in keyed.items():
@@ -239,7 +254,7 @@ def refresh(spark: SparkSession, root: str) -> dict[str, DataFrame]:
             made.drop("star/FactListings", date)
         missing = sorted(wanted if moved else wanted - done)
         if missing:
-            listings = history.read_archive(spark, root, "listings", made)
+            listings = matched(history.read_archive(spark, root, "listings", made), made)
             store_listing_facts(made, listings.where(F.col("snapshot_date").isin(
                 [dt.date.fromisoformat(date) for date in missing])), star)
     return read_star(spark, root)
@@ -262,8 +277,15 @@ def store_listing_facts(
         made.put("star/FactListings", f"{folder}/snapshot_date={date}", str(date))
 
 
-def acceptance(spark: SparkSession, root: str) -> DataFrame:
-    """Post-load report: check, value, expected (null where any value is fine)."""
+def acceptance(
+    spark: SparkSession, root: str, database: str = catalogue.DATABASE
+) -> DataFrame:
+    """Post-load report: check, value, expected (null where any value is fine).
+
+    The tables are registered in the session catalogue first, and what it lists is compared with the
+    contract.
+    """
+    catalogue.register(spark, root, database)
     star = read_star(spark, root)
     listings = history.read_archive(spark, root, "listings")
     repeated = quality.primary_keys(star).agg(F.sum("duplicate_keys").alias("value"))
@@ -277,6 +299,8 @@ def acceptance(spark: SparkSession, root: str) -> DataFrame:
          F.lit(5)),
         (listings.agg(F.count("*").alias("value")), "listings_in_history", F.lit(None)),
         (star["FactListings"].agg(F.count("*").alias("value")), "listing_facts", F.lit(None)),
+        (catalogue.differences(spark, root, database).agg(F.count("*").alias("value")),
+         "schema_differences", F.lit(0)),
     ]
     return stacked([
         rows.select(F.lit(name).alias("check"), F.col("value").cast("bigint").alias("value"),
