@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalogue import inputs
 from catalogue.registry import query
 from catalogue.sql_views import category, licence, money, rate
+from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
 from snapstar.plans import dimensions as dims, facts
 from snapstar.session import new_folder
@@ -17,11 +18,11 @@ from snapstar.session import new_folder
 class Star:
     """The star schema over one set of driver tables, each table planned once when asked for.
 
-    With ``stored``, the listings and the dimensions made of them are written first, as a load
-    does: what follows reads files of known size instead of deriving its input again.
+    With ``stored``, those columns of the listings and the dimensions of their names are written
+    first, as a load does: what follows reads files of known size instead of deriving its input again.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, stored: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: tuple[str, ...] = ()):
         self.spark, self.sf_dir, self.stored = spark, sf_dir, stored
 
     def _kept(self, rows: DataFrame, name: str) -> DataFrame:
@@ -33,7 +34,14 @@ class Star:
 
     @cached_property
     def listings(self) -> DataFrame:
-        return self._kept(inputs.listings(self.spark, self.sf_dir), "listings")
+        return inputs.listings(self.spark, self.sf_dir)
+
+    @cached_property
+    def fact_source(self) -> DataFrame:
+        """The listings as far as facts and names need them."""
+        if not self.stored:
+            return self.listings
+        return self._kept(self.listings.select(*self.stored), "listings")
 
     @cached_property
     def reviews(self) -> DataFrame:
@@ -49,7 +57,7 @@ class Star:
 
     @cached_property
     def _names(self) -> dict[str, DataFrame]:
-        return dims.observed_names(self.listings)
+        return dims.observed_names(self.fact_source)
 
     @cached_property
     def dim_room_type(self) -> DataFrame:
@@ -76,12 +84,18 @@ class Star:
     @cached_property
     def listing_facts(self) -> DataFrame:
         """The listing fact for questions that need no dimension key."""
-        return facts.listing_facts(self.listings)
+        return facts.listing_facts(self._with_all(self.fact_source))
+
+    def _with_all(self, rows: DataFrame) -> DataFrame:
+        """Source columns that were not stored, as nothing will ask for their values, are null."""
+        return rows.selectExpr(*[
+            name if name in rows.columns else f"cast(null as {kind}) as {name}"
+            for name, kind in C.LISTING_ARCHIVE if name in facts.SOURCE_COLUMNS])
 
     @cached_property
     def fact_listings(self) -> DataFrame:
         return facts.fact_listings(
-            self.listings, self.dim_property_type, self.dim_room_type, self.dim_location,
+            self._with_all(self.fact_source), self.dim_property_type, self.dim_room_type, self.dim_location,
             self.dim_host,
         )
 
@@ -154,7 +168,7 @@ def dim_date(spark, sf_dir):
 
 @query("fact_listings", _FACT_SQL)
 def fact_listings(spark, sf_dir):
-    return Star(spark, sf_dir, stored=True).fact_listings
+    return Star(spark, sf_dir, facts.SOURCE_COLUMNS).fact_listings
 
 
 @query("fact_reviews", "SELECT * FROM fact_reviews")
@@ -194,7 +208,7 @@ def _top(view: str, order: list[str], sql: str, views: str | None = None):
 
     @query(views or view, f"{sql} ORDER BY {ordering} LIMIT 5", key=f"top5_{view}")
     def run(spark, sf_dir):
-        star = Star(spark, sf_dir, stored=view == "fact_listings")
+        star = Star(spark, sf_dir, facts.SOURCE_COLUMNS if view == "fact_listings" else ())
         return getattr(star, view).orderBy(*order).limit(5)
     return run
 

@@ -8,7 +8,7 @@ from snapstar import contracts as C
 from snapstar.functions import cleaning as clean
 from snapstar.functions.calendar import calendar_columns
 from snapstar.functions.comparison import exact, like, one_spelling
-from snapstar.operators.keys import numbered
+from snapstar.operators.keys import numbered, numbered_names
 from snapstar.operators.latest import latest_per_key
 from snapstar.operators.matching import not_listed
 from snapstar.session import settled
@@ -45,7 +45,7 @@ def _numbered_names(names: DataFrame, name: str, key: str) -> DataFrame:
     """Distinct cleaned names under keys 1..n. ``Unknown`` is left to the key-0 member."""
     cleaned = names.select(clean.or_unknown(F.col(name)).alias(name))
     distinct = one_spelling(cleaned.where(F.col(name) != C.UNKNOWN), name)
-    return numbered(distinct, [name], key).select(key, name)
+    return numbered_names(distinct, name, key).select(key, name)
 
 
 def dim_location(neighbourhoods: DataFrame) -> DataFrame:
@@ -118,7 +118,7 @@ def dim_property_type(listings: DataFrame) -> DataFrame:
     """One row per property type: the category follows from the type alone."""
     kinds = one_spelling(listings.where(F.col("property_type") != C.UNKNOWN), "property_type")
     kind = like(F.col("property_type"), listings, "property_type")
-    members = numbered(kinds, ["property_type"], "property_id").select(
+    members = numbered_names(kinds, "property_type", "property_id").select(
         "property_id", "property_type", clean.property_category(kind).alias("property_category"))
     return _with_unknown(
         members, property_id=0, property_type=C.UNKNOWN, property_category=C.UNKNOWN

@@ -27,6 +27,15 @@ _HOST_COUNTS = {
 }
 
 
+NATURAL_KEYS = ("host_id", "property_type", "room_type", "neighbourhood_cleansed")
+#: Columns of the archive that the listing fact is made of; its keys alone.
+KEY_COLUMNS = ("id", "snapshot_date", *NATURAL_KEYS)
+SOURCE_COLUMNS = (
+    *KEY_COLUMNS, "price", *_COPIED, "estimated_occupancy_l365d", "estimated_revenue_l365d", "license",
+    "instant_bookable", "host_is_superhost", *_HOST_COUNTS.values(),
+)
+
+
 def listing_measures() -> dict[str, Column]:
     """Everything that can change between snapshots, cleaned; nulls of measures stay null."""
     measures = {"price": clean.money(F.col("price"))}
@@ -43,9 +52,6 @@ def listing_measures() -> dict[str, Column]:
     return measures
 
 
-NATURAL_KEYS = ("host_id", "property_type", "room_type", "neighbourhood_cleansed")
-
-
 def listing_facts(listings: DataFrame) -> DataFrame:
     """One row per listing and snapshot: natural keys and measures, no join."""
     return listings.select(

@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from snapstar.operators.keys import numbered
+from snapstar.operators.keys import numbered, numbered_names
 from snapstar.operators.latest import first_per_group, latest_per_key
 from snapstar.operators.matching import keep_known_keys, look_up, not_listed, unmatched_rows
 from snapstar.operators.median import grouped_median
@@ -117,3 +117,11 @@ def test_repeated_keys_and_value_counts(spark):
     assert [tuple(r) for r in repeated_keys(rows, ["k"]).collect()] == [(1, 2)]
     counts = value_counts(rows, ["v"]).collect()
     assert {(r.column_name, r.value, r.row_count) for r in counts} == {("v", "a", 2), ("v", None, 1)}
+
+
+def test_names_are_numbered_in_byte_order(spark):
+    names = ["", "a", "ab", "abc", "abd", "b", "é", "éa", "B", "\U0001F600", "ab ", "aa"]
+    rows = spark.createDataFrame([(n,) for n in names], "name string").repartition(3)
+    got = {r.name: r.n for r in numbered_names(rows, "name", "n").collect()}
+    assert sorted(got, key=got.get) == sorted(names, key=str.encode)
+    assert sorted(got.values()) == list(range(1, len(names) + 1))
