@@ -12,7 +12,7 @@ from pyspark.sql import Column, functions as F
 
 from snapstar import contracts as C
 
-_DECIMAL_TEXT = r"^-?[0-9]*\.?[0-9]+$"
+_DECIMAL_TEXT = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 
 
 def or_unknown(text: Column) -> Column:
@@ -33,9 +33,10 @@ def verifications(text: Column) -> Column:
 def money(text: Column) -> Column:
     """``$1,250.00`` -> 1250.00; anything that is no plain number -> null.
 
-    The pattern keeps out exponent forms such as ``1e3``, which a bare cast would accept.
+    Blanks around the number and a point without digits behind it are accepted (``$50. ``). The
+    pattern keeps out exponent forms such as ``1e3``, which a bare cast would accept.
     """
-    digits = F.translate(text, "$,", "")
+    digits = F.trim(F.translate(text, "$,", ""))
     return F.when(digits.rlike(_DECIMAL_TEXT), digits.try_cast("decimal(10,2)"))
 
 

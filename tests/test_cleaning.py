@@ -18,6 +18,8 @@ def test_money(spark):
     texts = ["$50.00", "$1,250.00", "", None, "abc", "1e3", "-5", "$12345678901.00"]
     assert apply(spark, clean.money, texts) == [
         Decimal("50.00"), Decimal("1250.00"), None, None, None, None, Decimal("-5.00"), None]
+    assert apply(spark, clean.money, ["$50.00 ", " $50.", "50.", ".5", ".", "- 5", " "]) == [
+        Decimal("50.00"), Decimal("50.00"), Decimal("50.00"), Decimal("0.50"), None, None, None]
 
 
 def test_rates(spark):
