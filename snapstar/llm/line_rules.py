@@ -3,13 +3,15 @@
 Lines are normalised (A-Z in lower case, digits as 0, white space runs as one blank, ends trimmed)
 and hashed. For each host the distinct documents holding a line are counted; a line above the
 limit is removed from every document of the host, and a document left with too little is rejected.
-The limit is the larger of ``MIN_DOCUMENTS`` and a share of the host's documents, so a small group
-of copies of a clean text is not taken for boilerplate. Lines of fewer than ``MIN_LINE_WORDS``
-words carry no sign of a template and are never removed.
+Documents of equal text count once, so copies of a clean text are not taken for boilerplate. The
+limit is the larger of ``MIN_DOCUMENTS`` and the square root of the host's documents: chance
+repeats grow with a host, but a template of a large host lies in far more than that. Lines of
+fewer than ``MIN_LINE_WORDS`` words carry no sign of a template and are never removed.
 
 Everything is DataFrame functions. What is shuffled are (host, hash) counts, combined on the map
 side, so a line that a third of all documents hold is one row per task, and three narrow columns
-per line of documents with candidates; texts never move.
+per line of documents with candidates; texts never move. A text of any length is one row with an
+array of its words; its lines travel one by one.
 """
 
 from __future__ import annotations
@@ -20,10 +22,10 @@ from snapstar.llm.text import BLANK, LOWER, UPPER, WORD, table, words
 
 SYMBOLS = r"#*$%&|<>"
 MIN_WORDS, REPEAT_PERCENT = 50, 50
-MIN_DOCUMENTS, HOST_PERCENT = 20, 10
+MIN_DOCUMENTS = 20
 MIN_LINE_WORDS = 4
-#: A document is depleted if removal leaves fewer words than this, or a smaller share of its words.
-LEFT_WORDS, LEFT_PERCENT = 20, 20
+#: A document is depleted if removal leaves fewer than ``MIN_WORDS``, or this share of its words.
+LEFT_PERCENT = 20
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -96,15 +98,13 @@ def row_lines(rows: DataFrame, key: str, text: str, host: str) -> DataFrame:
 
     ``_text`` is a hash of the text: rows that share key, host and text are one document.
     """
-    found = F.transform(
-        lines(F.col(text)),
-        lambda line: F.struct(
-            F.xxhash64(normalised(line)).alias("line"), F.size(words(line)).alias("words")
-        ),
+    plain = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), normalised)
+    found = F.filter(
+        F.transform(plain, lambda line: F.struct(
+            F.xxhash64(line).alias("line"), F.size(F.split(line, " ")).alias("words"))),
+        lambda line: line["words"] >= MIN_LINE_WORDS,
     )
-    return rows.select(
-        *identity(key, text, host), F.posexplode(found).alias("_at", "_line")
-    ).where(F.col("_line.words") >= MIN_LINE_WORDS).select(
+    return rows.select(*identity(key, text, host), F.posexplode(found).alias("_at", "_line")).select(
         "_key", "_host", "_text", "_at", "_line.line", "_line.words"
     )
 
@@ -112,21 +112,22 @@ def row_lines(rows: DataFrame, key: str, text: str, host: str) -> DataFrame:
 def identity(key: str, text: str, host: str) -> list[Column]:
     return [
         F.col(key).alias("_key"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"),
-        F.xxhash64(F.col(text)).alias("_text"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_text"),
     ]
 
 
 def frequent_lines(rows: DataFrame, key: str, text: str, host: str) -> DataFrame:
     """(_host, line, n_documents) of lines above their host's limit.
 
-    Documents are counted by distinct key, after copies of a line inside a document are one.
+    Documents of a host are its distinct texts, null and empty ones together being one.
     """
-    held = row_lines(rows, key, text, host).select("_host", "line", "_key").distinct()
+    held = row_lines(rows, key, text, host).select("_host", "line", "_text").distinct()
     counts = held.groupBy("_host", "line").agg(F.count("*").alias("n_documents"))
-    documents = rows.select(*identity(key, text, host)[:2]).distinct()
+    documents = rows.select(*identity(key, text, host)[1:]).distinct()
     sizes = documents.groupBy("_host").agg(F.count("*").alias("n_host"))
-    return counts.where(F.col("n_documents") > MIN_DOCUMENTS).join(sizes, "_host").where(
-        100 * F.col("n_documents") > HOST_PERCENT * F.col("n_host")
+    n = F.col("n_documents")
+    return counts.where(n > MIN_DOCUMENTS).join(sizes, "_host").where(
+        n * n > F.col("n_host")
     ).select("_host", "line", "n_documents")
 
 
@@ -139,53 +140,55 @@ def removed_words(rows: DataFrame, key: str, text: str, host: str) -> DataFrame:
     return once.groupBy("_key", "_host", "_text").agg(F.sum("words").alias("n_removed"))
 
 
-def judge(rows: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """(key, counts, base_failed, n_removed, kept), one row per input row, repeats included.
+def _same(a: str = "", b: str = "2") -> Column:
+    """Whether two sides mean the same document (``identity``); a null key equals a null key."""
+    return F.col(f"_key{a}").eqNullSafe(F.col(f"_key{b}")) & (
+        F.col(f"_host{a}") == F.col(f"_host{b}")) & (F.col(f"_text{a}") == F.col(f"_text{b}"))
 
-    Null texts count as empty and are not kept; null hosts are one host without a name; a null key
-    is one document; other columns are left out, so their names cannot clash. Empty input gives no
-    rows. Ties at a limit stay (only counts above it go).
-    """
+
+_OTHER = {"_key": "_key2", "_host": "_host2", "_text": "_text2"}
+
+
+def _judged(rows: DataFrame, key: str, text: str, host: str) -> DataFrame:
     base = base_rules(
         rows.select(*identity(key, text, host), F.col(text).alias("_body")), "_body"
     ).drop("_body")
-    removed = removed_words(rows, key, text, host).withColumnsRenamed(
-        {"_key": "_key2", "_host": "_host2", "_text": "_text2"})
-    joined = base.join(
-        removed,
-        F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_host") == F.col("_host2"))
-        & (F.col("_text") == F.col("_text2")),
-        "left",
-    )
+    removed = removed_words(rows, key, text, host).withColumnsRenamed(_OTHER)
     gone = F.coalesce(F.col("n_removed"), F.lit(0))
     left = F.col("n_words") - gone
     depleted = (gone > 0) & (
-        (left < LEFT_WORDS) | (100 * left < LEFT_PERCENT * F.col("n_words"))
+        (left < MIN_WORDS) | (100 * left < LEFT_PERCENT * F.col("n_words"))
     )
-    return joined.select(
-        F.col("_key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+    return base.join(removed, _same(), "left").select(
+        "_key", "_host", "_text", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", "base_failed", gone.alias("n_removed"),
         (~F.col("base_failed") & ~depleted).alias("kept"),
     )
 
 
+def judge(rows: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
+    """(key, counts, base_failed, n_removed, kept), one row per input row, repeats included.
+
+    Null texts count as empty and are not kept; null hosts are one host without a name; a null key
+    is one document; other columns are left out, so their names cannot clash. Empty input gives no
+    rows. Ties at a limit stay (only counts above it go).
+    """
+    return _judged(rows, key, text, host).withColumnRenamed("_key", key).drop("_host", "_text")
+
+
 def cleaned(rows: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """(key, text): the texts of kept documents without the lines that go.
 
-    The lines to remove reach a document as an array of hashes of its own lines only.
+    The lines to remove reach a document as an array of hashes of its own lines only. Of rows that
+    share a key each text has its own verdict.
     """
     parts = rows.select(*identity(key, text, host), F.col(text).alias("_body"))
     gone = row_lines(rows, key, text, host).join(
         frequent_lines(rows, key, text, host), ["_host", "line"]
     ).groupBy("_key", "_host", "_text").agg(F.collect_set("line").alias("_gone"))
-    gone = gone.withColumnsRenamed({"_key": "_key2", "_host": "_host2", "_text": "_text2"})
-    kept = judge(rows, key, text, host).where("kept").select(F.col(key).alias("_kept")).distinct()
-    whole = parts.join(
-        gone,
-        F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_host") == F.col("_host2"))
-        & (F.col("_text") == F.col("_text2")),
-        "left",
-    ).join(kept, F.col("_key").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = _judged(rows, key, text, host).where("kept").select("_key", "_host", "_text").distinct()
+    whole = parts.join(kept.withColumnsRenamed(_OTHER), _same(), "left_semi").join(
+        gone.withColumnsRenamed(_OTHER), _same(), "left")
     stays = F.filter(
         F.split("_body", "\n"),
         lambda line: ~F.coalesce(F.array_contains("_gone", F.xxhash64(normalised(line))), F.lit(False))
@@ -205,20 +208,20 @@ WITH d AS (
            coalesce(source, '') AS host, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w
     FROM documents),
 split AS (
-    SELECT rid, doc_id, host, unnest(string_split(text, chr(10))) AS raw FROM d),
+    SELECT rid, text, host, unnest(string_split(text, chr(10))) AS raw FROM d),
 l AS (
-    SELECT rid, doc_id, host, raw,
+    SELECT rid, text, host, raw,
            len(regexp_extract_all(raw, '[^\\x20\\x09-\\x0D]+')) AS words,
            trim(regexp_replace(translate(raw, '{UPPER}123456789', '{LOWER}000000000'),
                                '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS line
     FROM split WHERE regexp_matches(raw, '[^\\x20\\x09-\\x0D]')),
 dup AS (SELECT rid, count(*) - count(DISTINCT raw) AS n_dup_lines FROM l GROUP BY rid),
-hosts AS (SELECT host, count(DISTINCT doc_id) AS n_host FROM d GROUP BY host),
+hosts AS (SELECT host, count(DISTINCT text) AS n_host FROM d GROUP BY host),
 freq AS (
     SELECT host, line FROM l JOIN hosts USING (host) WHERE words >= {MIN_LINE_WORDS}
     GROUP BY host, line, n_host
-    HAVING count(DISTINCT doc_id) > {MIN_DOCUMENTS}
-       AND 100 * count(DISTINCT doc_id) > {HOST_PERCENT} * n_host),
+    HAVING count(DISTINCT text) > {MIN_DOCUMENTS}
+       AND count(DISTINCT text) * count(DISTINCT text) > n_host),
 gone AS (SELECT rid, sum(words) AS n_removed FROM l JOIN freq USING (host, line) GROUP BY rid),
 win AS (
     SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
@@ -242,7 +245,7 @@ judged AS (
            n_words - n_removed AS n_left
     FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_removed,
-       NOT base_failed AND NOT (n_removed > 0 AND (n_left < {LEFT_WORDS}
+       NOT base_failed AND NOT (n_removed > 0 AND (n_left < {MIN_WORDS}
            OR 100 * n_left < {LEFT_PERCENT} * n_words)) AS kept
 FROM judged
 """
