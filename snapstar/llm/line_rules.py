@@ -68,7 +68,7 @@ def n_repeated(array: Column) -> Column:
             F.lit(3), F.coalesce(F.get(at, k + 1) - F.get(at, k), F.lit(3))),
     )), 1)
     return F.when(size < 3, F.lit(0)).when(
-        F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)
+        F.size(F.array_distinct(hashes)) == size - 2, F.lit(0)
     ).otherwise(covered).cast("long")
 
 
