@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from catalogue import inputs
+from catalogue.investor_queries import HOST_VERSIONS_SQL
 from catalogue.registry import query
 from catalogue.sql_views import category
 from catalogue.star_queries import _HOST_SQL, Star
@@ -15,7 +16,7 @@ from snapstar.functions import cleaning as clean
 from snapstar.functions.comparison import relaxed_names
 from snapstar.operators.tallies import row_counts, stacked
 from snapstar.plans import (
-    catalogue as tables, dimensions as dims, editions, facts, history, latest_state, load,
+    catalogue as tables, dimensions as dims, editions, facts, history, host_history, latest_state, load,
 )
 from snapstar.session import new_folder, settled
 from snapstar.sources import split_csv
@@ -224,7 +225,7 @@ def _stepwise(spark: SparkSession, rows: DataFrame, kind: str, name: str) -> str
     for day in days[1::2] + days[0::2]:
         with editions.change(spark, root) as made:
             history.append(rows.where(F.col("snapshot_date") == F.lit(day)), root, kind, made)
-            latest_state.add(made, [day], names=(name,), buckets=8)
+            latest_state.add(made, [day], names=(name,), first=8)
     return root
 
 
@@ -263,6 +264,24 @@ def state_fact_reviews_after_removal(spark, sf_dir):
     return latest_state.fact_reviews(spark, root)
 
 
+_LEFT = "(SELECT * FROM listings WHERE snapshot_date <> (SELECT min(snapshot_date) FROM listings))"
+
+
+@query("listings", HOST_VERSIONS_SQL.format(_LEFT))
+def state_host_versions_after_removal(spark, sf_dir):
+    """Host versions from intervals: late snapshots split them, the first of all was taken out."""
+    root, rows = new_folder(spark, "intervals"), settled(inputs.listings(spark, sf_dir))
+    days = sorted(r[0] for r in rows.select("snapshot_date").distinct().collect())
+    for day in days[1::2] + days[0::2]:
+        with editions.change(spark, root) as made:
+            history.append(rows.where(F.col("snapshot_date") == F.lit(day)), root, "listings", made)
+            host_history.add(made, [day], 8)
+    with editions.change(spark, root) as made:
+        history.remove(spark, root, days[0], made)
+        host_history.take_out(made, days[0])
+    return host_history.host_versions(spark, root)
+
+
 @query("listings", """
     SELECT 'before' AS edition, snapshot_date, count(*) AS row_count FROM listings
       WHERE snapshot_date < (SELECT max(snapshot_date) FROM listings) GROUP BY snapshot_date

@@ -142,7 +142,7 @@ def host_tenure(spark, sf_dir):
     return investor.host_tenure(Star(spark, sf_dir).listings)
 
 
-@query("listings", f"""
+HOST_VERSIONS_SQL = f"""
     SELECT host_id, host_response_time, CAST(rr AS DOUBLE) AS host_response_rate,
            CAST(ar AS DOUBLE) AS host_acceptance_rate, host_is_superhost,
            snapshot_date AS valid_from, lead(snapshot_date) OVER w AS valid_to,
@@ -155,9 +155,12 @@ def host_tenure(spark, sf_dir):
                    {unknown_whole('host_response_time')} AS host_response_time,
                    {rate('host_response_rate')} AS rr, {rate('host_acceptance_rate')} AS ar,
                    CASE WHEN host_is_superhost = 't' THEN 1 ELSE 0 END AS host_is_superhost
-            FROM listings
+            FROM {{0}}
             QUALIFY row_number() OVER (PARTITION BY host_id, snapshot_date ORDER BY id) = 1))
     WHERE changed
-    WINDOW w AS (PARTITION BY host_id ORDER BY snapshot_date)""")
+    WINDOW w AS (PARTITION BY host_id ORDER BY snapshot_date)"""
+
+
+@query("listings", HOST_VERSIONS_SQL.format("listings"))
 def dim_host_scd2(spark, sf_dir):
     return investor.host_versions(Star(spark, sf_dir).listings)

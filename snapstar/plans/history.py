@@ -208,6 +208,8 @@ def append(rows: DataFrame, root: str, kind: str, change: Change | None = None)
     """
     spark = rows.sparkSession
     with editions.change(spark, root, change) as made:
+        if change is None:
+            forget_state(made)
         types = types_in_force(kind, made)
         differing = {name: t for name, t in types.items() if dict(C.ARCHIVE[kind])[name] != t}
         seen = Observation()

@@ -11,7 +11,7 @@ from snapstar.operators.median import grouped_median
 from snapstar.session import settled
 
 
-def _host_snapshots(listings: DataFrame, **measures: Column) -> DataFrame:
+def host_snapshots(listings: DataFrame, **measures: Column) -> DataFrame:
     """One row per host and snapshot: the host fields of the listing of the lowest id."""
     first = F.min(F.struct("id", *[column.alias(name) for name, column in measures.items()]))
     return listings.groupBy("host_id", "snapshot_date").agg(first.alias("_first")).select(
@@ -30,7 +30,7 @@ def superhost_transitions(listings: DataFrame) -> DataFrame:
     Works on the raw history, where an unpublished status stays unknown (it would read as
     "not a superhost" in the fact). A host's first snapshot has no step.
     """
-    steps = _host_snapshots(listings, status=F.col("host_is_superhost")).select(
+    steps = host_snapshots(listings, status=F.col("host_is_superhost")).select(
         "host_id", "snapshot_date", "status",
         _before("snapshot_date", "host_id").alias("previous_snapshot"),
         _before("status", "host_id").alias("previous_status"),
@@ -130,7 +130,7 @@ def response_rate_before_loss(listings: DataFrame) -> DataFrame:
 
     Needs the raw history, as the host dimension keeps the newest rate only.
     """
-    hosts = _host_snapshots(
+    hosts = host_snapshots(
         listings, status=F.col("host_is_superhost"),
         response_rate=clean.published_rate(F.col("host_response_rate")),
         acceptance_rate=clean.published_rate(F.col("host_acceptance_rate")),
@@ -181,20 +181,25 @@ def host_tenure(listings: DataFrame) -> DataFrame:
     )
 
 
-def host_versions(listings: DataFrame) -> DataFrame:
-    """History of a host's rates and response time: one row per unbroken stretch of values.
-
-    ``valid_to`` is the snapshot at which the next version appears, null for the current one.
-    """
-    fields = {
+def host_fields() -> dict[str, Column]:
+    """The values that make a host's version."""
+    return {
         "host_response_time": clean.or_unknown_whole(F.col("host_response_time")),
         "host_response_rate": clean.rate(F.col("host_response_rate")),
         "host_acceptance_rate": clean.rate(F.col("host_acceptance_rate")),
         "host_is_superhost": clean.flag(F.col("host_is_superhost")),
     }
+
+
+def host_versions(listings: DataFrame) -> DataFrame:
+    """History of a host's rates and response time: one row per unbroken stretch of values.
+
+    ``valid_to`` is the snapshot at which the next version appears, null for the current one.
+    """
+    fields = host_fields()
     per_host = Window.partitionBy("host_id").orderBy("snapshot_date")
     state = F.struct(*fields)
-    seen = _host_snapshots(listings, **fields).withColumn(
+    seen = host_snapshots(listings, **fields).withColumn(
         "_changed", ~state.eqNullSafe(F.lag(state).over(per_host))
     )
     starts = seen.where("_changed").drop("_changed")

@@ -16,12 +16,11 @@ them.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from snapstar.plans import dimensions as dims, editions, history
+from snapstar.plans import buckets, dimensions as dims, editions, history
 from snapstar.plans.editions import Change, Edition
 
 #: Hash buckets of each state table. Chosen for the keys expected in all, as it stays.
@@ -81,25 +80,11 @@ def read_state(spark: SparkSession, root: str, name: str, held: Edition | None =
     schema = kind.schema(held)
     if part is None:
         return spark.createDataFrame([], schema)
-    # Buckets are a property of a catalogue table; the name is needed for this one reading.
-    table = f"state_{uuid.uuid4().hex}"
-    spark.sql(
-        f"CREATE TABLE {table} ({schema}) USING parquet CLUSTERED BY (`{kind.key}`) "
-        f"SORTED BY (`{kind.key}`) INTO {part.types['buckets']} BUCKETS "
-        f"LOCATION '{root}/{part.path}'")
-    rows = spark.table(table)
-    rows.schema  # resolved: the files are known, the name is no longer needed
-    spark.sql(f"DROP TABLE {table}")
-    return rows
-
-
-def _store(made: Change, name: str, rows: DataFrame, buckets: int) -> None:
-    kind, path = KINDS[name], made.folder(_table(name))
-    table = f"state_{uuid.uuid4().hex}"
-    rows.write.bucketBy(buckets, kind.key).sortBy(kind.key).option(
-        "path", f"{made.root}/{path}").saveAsTable(table)
-    made.spark.sql(f"DROP TABLE {table}")  # external: the files stay
-    made.put(_table(name), path, types={"buckets": str(buckets)})
+    return buckets.read(spark, root, part, schema, kind.key)
+
+
+def _store(made: Change, name: str, rows: DataFrame, dealt: int) -> None:
+    buckets.write(made, _table(name), rows, KINDS[name].key, dealt)
 
 
 def _buckets(made: Change, name: str, first: int | None = None) -> int:
@@ -124,12 +109,12 @@ def _newer(left: str, right: str):
 
 def add(
     made: Change, dates: list[dt.date] | None = None, names: tuple[str, ...] = (*KINDS, "names"),
-    buckets: int | None = None,
+    first: int | None = None,
 ) -> None:
     """Merge the snapshots of ``dates`` of the change into its state (all, if none are named).
 
     The dates must be new to the state; a snapshot that is loaded again is taken out first. ``names``
-    are the kinds of state to keep, all by default; ``buckets`` counts for a first snapshot only.
+    are the kinds of state to keep, all by default; ``first`` is the number of buckets to begin with.
     """
     for name, kind in KINDS.items():
         if name not in names:
@@ -137,7 +122,7 @@ def add(
         rows = history.read_archive(made.spark, made.root, kind.archive, made)
         if dates is not None:
             rows = rows.where(F.col("snapshot_date").isin(dates))
-        dealt = _buckets(made, name, buckets)
+        dealt = _buckets(made, name, first)
         fresh = found(rows, kind).repartition(dealt, F.col(kind.key))
         if made.parts(_table(name)):
             state = read_state(made.spark, made.root, name, made)
@@ -176,11 +161,11 @@ def take_out(made: Change, date: dt.date) -> None:
     for name, kind in KINDS.items():
         if not made.parts(_table(name)):
             continue
-        state, buckets = read_state(made.spark, made.root, name, made), _buckets(made, name)
+        state, dealt = read_state(made.spark, made.root, name, made), _buckets(made, name)
         rest = history.read_archive(made.spark, made.root, kind.archive, made)
         keys = state.where(touched).select(kind.key)
         fresh = found(rest.join(keys, kind.key, "left_semi"), kind).repartition(
-            buckets, F.col(kind.key))
+            dealt, F.col(kind.key))
         other = fresh.select(F.col(kind.key).alias("_key"), F.col("newest").alias("_newest"),
                              F.col("first").alias("_first"))
         joined = state.join(other, F.col(kind.key) == F.col("_key"), "left")
@@ -188,18 +173,18 @@ def take_out(made: Change, date: dt.date) -> None:
         _store(made, name, joined.where(stays).select(
             kind.key, F.when(touched, F.col("_newest")).otherwise(F.col("newest")).alias("newest"),
             F.when(touched, F.col("_first")).otherwise(F.col("first")).alias("first"),
-        ), buckets)
+        ), dealt)
 
 
 def start(
-    spark: SparkSession, root: str, change: Change | None = None, buckets: int | None = None
+    spark: SparkSession, root: str, change: Change | None = None, first: int | None = None
 ) -> None:
     """Begin to keep state, from whatever the archives hold; also makes it anew."""
-    buckets = buckets or BUCKETS
+    dealt = first or BUCKETS
     with editions.change(spark, root, change) as made:
         for name, kind in KINDS.items():
             rows = history.read_archive(spark, root, kind.archive, made)
-            _store(made, name, found(rows, kind).repartition(buckets, F.col(kind.key)), buckets)
+            _store(made, name, found(rows, kind).repartition(dealt, F.col(kind.key)), dealt)
         made.tables.pop("state/names", None)
         _add_names(made, None)
 

@@ -10,7 +10,8 @@ from snapstar import contracts as C
 from snapstar.functions.comparison import relaxed_names
 from snapstar.operators.tallies import row_counts, stacked
 from snapstar.plans import (
-    catalogue, dimensions as dims, editions, facts, history, latest_state, profiles, quality,
+    catalogue, dimensions as dims, editions, facts, history, host_history, latest_state, profiles,
+    quality,
 )
 from snapstar.plans.editions import Change
 from snapstar.session import settled
@@ -159,8 +160,14 @@ def merge_state(made: Change, before: dict[str, set[str]]) -> None:
     if not latest_state.kept(made) or fresh & set().union(*before.values()):
         # State is begun with the first load, and anew if a date stood in one archive only.
         latest_state.start(made.spark, made.root, made)
+        host_history.start(made)
+        return
+    dates = sorted(map(dt.date.fromisoformat, fresh))
+    latest_state.add(made, dates)
+    if host_history.kept(made):
+        host_history.add(made, dates)
     else:
-        latest_state.add(made, sorted(map(dt.date.fromisoformat, fresh)))
+        host_history.start(made)
 
 
 def remove(spark: SparkSession, root: str, date: dt.date) -> None:
@@ -169,6 +176,8 @@ def remove(spark: SparkSession, root: str, date: dt.date) -> None:
         history.remove(spark, root, date, made)
         if latest_state.kept(made):
             latest_state.take_out(made, date)
+        if host_history.kept(made):
+            host_history.take_out(made, date)
 
 
 STAR = ("DimLocation", "DimRoomType", "DimPropertyType", "DimHost", "DimListings", "DimDate",
