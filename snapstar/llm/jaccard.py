@@ -41,6 +41,8 @@ BEFORE = 6
 #: Bounds of the classes that shared shingles are counted in, by their number of nodes.
 RARITY = (4, 32, 512)
 _HELD = tuple(f"held{k}" for k in range(len(RARITY) + 1))
+#: Words of 64 bits in which a node marks its shared shingles by their hash.
+_MARKS = tuple(f"marks{k}" for k in range(4))
 #: Costs of a row in the prefix and of a candidate, for the choice of l.
 ROW_COST, CANDIDATE_COST = 1.0, 4.0
 
@@ -167,17 +169,20 @@ def required(a: str = "1", b: str = "2", percent: int = PERCENT) -> Column:
 
 def shared_rows(signed: DataFrame) -> DataFrame:
     """(token, node, n, at, least) of prefix shingles that several nodes have."""
-    rows = signed.where("prefix IS NOT NULL").select(
+    # Dealt by shingle once; the extremes and the join below both read that one shuffle.
+    packed = signed.where("prefix IS NOT NULL").select(
         "node", F.expr("shiftleft(n, 32) | least").alias("size"),
-        F.posexplode("prefix").alias("at", "token"))
-    rank = F.expr("shiftleft(CAST(least(at, 32767) AS BIGINT), 48) | (node & 281474976710655)")
+        F.posexplode("prefix").alias("at", "token")
+    ).select(
+        "token", "node", F.expr("size | shiftleft(CAST(at AS BIGINT), 4)").alias("size")
+    ).repartition("token")
+    at = F.expr("CAST(shiftright(size, 4) & 268435455 AS INT)")
+    rank = F.shiftleft(F.least(at, F.lit(32767)).cast("long"), 48).bitwiseOR(
+        F.expr("node & 281474976710655"))
     # Equal ranks are the same node: of nodes at one place, 48 bits of the name tell them apart.
-    several = rows.groupBy("token").agg(
+    several = packed.groupBy("token").agg(
         F.min(rank).alias("first"), F.max(rank).alias("last")
     ).where("first < last").select("token")
-    packed = rows.select(
-        "token", "node", F.expr("size | shiftleft(CAST(at AS BIGINT), 4)").alias("size"))
-    at = F.expr("CAST(shiftright(size, 4) & 268435455 AS INT)")
     return packed.join(several, "token").select(
         "token", "node", F.shiftright("size", 32).cast("int").alias("n"), at.alias("at"),
         F.expr("CAST(size & 15 AS INT)").alias("least"))
@@ -304,9 +309,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Rows whose shingle may still link two components: with comp, place, before, held counts.
+    """Rows whose shingle may still link two components: with comp, place, before, held and marks.
 
-    held0 and on count a node's shingles that other components share, by how many nodes do; place
+    held0 and on count a node's shingles that other components share, by how many nodes do; marks0
+    and on have a bit set for each of these shingles, chosen by its hash; place
     counts those before a row's and before names the last of them. A pair cannot have more in
     common (``in_common``). A row goes if that is too little for any size of the nodes that share
     its shingle, and with the rows go shingles that are left to one component. Those are most: a
@@ -322,6 +328,10 @@ def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     rank = sum((F.col("nodes") > most).cast("int") for most in RARITY)
     kept = kept.withColumns({
         name: F.sum((rank == k).cast("int")).over(whole).cast("int") for k, name in enumerate(_HELD)
+    } | {
+        name: F.bit_or(F.expr(
+            f"IF((shiftright(token, 6) & 3) = {k}, shiftleft(1L, CAST(token & 63 AS INT)), 0L)"
+        )).over(whole) for k, name in enumerate(_MARKS)
     }).withColumns({
         "place": F.row_number().over(Window.partitionBy("node").orderBy("at")) - 1,
         "before": F.collect_list("token").over(
@@ -348,8 +358,17 @@ def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
 
 
 def in_common(a: str, b: str) -> Column:
-    """The most shingles that two nodes can share, from their counts by rarity."""
-    return sum(F.least(f"{name}{a}", f"{name}{b}") for name in _HELD)
+    """The most shingles that two nodes can share, from their counts by rarity and their marks.
+
+    Each mark that the other lacks is at least one shingle that the other lacks.
+    """
+    def marked(x: str, y: str) -> Column:
+        lacking = sum(F.bit_count(F.col(f"{name}{x}").bitwiseAND(F.bitwise_not(f"{name}{y}")))
+                      for name in _MARKS)
+        return sum(F.col(f"{name}{x}") for name in _HELD) - lacking
+
+    rarity = sum(F.least(f"{name}{a}", f"{name}{b}") for name in _HELD)
+    return F.least(rarity, marked(a, b), marked(b, a))
 
 
 def _several(rows: DataFrame) -> DataFrame:
@@ -380,7 +399,7 @@ def linked_nodes(
     open_ = _stored(open_rows(shared, comps, percent), "open")
     side = lambda s: [F.col("token")] + [
         F.col(x).alias(f"{x}{s}")
-        for x in ("node", "n", "at", "least", "comp", "place", "before", *_HELD)]
+        for x in ("node", "n", "at", "least", "comp", "place", "before", *_HELD, *_MARKS)]
     across = open_.select(*side("1")).join(open_.select(*side("2")), "token").where(
         (F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2"))
         & (in_common("1", "2") >= required(percent=percent))
