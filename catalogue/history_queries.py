@@ -16,7 +16,8 @@ from snapstar.functions import cleaning as clean
 from snapstar.functions.comparison import relaxed_names
 from snapstar.operators.tallies import row_counts, stacked
 from snapstar.plans import (
-    catalogue as tables, dimensions as dims, editions, facts, history, host_history, latest_state, load,
+    catalogue as tables, contents, dimensions as dims, editions, facts, history, host_history,
+    latest_state, load,
 )
 from snapstar.session import new_folder, settled
 from snapstar.sources import split_csv
@@ -445,3 +446,30 @@ def names_without_case(spark, sf_dir):
     keyed = facts.with_room_key(keyed, dims.dim_room_type(names["room_type"]))
     return keyed.select("id", "snapshot_date", "property_id", "room_id", clean.property_category(
         F.col("property_type")).alias("property_category"))
+
+
+@query("listings", """
+    WITH ends AS (
+      SELECT snapshot_date, min(id) AS low, max(id) AS high, count(*) AS row_count
+      FROM listings GROUP BY snapshot_date)
+    SELECT g.column_group, e.snapshot_date, e.row_count AS rows_before, e.row_count AS rows_after,
+           g.column_group <> 'listing' OR a.price IS NOT DISTINCT FROM b.price AS agrees
+    FROM ends e
+    JOIN listings a ON a.snapshot_date = e.snapshot_date AND a.id = e.low
+    JOIN listings b ON b.snapshot_date = e.snapshot_date AND b.id = e.high,
+         (VALUES ('host'), ('quotes'), ('reviews'), ('listing')) g(column_group)""")
+def contents_verified(spark, sf_dir):
+    """Kept fingerprints against an archive in which two listings of each snapshot changed prices."""
+    root, rows = new_folder(spark, "contents"), settled(inputs.listings(spark, sf_dir))
+    with editions.change(spark, root) as made:
+        history.append(rows, root, "listings", made)
+        contents.keep(made, contents.fingerprints(
+            history.read_archive(spark, root, "listings", made), "listings"))
+    ends = rows.groupBy("snapshot_date").agg(
+        F.min(F.struct("id", "price")).alias("low"), F.max(F.struct("id", "price")).alias("high"))
+    swapped = rows.join(F.broadcast(ends), "snapshot_date").withColumn(  # a row a snapshot
+        "price", F.when(F.col("id") == F.col("low.id"), F.col("high.price"))
+        .when(F.col("id") == F.col("high.id"), F.col("low.price")).otherwise(F.col("price")))
+    with editions.change(spark, root) as made:
+        history.append(swapped.drop("low", "high"), root, "listings", made)
+    return contents.verify(spark, root).drop("table_name")

@@ -10,8 +10,8 @@ from snapstar import contracts as C
 from snapstar.functions.comparison import relaxed_names
 from snapstar.operators.tallies import row_counts, stacked
 from snapstar.plans import (
-    catalogue, dimensions as dims, editions, facts, history, host_history, latest_state, profiles,
-    quality,
+    catalogue, contents, dimensions as dims, editions, facts, history, host_history, latest_state,
+    profiles, quality,
 )
 from snapstar.plans.editions import Change
 from snapstar.session import settled
@@ -44,6 +44,8 @@ def stage(
     staged = _replaced(typed, f"{root}/staging/{kind}")
     if staged.count() != read.get["rows"]:
         raise C.ContractError(f"{kind}: {read.get['rows']} rows read, {staged.count()} staged")
+    contents.check(contents.fingerprints(contents.cast_plainly(raw, staged), kind),
+                   contents.fingerprints(staged, kind), "read and staged")
     return staged, report
 
 
@@ -128,6 +130,7 @@ def load(
         )
         if not reconciled.where(~F.col("agrees")).isEmpty():
             raise C.ContractError(f"staged and archived rows differ: {reconciled.collect()}")
+        keep_contents(made, batch)
         merge_state(made, before)
     return {
         "types": stacked([
@@ -138,6 +141,21 @@ def load(
     }
 
 
+def keep_contents(made: Change, batch: dict[str, DataFrame]) -> None:
+    """Compare what was to be archived with what the archives hold now, and keep the fingerprints.
+
+    Only the snapshots of ``batch`` are read.
+    """
+    for kind, rows in batch.items():
+        wanted = settled(contents.fingerprints(
+            history.conform(rows, kind, history.types_in_force(kind, made)), kind))
+        dates = [r.snapshot_date for r in wanted.select("snapshot_date").distinct().collect()]
+        held = history.read_archive(made.spark, made.root, kind, made)
+        contents.check(wanted, contents.fingerprints(
+            held.where(F.col("snapshot_date").isin(dates)), kind), "staged and archived")
+        contents.keep(made, wanted)
+
+
 def match_names(spark: SparkSession, root: str, without_case: bool) -> None:
     """Choose whether names of a warehouse match without case and trailing blanks, or exactly."""
     with editions.change(spark, root) as made:
@@ -174,6 +192,8 @@ def remove(spark: SparkSession, root: str, date: dt.date) -> None:
     """Take one snapshot out of archives and state together; refresh the star schema afterwards."""
     with editions.change(spark, root) as made:
         history.remove(spark, root, date, made)
+        for kind in ("listings", "reviews"):
+            contents.take_out(made, kind, date)
         if latest_state.kept(made):
             latest_state.take_out(made, date)
         if host_history.kept(made):
