@@ -1,4 +1,4 @@
-"""Labelled samples for classifiers that are fitted on the driver."""
+"""Labelled rows for classifiers."""
 
 from __future__ import annotations
 
@@ -52,6 +52,24 @@ def labelled_sample(
     )
 
 
+def labelled(rows: DataFrame, labels: DataFrame, label: str, key: str = "doc_id") -> DataFrame:
+    """All training rows of ``rows`` (by ``_key``), with their ``_label``.
+
+    Training rows are those whose fold is not 0; labels other than 0 and 1 and null keys do not
+    count, and of repeated labels of a key the larger holds.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).where(
+        fold(F.col(key), HELD_OUT_FOLDS) != 0
+    ).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_label"))
+    return rows.join(known, "_key")
+
+
+def summed(parts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Cells and total values of the partial sums (cell, value) that tasks made."""
+    total = parts.groupBy("cell").agg(F.sum("value").alias("value")).toArrow()
+    return total["cell"].to_numpy(), total["value"].to_numpy()
+
+
 def scored(docs: DataFrame, score, threshold: float, key: str = "doc_id", text: str = "text"):
     """(key, held_out, score, predicted) for every row of ``docs``."""
     return docs.select(
