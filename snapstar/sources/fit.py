@@ -112,15 +112,19 @@ def strict(column: str, kind: str) -> str:
     """
     text = f"`{column}`"
     if kind in WHOLE_TYPES:
+        # Plain digits need no decimal; other spellings of whole numbers (5.0, 1e3) do. The plain
+        # cast would strip a delete character, which is no blank.
         number = f"try_cast(trim({text}) as decimal(38,6))"
-        value = f"if({number} % 1 = 0, try_cast({number} as {kind}), null)"
+        value = (f"coalesce(if(contains({text}, chr(127)), null, try_cast({text} as {kind})), "
+                 f"if({number} % 1 = 0, try_cast({number} as {kind}), null))")
     elif kind == "date":
         value = ", ".join(f"try_to_date({text}, '{f}')" for f in C.QUOTE_DATE_FORMATS)
         value = f"coalesce({value})"
     else:
         value = f"try_cast(trim({text}) as {kind})"
     message = f"'{column} cannot hold ' || {text} || ' as {kind}'"
-    return f"if({text} is not null and {value} is null, raise_error({message}), {value})"
+    # The value is written once, so it is computed once.
+    return f"coalesce({value}, if({text} is null, null, raise_error({message})))"
 
 
 def typed(raw: DataFrame, kind: str, report: DataFrame) -> DataFrame:
