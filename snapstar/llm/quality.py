@@ -4,8 +4,9 @@ Each pair of a good and a bad labelled document is a comparison that the good on
 probability is the logistic of the difference of their scores, and scores are linear in features
 of the text. Fitting minimises the logistic loss of feature differences by Newton steps, over all
 pairs of all labelled training rows. Pairs are never listed: a smooth function of a difference of
-two scores is interpolated from scores on a grid (error below 1e-7), so the sums over pairs follow
-from sums per grid point, one for each class. The decision is a quantile of the scores of all
+two scores is interpolated from scores on a grid (measured error of a pair's loss and slope below
+1e-7, of its curvature, which only sets the steps, 3e-7), so the sums over pairs follow from sums per
+grid point, one for each class. The decision is a quantile of the scores of all
 training rows: the share of bad rows among the training labels is rejected. The published score
 is the logistic of the distance to that quantile, moved so that the quantile itself falls on
 ``THRESHOLD``.
