@@ -9,6 +9,9 @@ model's own segmentation (a prefix of a merge segmentation is the segmentation o
 So the walk gives the ids of the published model, whose scores are merge ranks and no
 probabilities; a plain sum of them would not.
 
+Many words are walked together, a letter of all of them at a time and each shared prefix once, in
+numpy arrays (``sweep``); few words, and words longer than ``WIDE`` letters, singly (``walk``).
+
 Vocabulary files are read on the driver and shipped to the tasks; only identity-normalised models
 with byte fallback and a leading blank are taken. No word leaves its task: nothing is shuffled.
 """
@@ -32,10 +35,56 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Bounds of what a task keeps: letters of texts walked together, words and pairs remembered.
 LETTERS, KEPT = 4_000_000, 250_000
+#: Words that are swept together, the longest of them, and how many make a sweep worth while.
+SWEPT, WIDE, FEW = 100_000, 48, 2_000
 # Blanks belong to the word behind them; line ends are words of their own in most models.
 _WORD = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+#: The model that this process has used last.
+_LIVING: list[Model] = []
+
+
+class Table:
+    """An exact map of non-negative 64-bit keys to 32-bit numbers, looked up in arrays."""
+
+    def __init__(self, bits: int):
+        self.bits, self.used = bits, 0
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.zeros(1 << bits, np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of ``keys``; -1 where there is none."""
+        slots = self._slots(keys)
+        held = self.keys[slots]
+        out = np.where(held == keys, self.values[slots], np.int32(-1))
+        rest = np.flatnonzero((held != keys) & (held != -1))
+        slots = slots[rest]
+        while len(rest):
+            slots = slots + 1 & (1 << self.bits) - 1
+            held = self.keys[slots]
+            hit = held == keys[rest]
+            out[rest[hit]] = self.values[slots[hit]]
+            on = ~hit & (held != -1)
+            rest, slots = rest[on], slots[on]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Enter distinct ``keys`` that are not there; the table must stay half empty."""
+        self.used += len(keys)
+        slots = self._slots(keys)
+        while len(keys):
+            free = self.keys[slots] == -1
+            self.keys[slots[free]] = keys[free]  # of keys that meet at a slot, one stays
+            on = self.keys[slots] != keys
+            self.values[slots[~on]] = values[~on]
+            keys, values, slots = keys[on], values[on], slots[on] + 1 & (1 << self.bits) - 1
+
+
 @dataclass
 class Model:
     """Pieces by id, their scores, and what special ids mean."""
@@ -46,12 +95,25 @@ class Model:
     byte_of: dict[int, int]
     unknown: int
     #: What has been found out so far, for the life of a task's process.
-    pairs: dict[int, bool] = field(default_factory=dict)
-    known: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    pairs: dict[int, bool] = field(default_factory=dict, compare=False)
+    known: dict[str, int] = field(default_factory=dict, compare=False)
+
+    def __post_init__(self):
+        # Ids of the known words behind one another, and where each word's ids end.
+        self.forget()
 
     def __getstate__(self):
-        named = ("pieces", "scores", "normal", "byte_of", "unknown")
-        return {k: self.__dict__[k] for k in named} | {"pairs": {}, "known": {}}
+        return {k: self.__dict__[k] for k in ("pieces", "scores", "normal", "byte_of", "unknown")}
+
+    def __setstate__(self, state):
+        self.__init__(**state)
+
+    @property
+    def living(self) -> Model:
+        """An equal model with what this process has found out in earlier tasks."""
+        if not _LIVING or _LIVING[0] != self:
+            _LIVING[:] = [self]
+        return _LIVING[0]
 
     @cached_property
     def ids(self) -> dict[str, int]:
@@ -65,6 +127,28 @@ class Model:
             found.setdefault(piece[-2:], set()).add(len(piece))
         return {end: sorted(sizes, reverse=True) for end, sizes in found.items()}
 
+    @cached_property
+    def endings(self) -> tuple[Table, np.ndarray, int]:
+        """The tree of the pieces read backwards: edges (node << 21 | letter), pieces of nodes, depth."""
+        edges: dict[int, int] = {}
+        at_node = [-1]
+        for piece, k in self.ids.items():
+            node = 0
+            for letter in reversed(piece):
+                edge = node << 21 | ord(letter)
+                node = edges.setdefault(edge, len(at_node))
+                if node == len(at_node):
+                    at_node.append(-1)
+            at_node[node] = k
+        out = Table(max(4, (8 * len(edges)).bit_length()))
+        out.add(np.array([*edges], np.int64), np.array([*edges.values()], np.int32))
+        return out, np.array(at_node, np.int32), max(map(len, self.ids), default=0)
+
+    @cached_property
+    def tested(self) -> Table:
+        """Answers of ``follows`` by before + 1 << 32 | piece."""
+        return Table(KEPT.bit_length() + 2)
+
     @cached_property
     def id_of_byte(self) -> dict[int, int]:
         return {byte: k for k, byte in self.byte_of.items()}
@@ -125,18 +209,111 @@ class Model:
             previous = word
             yield word, tuple(reversed(out))
 
+    def finite(self, keys: np.ndarray) -> np.ndarray:
+        """Whether transitions (before + 1 << 32 | piece) are finite."""
+        found = self.tested.find(keys)
+        if (found < 0).any():
+            new = np.unique(keys[found < 0])
+            values = np.array(
+                [self.follows((key >> 32) - 1, key & 0xFFFFFFFF) for key in new.tolist()], np.int32)
+            found[found < 0] = values[np.searchsorted(new, keys[found < 0])]
+            if self.tested.used + len(new) > 2 * KEPT:
+                del self.tested
+            self.tested.add(new[:2 * KEPT], values[:2 * KEPT])
+        return found > 0
+
+    def sweep(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids behind one another, how many of each word) of many sorted distinct words."""
+        edges, at_node, deepest = self.endings
+        letters = np.frombuffer(
+            "".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        begins = np.cumsum(sizes) - sizes
+        # State of the prefix that ends at a letter: its last piece, and that piece's length.
+        last, size = np.empty(len(letters), np.int32), np.ones(len(letters), np.int8)
+        row = np.arange(len(words))
+        same = row > 0  # as far as the word before, up to this letter
+        for end in range(1, int(sizes.max(initial=0)) + 1):
+            row = row[sizes[row] >= end]
+            same[row] &= sizes[row - 1] >= end
+            like = row[same[row]]
+            same[like] = letters[begins[like] + end - 1] == letters[begins[like - 1] + end - 1]
+            fresh = ~same[row]
+            at = begins[row[fresh]] + end - 1
+            node, on, ending = np.zeros(len(at), np.int64), np.arange(len(at)), []
+            for length in range(1, min(end, deepest) + 1):
+                node = edges.find(node << 21 | letters[at[on] - length + 1]).astype(np.int64)
+                on, node = on[node > 0], node[node > 0]
+                piece = at_node[node]
+                ending.append((on[piece >= 0], piece[piece >= 0]))
+                if not len(on):
+                    break
+            piece, long = np.full(len(at), -1, np.int32), np.ones(len(at), np.int8)
+            open_ = np.ones(len(at), bool)
+            for length in range(len(ending), 1, -1):
+                of, k = ending[length - 1]
+                of, k = of[open_[of]], k[open_[of]]
+                if not len(of):
+                    continue
+                before = last[at[of] - length] if length < end else np.full(len(of), -1)
+                right = self.finite(before.astype(np.int64) + 1 << 32 | k)
+                of = of[right]
+                piece[of], long[of], open_[of] = k[right], length, False
+            if ending:
+                of, k = ending[0]
+                piece[of[open_[of]]] = k[open_[of]]
+            shared = np.cumsum(fresh) - 1
+            last[begins[row] + end - 1], size[begins[row] + end - 1] = piece[shared], long[shared]
+        # From the ends of the words back over the pieces of their best paths.
+        taken, row, at = np.zeros(len(letters), bool), np.arange(len(words)), sizes.copy()
+        while len(row):
+            here = begins[row] + at - 1
+            taken[here] = True
+            at = at - size[here]
+            row, at = row[at > 0], at[at > 0]
+        here = np.flatnonzero(taken)
+        ids, n = last[here], np.ones(len(here), np.int64)
+        raw = [chr(k).encode("utf-8", "surrogatepass") for k in letters[here[ids < 0]].tolist()]
+        n[ids < 0] = [len(some) for some in raw]
+        ids = np.repeat(ids, n)
+        ids[ids < 0] = [self.id_of_byte.get(byte, self.unknown) for byte in b"".join(raw)]
+        of_letter = np.zeros(len(letters), np.int64)
+        of_letter[here] = n
+        return ids, np.add.reduceat(of_letter, begins)
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.ids_known, self.ends_known = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def learn(self, words: list[str]) -> None:
+        """Find and remember the ids of sorted distinct words that are not known."""
+        short = [word for word in words if len(word) <= WIDE]
+        short = short if len(short) >= FEW else []
+        order = short + (words if not short else [word for word in words if len(word) > WIDE])
+        found = [self.sweep(short[k:k + SWEPT]) for k in range(0, len(short), SWEPT)]
+        rest = [ids for _, ids in self.walk(order[len(short):])]
+        found.append((np.fromiter(chain.from_iterable(rest), np.int32),
+                      np.fromiter(map(len, rest), np.int64, len(rest))))
+        first = len(self.known)
+        self.known.update(zip(order, range(first, first + len(order))))
+        self.ids_known = np.concatenate([self.ids_known, *(ids for ids, _ in found)])
+        n = np.concatenate([n for _, n in found])
+        self.ends_known = np.concatenate([self.ends_known, self.ends_known[-1] + np.cumsum(n)])
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts behind one another, where each text's ids end)."""
         batch = [_WORD.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
         if len(self.known) > KEPT:
-            self.known.clear()
-        self.known.update(self.walk(sorted(set().union(*batch).difference(self.known))))
-        known = self.known.__getitem__
-        ids, ends = [], []
-        for words in batch:
-            ids += chain.from_iterable(map(known, words))
-            ends.append(len(ids))
-        return np.array(ids, np.int32), np.array(ends, np.int64)
+            self.forget()
+        self.learn(sorted(set().union(*batch).difference(self.known)))
+        sizes = np.cumsum([0, *map(len, batch)])
+        words = np.fromiter(
+            map(self.known.__getitem__, chain.from_iterable(batch)), np.int64, sizes[-1])
+        begins = self.ends_known[words]
+        n = self.ends_known[words + 1] - begins
+        ends = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(begins - ends[:-1], n) + np.arange(ends[-1])
+        return self.ids_known[at], ends[sizes[1:]]
 
     @cached_property
     def shown(self) -> tuple[np.ndarray, list[str]]:
@@ -198,13 +375,14 @@ def slices(texts: list[str | None]) -> Iterator[slice]:
 
 def _encoder(model: Model):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        living = model.living
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for part in slices(texts):
-                ids, ends = model.encode(texts[part])
+                ids, ends = living.encode(texts[part])
                 starts = np.concatenate([[0], ends])
                 back = [
-                    model.decode(ids[a:b]) == (text or "")
+                    living.decode(ids[a:b]) == (text or "")
                     for text, a, b in zip(texts[part], starts, ends)
                 ]
                 yield pa.RecordBatch.from_arrays([
