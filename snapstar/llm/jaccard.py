@@ -41,8 +41,8 @@ BEFORE = 6
 #: Bounds of the classes that shared shingles are counted in, by their number of nodes.
 RARITY = (4, 32, 512)
 _HELD = tuple(f"held{k}" for k in range(len(RARITY) + 1))
-#: Words of 64 bits in which a node marks its shared shingles by their hash.
-_MARKS = tuple(f"marks{k}" for k in range(4))
+#: Words of 64 bits in which a whole set marks its shingles (a power of two).
+SIEVE = 64
 #: Costs of a row in the prefix and of a candidate, for the choice of l.
 ROW_COST, CANDIDATE_COST = 1.0, 4.0
 
@@ -167,6 +167,17 @@ def required(a: str = "1", b: str = "2", percent: int = PERCENT) -> Column:
     return both - F.greatest(up(n.cast("long"), 100) - k, up(m.cast("long"), 100) - l)
 
 
+#: n, at and least of a row in one number, as they are dealt.
+_PACKED = "shiftleft(CAST(n AS BIGINT), 32) | shiftleft(CAST(at AS BIGINT), 4) | least"
+
+
+def _unpacked(node: str, size: str, side: str) -> list[Column]:
+    at = F.shiftright(size, 4).bitwiseAND(F.lit((1 << 28) - 1)).cast("int")
+    return [
+        F.col(node).alias(f"node{side}"), F.shiftright(size, 32).cast("int").alias(f"n{side}"),
+        at.alias(f"at{side}"), F.col(size).bitwiseAND(F.lit(15)).cast("int").alias(f"least{side}")]
+
+
 def shared_rows(signed: DataFrame) -> DataFrame:
     """(token, node, n, at, least) of prefix shingles that several nodes have."""
     # Dealt by shingle once; the extremes and the join below both read that one shuffle.
@@ -189,18 +200,23 @@ def shared_rows(signed: DataFrame) -> DataFrame:
 
 
 def with_pivots(shared: DataFrame) -> DataFrame:
-    """The rows and whether their node is the shingle's pivot: that with most shared shingles.
+    """(token, node2, n2, ..., node1, n1, ...): the rows, each with its shingle's pivot as 1.
 
-    Of copies with edits, the one nearest to the others has lost fewest; it is the pivot of all
-    shingles it has, so a member meets few pivots.
+    The pivot is the node with most shared shingles. Of copies with edits, the one nearest to the
+    others has lost fewest; it is the pivot of all shingles it has, so a member meets few pivots.
     """
-    score = F.expr("shiftleft(held, 48) | (node & 281474976710655)")
-    # A window over one node holds no more than its own prefix.
-    rows = shared.withColumn("held", F.count("*").over(Window.partitionBy("node"))).withColumn(
-        "score", score).drop("held")
-    top = rows.groupBy("token").agg(F.max("score").alias("top"))
-    return rows.join(top, "token").withColumn("pivot", F.col("score") == F.col("top")).drop(
-        "score", "top")
+    # A window over one node holds no more than its own prefix. Its rows are dealt by shingle once,
+    # for the maximum and for the join: both read all columns, and none is null, or the join would
+    # filter nulls first and be dealt apart.
+    rows = shared.withColumn("held", F.count("*").over(Window.partitionBy("node"))).select(
+        "token", "held", F.coalesce("node", F.lit(0)).alias("node"),
+        F.coalesce(F.expr(_PACKED), F.lit(0)).alias("size"),
+    ).select(
+        "token", "node", "size", F.expr("shiftleft(held, 48) | (node & 281474976710655)").alias("score")
+    ).repartition("token")
+    top = rows.groupBy("token").agg(F.max(F.struct("score", "node", "size")).alias("top"))
+    return rows.join(top, "token").where(F.col("score") <= F.col("top.score")).select(
+        "token", *_unpacked("node", "size", "2"), *_unpacked("top.node", "top.size", "1"))
 
 
 def counted(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -229,21 +245,51 @@ def _bloom(keys: DataFrame, key: str) -> np.ndarray:
     return out
 
 
+def drawn(held: np.ndarray) -> np.ndarray:
+    """``SIEVE`` words of 64 bits in which each shingle of a set marks one bit by its hash."""
+    out = np.zeros(SIEVE * 64, bool)
+    out[(held & np.uint64(SIEVE * 64 - 1)).astype(np.int64)] = True
+    return np.packbits(out).view(np.int64)
+
+
+def sieved(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can be similar enough by the sizes and bits of their sets.
+
+    A bit that the other lacks is at least one shingle that the other lacks, so no link is lost.
+    """
+    one, two = (whole.select(
+        F.col("node").alias(name), F.size("held").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"),
+    ) for k, name in ((1, "a"), (2, "b")))
+
+    def common(x: str, y: str) -> Column:
+        lacking = F.zip_with(f"bits{x}", f"bits{y}", lambda i, j: F.bit_count(
+            i.bitwiseAND(F.bitwise_not(j))))
+        return F.col(f"n{x}") - F.aggregate(lacking, F.lit(0), lambda total, i: total + i)
+
+    return pairs.join(one, "a").join(two, "b").where(
+        F.least(common("1", "2"), common("2", "1")) * (100 + percent)
+        >= percent * (F.col("n1") + F.col("n2"))).select("a", "b")
+
+
 def verified(
     pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str,
-    width: int, percent: int,
+    width: int, percent: int, doubtful: bool = False,
 ) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough. nodes: (node, first key)."""
+    """The pairs (a, b) whose sets are similar enough. nodes: (node, first key).
+
+    Most of ``doubtful`` pairs are not; they meet the small ``bits`` of their sets first, so that few
+    whole sets travel.
+    """
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     asked = _stored(asked.join(nodes, "node"), "asked")
-    bits = _bloom(asked, "first")
+    bloom = _bloom(asked, "first")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             at = batch.column(0).to_numpy(zero_copy_only=False)
-            some = np.flatnonzero(bits[at >> 5] >> (at & 31) & 1)
-            names, held = [], []
+            some = np.flatnonzero(bloom[at >> 5] >> (at & 31) & 1)
+            names, held, bits = [], [], []
             for k in some.tolist():
                 own = shingle_set(batch.column(1)[k].as_py(), width)
                 node = node_of(own)
@@ -251,21 +297,28 @@ def verified(
                     seen.add(node)
                     names.append(node)
                     held.append(own.view(np.int64))
+                    bits.append(drawn(own) if doubtful else None)
                 if len(names) == 500:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(names, pa.int64()), pa.array(held, pa.list_(pa.int64()))],
-                        names=["node", "held"])
-                    names, held = [], []
+                    yield sets_of(names, held, bits)
+                    names, held, bits = [], [], []
             if len(seen) > 1_000_000:
                 seen.clear()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(held, pa.list_(pa.int64()))],
-                names=["node", "held"])
+            yield sets_of(names, held, bits)
+
+    def sets_of(names: list, held: list, bits: list) -> pa.RecordBatch:
+        kind = pa.list_(pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.int64()), pa.array(held, kind), pa.array(bits, kind)],
+            names=["node", "held", "bits"])
 
     whole = docs.select(
         F.pmod(F.xxhash64(key), F.lit(1 << BLOOM_BITS)).alias("at"), F.col(text).alias("text")
-    ).mapInArrow(sets, "node long, held array<long>").join(asked.select("node"), "node")
+    ).mapInArrow(sets, "node long, held array<long>, bits array<long>").join(asked.select("node"), "node")
     whole = _stored(whole, "sets")
+    if doubtful:
+        pairs = _stored(sieved(pairs, whole, percent), "sieved")
+        likely = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        whole = whole.join(likely, "node", "left_semi")
 
     both = F.size(F.array_intersect("one", "two"))
     union = F.size("one") + F.size("two") - both
@@ -309,10 +362,9 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Rows whose shingle may still link two components: with comp, place, before, held and marks.
+    """Rows whose shingle may still link two components: with comp, place, before and held.
 
-    held0 and on count a node's shingles that other components share, by how many nodes do; marks0
-    and on have a bit set for each of these shingles, chosen by its hash; place
+    held0 and on count a node's shingles that other components share, by how many nodes do; place
     counts those before a row's and before names the last of them. A pair cannot have more in
     common (``in_common``). A row goes if that is too little for any size of the nodes that share
     its shingle, and with the rows go shingles that are left to one component. Those are most: a
@@ -320,18 +372,18 @@ def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     has lost too many of its shingles to link with anything but its nearest kin. No row of a pair
     that links can go.
     """
-    placed = shared.select("token", "node", "n", "at", "least").join(comps, "node", "left").withColumn(
-        "comp", F.coalesce("comp", "node"))
-    kept = placed.join(_several(placed), "token")
+    # Twice the rows are dealt by shingle, each time once for the extremes and the join; both read
+    # all columns, or they would be dealt apart.
+    placed = shared.join(comps, "node", "left").select(
+        "token", "node", F.coalesce("comp", "node").alias("comp"), F.expr(_PACKED).alias("size")
+    ).repartition("token")
+    kept = placed.join(_several(placed), "token").select(
+        "token", *_unpacked("node", "size", ""), "comp", "low", "high", "nodes")
     # Windows over one node hold no more than its own prefix.
     whole = Window.partitionBy("node")
     rank = sum((F.col("nodes") > most).cast("int") for most in RARITY)
     kept = kept.withColumns({
         name: F.sum((rank == k).cast("int")).over(whole).cast("int") for k, name in enumerate(_HELD)
-    } | {
-        name: F.bit_or(F.expr(
-            f"IF((shiftright(token, 6) & 3) = {k}, shiftleft(1L, CAST(token & 63 AS INT)), 0L)"
-        )).over(whole) for k, name in enumerate(_MARKS)
     }).withColumns({
         "place": F.row_number().over(Window.partitionBy("node").orderBy("at")) - 1,
         "before": F.collect_list("token").over(
@@ -353,29 +405,25 @@ def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     kept = kept.where(
         (((least <= n) & enough(least)) | ((most >= n) & enough(most)))
         & (n - F.col("at") + F.col("place") >= up(n + least, 100 + percent))
-    ).drop("low", "high", "nodes")
-    return kept.join(_several(kept).select("token"), "token")
+    ).drop("low", "high", "nodes").repartition("token")
+    rest = [name for name in kept.columns if name not in ("token", "comp")]
+    several = kept.groupBy("token").agg(
+        F.min("comp").alias("c"), F.max(F.struct("comp", *rest)).alias("d"),
+    ).where("c < d.comp").select("token")
+    return kept.join(several, "token")
 
 
 def in_common(a: str, b: str) -> Column:
-    """The most shingles that two nodes can share, from their counts by rarity and their marks.
-
-    Each mark that the other lacks is at least one shingle that the other lacks.
-    """
-    def marked(x: str, y: str) -> Column:
-        lacking = sum(F.bit_count(F.col(f"{name}{x}").bitwiseAND(F.bitwise_not(f"{name}{y}")))
-                      for name in _MARKS)
-        return sum(F.col(f"{name}{x}") for name in _HELD) - lacking
-
-    rarity = sum(F.least(f"{name}{a}", f"{name}{b}") for name in _HELD)
-    return F.least(rarity, marked(a, b), marked(b, a))
+    """The most shingles that two nodes can share, from their counts by rarity."""
+    return sum(F.least(f"{name}{a}", f"{name}{b}") for name in _HELD)
 
 
 def _several(rows: DataFrame) -> DataFrame:
     """(token, low, high) of shingles in several components, with the sizes of their nodes."""
     return rows.groupBy("token").agg(
         F.min("comp").alias("c"), F.max("comp").alias("d"),
-        F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("nodes"),
+        F.shiftright(F.min("size"), 32).alias("low"), F.shiftright(F.max("size"), 32).alias("high"),
+        F.count("node").alias("nodes"),
     ).where("c < d").select("token", "low", "high", "nodes")
 
 
@@ -385,12 +433,8 @@ def linked_nodes(
     """(links, components) between nodes."""
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("first"))
     shared = _stored(shared_rows(signed).distinct(), "shared")
-    side = lambda s: [F.col("token"), F.col("at").alias(f"place{s}")] + [
-        F.col(x).alias(f"{x}{s}") for x in ("node", "n", "at", "least")]
-    rows = _stored(with_pivots(shared), "pivots")
-    pivots = rows.where("pivot").select(*side("1"))
-    first = rows.where("NOT pivot").select(*side("2")).join(pivots, "token").where(
-        possible("1", "2", percent) & (F.col("node1") != F.col("node2")))
+    first = with_pivots(shared).withColumns({"place1": F.col("at1"), "place2": F.col("at2")}).where(
+        (F.col("node1") != F.col("node2")) & possible("1", "2", percent))
     tried = _stored(counted(first.select(
         F.col("node1").alias("a"), F.col("node2").alias("b")).distinct(), shared, percent
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
@@ -399,7 +443,7 @@ def linked_nodes(
     open_ = _stored(open_rows(shared, comps, percent), "open")
     side = lambda s: [F.col("token")] + [
         F.col(x).alias(f"{x}{s}")
-        for x in ("node", "n", "at", "least", "comp", "place", "before", *_HELD, *_MARKS)]
+        for x in ("node", "n", "at", "least", "comp", "place", "before", *_HELD)]
     across = open_.select(*side("1")).join(open_.select(*side("2")), "token").where(
         (F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2"))
         & (in_common("1", "2") >= required(percent=percent))
@@ -408,7 +452,8 @@ def linked_nodes(
         & ~F.arrays_overlap("before1", "before2"))
     met = across.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
     more = counted(met, open_, percent).join(tried, ["a", "b"], "left_anti")
-    more = verified(_stored(more, "pairs"), nodes, docs, key, text, width, percent)
+    more = verified(
+        _stored(more, "pairs"), nodes, docs, key, text, width, percent, doubtful=True)
     links = _stored(links.unionByName(more), "found")
     return links, components(links)
 
