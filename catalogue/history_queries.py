@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -219,13 +220,23 @@ def quarterly_load(spark, sf_dir):
 
 # --- editions and stored state -------------------------------------------------------------------
 
+def _archived(rows: DataFrame, root: str, kind: str) -> list[dt.date]:
+    """The dates of ``rows``, in order, whose snapshots are now the archive; the rows are made once."""
+    history.append(rows, root, kind)
+    held = editions.edition(rows.sparkSession, root)
+    return sorted(dt.date.fromisoformat(day) for day in held.parts(f"history/{kind}"))
+
+
+def _late(days: list[dt.date]) -> list[dt.date]:
+    """Every second date, then those between them, which so come late."""
+    return days[1::2] + days[0::2]
+
+
 def _stepwise(spark: SparkSession, rows: DataFrame, kind: str, name: str) -> str:
-    """An archive and its state, loaded one snapshot at a time, late ones among them."""
-    root, rows = new_folder(spark, "stepwise"), settled(rows)
-    days = sorted(r[0] for r in rows.select("snapshot_date").distinct().collect())
-    for day in days[1::2] + days[0::2]:
+    """An archive, and its state merged with one snapshot at a time, late ones among them."""
+    root = new_folder(spark, "stepwise")
+    for day in _late(_archived(rows, root, kind)):
         with editions.change(spark, root) as made:
-            history.append(rows.where(F.col("snapshot_date") == F.lit(day)), root, kind, made)
             latest_state.add(made, [day], names=(name,), first=8)
     return root
 
@@ -271,11 +282,10 @@ _LEFT = "(SELECT * FROM listings WHERE snapshot_date <> (SELECT min(snapshot_dat
 @query("listings", HOST_VERSIONS_SQL.format(_LEFT))
 def state_host_versions_after_removal(spark, sf_dir):
     """Host versions from intervals: late snapshots split them, the first of all was taken out."""
-    root, rows = new_folder(spark, "intervals"), settled(inputs.listings(spark, sf_dir))
-    days = sorted(r[0] for r in rows.select("snapshot_date").distinct().collect())
-    for day in days[1::2] + days[0::2]:
+    root = new_folder(spark, "intervals")
+    days = _archived(inputs.listings(spark, sf_dir), root, "listings")
+    for day in _late(days):
         with editions.change(spark, root) as made:
-            history.append(rows.where(F.col("snapshot_date") == F.lit(day)), root, "listings", made)
             host_history.add(made, [day], 8)
     with editions.change(spark, root) as made:
         history.remove(spark, root, days[0], made)

@@ -10,7 +10,7 @@ neighbourhood, and some listings name one that the reference list lacks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 # Column -> rule over a sighting: id, host_id, k (order key), y (year), amount, kind (first
 # character of the priority), c_name, c_mktsegment, n_name; n_all, n_1, n_2, n_3 are counts of
@@ -164,12 +164,14 @@ def _sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listings archive: one row per listing and yearly snapshot, 1995 to 2001."""
-    base = _sightings(spark, sf_dir)
-    per_host = base.groupBy(F.col("host_id").alias("_host"), F.col("y").alias("_y")).agg(
-        F.count("*").cast("int").alias("n_all"),
-        *[F.expr(f"cast(count_if(kind = '{d}') as int)").alias(f"n_{d}") for d in "123"],
-    )
-    rows = base.join(per_host, F.expr("host_id = _host and y = _y"), "left")
+    # A window over a host's sightings in a year, so that the sightings are made once.
+    per_host = Window.partitionBy("host_id", "y")
+    counts = {"n_all": F.count("*"), **{
+        f"n_{d}": F.count_if(F.col("kind") == d) for d in "123"}}
+    # A sighting without a year belongs to no year's count.
+    rows = _sightings(spark, sf_dir).withColumns({
+        name: F.when(F.col("y").isNotNull(), count.over(per_host).cast("int"))
+        for name, count in counts.items()})
     return rows.selectExpr(*[f"{rule} as {name}" for name, rule in _LISTING_RULES.items()])
 
 

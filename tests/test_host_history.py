@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from catalogue import history_queries, inputs
 from rows import DAY1, listings
 from snapstar.plans import editions, history, host_history, investor, latest_state
 
@@ -104,3 +105,18 @@ def test_an_append_outside_a_load_leaves_no_stale_state(spark, tmp_path):
     add(spark, root, one_host(spark, DAY1, "t"))
     history.append(one_host(spark, dt.date(2024, 5, 1), "f")[1], root, "listings")
     assert not host_history.kept(editions.edition(spark, root))
+
+
+def test_snapshots_are_derived_once_and_merged_one_by_one(spark, monkeypatch):
+    sf_dir = "/root/testdata/sf0.001"
+    plan = inputs.listings(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line and "o_custkey" in line]
+    assert len(scans) == 1
+    written, merged = [], []
+    append, add_ = history.append, host_history.add
+    monkeypatch.setattr(history, "append", lambda rows, *args: written.append(1) or append(rows, *args))
+    monkeypatch.setattr(
+        host_history, "add", lambda made, days, *args: merged.append(days) or add_(made, days, *args))
+    history_queries.state_host_versions_after_removal(spark, sf_dir)
+    days = sorted(day for one in merged for day in one)
+    assert len(written) == 1 and merged == [[day] for day in days[1::2] + days[0::2]] and len(days) == 7
