@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from snapstar.llm.text import WORD, mixed, shingles, table, word_hashes
-from snapstar.session import new_folder
+from snapstar.session import new_folder, small_batches
 
 WIDTH, PERCENT = 5, 75
 SKETCH_BITS, BLOOM_BITS = 18, 24
@@ -78,8 +78,10 @@ def sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(
             [pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])
 
-    rows = docs.select(text).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(
-        F.sum("n").alias("n")).toArrow()  # one row a bucket at most
+    counts = docs.select(text).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(
+        F.sum("n").alias("n"))
+    with small_batches(docs.sparkSession):
+        rows = counts.toArrow()  # one row a bucket at most
     out = np.zeros(1 << SKETCH_BITS)
     out[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return out
@@ -139,7 +141,8 @@ def _signer(frequent: np.ndarray, width: int, percent: int):
 def _stored(rows: DataFrame, purpose: str) -> DataFrame:
     """``rows`` written to the shared folder and read again; survives any executor."""
     folder = new_folder(rows.sparkSession, purpose)
-    rows.write.parquet(folder)
+    with small_batches(rows.sparkSession):
+        rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 

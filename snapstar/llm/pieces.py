@@ -33,10 +33,11 @@ from snapstar.llm.text import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Bounds of what a task keeps: letters of texts walked together, words and pairs remembered.
-LETTERS, KEPT = 4_000_000, 250_000
+#: Bounds of what a task keeps: letters of texts walked together, words and pairs remembered. A process
+#: that has been through other operators holds their memory too, so these are a small part of a worker's.
+LETTERS, KEPT = 1_000_000, 250_000
 #: Words that are swept together, the longest of them, and how many make a sweep worth while.
-SWEPT, WIDE, FEW = 100_000, 48, 2_000
+SWEPT, WIDE, FEW = 50_000, 48, 2_000
 # Blanks belong to the word behind them; line ends are words of their own in most models.
 _WORD = re.compile(rf"{MARK}*[^{MARK}]+|{MARK}+")
 
@@ -169,11 +170,14 @@ class Model:
 
     def follows(self, before: int, piece: int) -> bool:
         """Whether the transition to a piece is finite; -1 before it is a loose letter or the start."""
+        parts = [self.pieces[before]] * (before >= 0) + [self.pieces[piece]]
+        return self.merged("".join(parts)) == parts
+
+    def followed(self, before: int, piece: int) -> bool:
+        """``follows``, remembered in ``pairs``; arrays of transitions are remembered in ``tested``."""
         if len(self.pairs) >= KEPT:
             self.pairs.clear()
-        parts = [self.pieces[before]] * (before >= 0) + [self.pieces[piece]]
-        found = self.merged("".join(parts)) == parts
-        self.pairs[before << 32 | piece] = found
+        found = self.pairs[before << 32 | piece] = self.follows(before, piece)
         return found
 
     def walk(self, words: Iterable[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
@@ -191,7 +195,7 @@ class Model:
                     if piece is not None:
                         before = last[end - length]
                         finite = pairs.get(before << 32 | piece)
-                        if self.follows(before, piece) if finite is None else finite:
+                        if self.followed(before, piece) if finite is None else finite:
                             last.append(piece)
                             size.append(length)
                             break

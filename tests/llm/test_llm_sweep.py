@@ -61,3 +61,11 @@ def test_a_table_keeps_keys_that_meet():
     held.add(keys, np.arange(2_000, dtype=np.int32))
     assert held.find(keys).tolist() == list(range(2_000))
     assert (held.find(keys + 1) == -1).all()
+
+
+def test_swept_transitions_are_remembered_once():
+    model = pieces.load()
+    words = sorted({f"{pieces.MARK}{a}{b}ing" for a in "abcdefgh" for b in ("re", "st", "tion", "er")})
+    model.pairs.clear()
+    model.sweep(words)
+    assert model.tested.used and not model.pairs
