@@ -31,16 +31,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from snapstar.llm.text import WORD, mixed, shingles, table, word_hashes
-from snapstar.session import new_folder, small_batches
+from snapstar.session import new_folder, released, small_batches
 
 WIDTH, PERCENT = 5, 75
 SKETCH_BITS, BLOOM_BITS = 18, 24
 MOST_MATCHES = 8
 #: Shingles that a row remembers, so that a pair is met at the first of a run it shares.
-BEFORE = 6
+BEFORE = 3
 #: Bounds of the classes that shared shingles are counted in, by their number of nodes.
 RARITY = (4, 32, 512)
 _HELD = tuple(f"held{k}" for k in range(len(RARITY) + 1))
+#: Up to this many of a node's shared shingles are counted for the choice of pivots.
+MOST_HELD = 32767
 #: Words of 64 bits in which a whole set marks its shingles (a power of two).
 SIEVE = 64
 #: Costs of a row in the prefix and of a candidate, for the choice of l.
@@ -139,9 +141,12 @@ def _signer(frequent: np.ndarray, width: int, percent: int):
 
 
 def _stored(rows: DataFrame, purpose: str) -> DataFrame:
-    """``rows`` written to the shared folder and read again; survives any executor."""
+    """``rows`` written to the shared folder and read again; survives any executor.
+
+    What was shuffled for them is given back at once.
+    """
     folder = new_folder(rows.sparkSession, purpose)
-    with small_batches(rows.sparkSession):
+    with small_batches(rows.sparkSession), released(rows.sparkSession):
         rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
@@ -203,15 +208,17 @@ def shared_rows(signed: DataFrame) -> DataFrame:
 
 
 def with_pivots(shared: DataFrame) -> DataFrame:
-    """(token, node2, n2, ..., node1, n1, ...): the rows, each with its shingle's pivot as 1.
+    """(token, node2, n2, ..., held2, node1, n1, ..., held1): the rows, each with its shingle's pivot as 1.
 
     The pivot is the node with most shared shingles. Of copies with edits, the one nearest to the
     others has lost fewest; it is the pivot of all shingles it has, so a member meets few pivots.
+    held counts a node's shared shingles, up to ``MOST_HELD``.
     """
     # A window over one node holds no more than its own prefix. Its rows are dealt by shingle once,
     # for the maximum and for the join: both read all columns, and none is null, or the join would
     # filter nulls first and be dealt apart.
-    rows = shared.withColumn("held", F.count("*").over(Window.partitionBy("node"))).select(
+    rows = shared.withColumn("held", F.least(
+        F.count("*").over(Window.partitionBy("node")), F.lit(MOST_HELD))).select(
         "token", "held", F.coalesce("node", F.lit(0)).alias("node"),
         F.coalesce(F.expr(_PACKED), F.lit(0)).alias("size"),
     ).select(
@@ -219,7 +226,8 @@ def with_pivots(shared: DataFrame) -> DataFrame:
     ).repartition("token")
     top = rows.groupBy("token").agg(F.max(F.struct("score", "node", "size")).alias("top"))
     return rows.join(top, "token").where(F.col("score") <= F.col("top.score")).select(
-        "token", *_unpacked("node", "size", "2"), *_unpacked("top.node", "top.size", "1"))
+        "token", *_unpacked("node", "size", "2"), F.shiftright("score", 48).alias("held2"),
+        *_unpacked("top.node", "top.size", "1"), F.shiftright("top.score", 48).alias("held1"))
 
 
 def counted(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -316,7 +324,8 @@ def verified(
 
     whole = docs.select(
         F.pmod(F.xxhash64(key), F.lit(1 << BLOOM_BITS)).alias("at"), F.col(text).alias("text")
-    ).mapInArrow(sets, "node long, held array<long>, bits array<long>").join(asked.select("node"), "node")
+    ).mapInArrow(sets, "node long, held array<long>, bits array<long>")
+    # The few sets that pass the bits unasked meet no pair below.
     whole = _stored(whole, "sets")
     if doubtful:
         pairs = _stored(sieved(pairs, whole, percent), "sieved")
@@ -408,7 +417,11 @@ def open_rows(shared: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     kept = kept.where(
         (((least <= n) & enough(least)) | ((most >= n) & enough(most)))
         & (n - F.col("at") + F.col("place") >= up(n + least, 100 + percent))
-    ).drop("low", "high", "nodes").repartition("token")
+    ).drop("low", "high", "nodes")
+    # The rows may meet themselves without being dealt again: as above, none is null.
+    kept = kept.select("token", *[
+        name if name == "before" else F.coalesce(name, F.lit(0)).alias(name)
+        for name in kept.columns if name != "token"]).repartition("token")
     rest = [name for name in kept.columns if name not in ("token", "comp")]
     several = kept.groupBy("token").agg(
         F.min("comp").alias("c"), F.max(F.struct("comp", *rest)).alias("d"),
@@ -437,13 +450,14 @@ def linked_nodes(
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("key").alias("first"))
     shared = _stored(shared_rows(signed).distinct(), "shared")
     first = with_pivots(shared).withColumns({"place1": F.col("at1"), "place2": F.col("at2")}).where(
-        (F.col("node1") != F.col("node2")) & possible("1", "2", percent))
+        (F.col("node1") != F.col("node2")) & possible("1", "2", percent)
+        & (F.least("held1", "held2") >= F.least(required(percent=percent), F.lit(MOST_HELD))))
     tried = _stored(counted(first.select(
         F.col("node1").alias("a"), F.col("node2").alias("b")).distinct(), shared, percent
     ).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     links = _stored(verified(tried, nodes, docs, key, text, width, percent), "found")
     comps = _stored(components(links), "comps")
-    open_ = _stored(open_rows(shared, comps, percent), "open")
+    open_ = open_rows(shared, comps, percent)
     side = lambda s: [F.col("token")] + [
         F.col(x).alias(f"{x}{s}")
         for x in ("node", "n", "at", "least", "comp", "place", "before", *_HELD)]
@@ -453,8 +467,9 @@ def linked_nodes(
         & possible("1", "2", percent)
         # Where they share one of the shingles just before, the pair has been met there.
         & ~F.arrays_overlap("before1", "before2"))
-    met = across.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
-    more = counted(met, open_, percent).join(tried, ["a", "b"], "left_anti")
+    met = _stored(
+        across.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct(), "met")
+    more = counted(met, shared, percent).join(tried, ["a", "b"], "left_anti")
     more = verified(
         _stored(more, "pairs"), nodes, docs, key, text, width, percent, doubtful=True)
     links = _stored(links.unionByName(more), "found")
