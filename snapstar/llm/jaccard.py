@@ -534,7 +534,10 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             F.col(key).isNull().alias("none"), F.col(key).alias("key"), "node")).alias("row")
     ).select(F.col("row.key").alias("_jaccard_key"), F.col("row.node").alias("_jaccard_kept"))
     worded = F.coalesce(F.col(text).rlike(WORD), F.lit(False))
-    rows = docs.where(worded).withColumn("_jaccard_node", node(F.col(text))).join(
+    # No text with words is without a name. A column that could be null would be filtered for the
+    # join, and each text named twice, in two Python workers a task.
+    rows = docs.where(worded).withColumn(
+        "_jaccard_node", F.coalesce(node(F.col(text)), F.lit(0).cast("long"))).join(
         kept, F.col(key).eqNullSafe(F.col("_jaccard_key"))
         & (F.col("_jaccard_node") == F.col("_jaccard_kept")), "left_semi")
     order = Window.partitionBy("_jaccard_node", key).orderBy(*docs.columns)

@@ -59,3 +59,20 @@ def test_rows_that_meet_themselves_are_dealt_once(spark):
     dealt = [line for line in plan.getvalue().split("\n") if "Exchange hashpartitioning(token" in line and "Reused" not in line]
     assert 0 < len(dealt) <= 2, plan.getvalue()
     assert {r["before"] is None for r in rows.collect()} == {False}
+
+
+def test_each_text_is_named_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"one two three {k % 3}") for k in range(9)], "doc_id long, text string")
+
+    def found(rows, key="doc_id", text="text"):
+        names = spark.createDataFrame(
+            [(k, jaccard.node_of(jaccard.shingle_set(f"one two three {k % 3}"))) for k in range(9)],
+            "doc_id long, node long")
+        return names.withColumn("component", F.col("node"))
+
+    monkeypatch.setattr(jaccard, "near_duplicates", found)
+    kept = jaccard.one_of_each(docs)
+    with redirect_stdout(io.StringIO()) as plan:
+        kept.explain()
+    assert plan.getvalue().count("ArrowEvalPython") == 1, plan.getvalue()
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2]
